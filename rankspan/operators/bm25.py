@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bm25_document_text, bm25_tokens
 from ..session import scratch_path
-from .common import checked_broadcast, lookup, score_key, top_k
+from .common import checked_broadcast, exact_mean, lookup, score_key, top_k
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -50,7 +50,8 @@ class Bm25Index:
         self.avgdl = self.stats.select("avgdl").scalar()
         df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         raw = df.withColumn("raw_idf", F.log(self.n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-        self.average_idf = raw.agg(F.avg("raw_idf")).scalar()
+        # Exact mean: a DECIMAL sum does not depend on partitioning or order.
+        self.average_idf = raw.agg(exact_mean("raw_idf")).scalar()
         self.terms = raw.withColumn(
             "idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf).otherwise(F.col("raw_idf")))
         self._negative_floor: bool | None = None

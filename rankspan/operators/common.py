@@ -20,6 +20,18 @@ def score_key(score: Column | str, digits: int = 9) -> Column:
     return F.round(s, digits) + F.lit(0.0)
 
 
+def exact_sum(col: Column | str) -> Column:
+    """Sum of doubles through DECIMAL(38,18): exact to 1e-18 and independent
+    of summation order, so results do not move with the partitioning."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast("decimal(38,18)")).cast("double")
+
+
+def exact_mean(col: Column | str) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return exact_sum(c) / F.count(c)
+
+
 def top_k(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], k: int,
           rank_col: str = "rank") -> DataFrame:
     """``row_number() <= k`` per group.  Catalyst plans it as a partial
