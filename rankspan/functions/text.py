@@ -87,8 +87,15 @@ def word_ngrams(words: Column, ngram_range: tuple[int, int] = (1, 2)) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def vector_words(text: Column | str, stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS) -> Column:
+    """Word runs with stop words removed; n-grams are built from these."""
+    return remove_stop_words(word_tokens(text), stop_words)
+
+
 def vector_terms(text: Column | str, ngram_range: tuple[int, int] = (1, 2),
                  stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS) -> Column:
     """Vector-side terms: word runs, stop words removed, then n-grams (so a
-    bigram may jump over a removed word)."""
-    return word_ngrams(remove_stop_words(word_tokens(text), stop_words), ngram_range)
+    bigram may jump over a removed word).  For a DataFrame, project
+    ``vector_words`` first and apply ``word_ngrams`` to that column so the
+    regex runs once per row."""
+    return word_ngrams(vector_words(text, stop_words), ngram_range)

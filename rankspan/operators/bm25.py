@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bm25_document_text, bm25_tokens
 from ..session import scratch_path
-from .common import checked_broadcast, exact_mean, lookup, score_key, top_k
+from .common import checked_broadcast, exact_mean, lookup, rank_padded, score_key
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -113,12 +113,6 @@ class Bm25Index:
         contribution = F.col("qtf") * self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
         return matched.groupBy("query_id", "doc_id", "pos").agg(F.sum(contribution).alias("bm25_score"))
 
-    def _first_docs(self, depth: int) -> Column:
-        """Array<struct<pos, doc_id>> of the first ``depth`` documents in corpus
-        order, as a scalar subquery (bounded by ``depth`` rows)."""
-        first = self.doc_lengths.select("pos", "doc_id").orderBy("pos").limit(depth)
-        return first.agg(F.collect_list(F.struct("pos", "doc_id"))).scalar()
-
     def search(self, queries: DataFrame, k: int = 5, fields: bool = False) -> DataFrame:
         """Top-k per query: (query_id, rank, doc_id, pos, bm25_score[, corpus fields]).
 
@@ -128,32 +122,15 @@ class Bm25Index:
         (m = negative-score matches, 0 unless the idf floor is negative), so
         the padding is a bounded scalar-subquery array exploded per query,
         minus the documents that already have a non-zero score."""
-        if k < 0:
-            raise ValueError("top_k must be >= 0")
-        order = [F.col("_sk").desc(), F.col("pos").asc()]
-        scored = self.score(queries).withColumn("_sk", score_key("bm25_score"))
-        nonzero = scored.where(F.col("_sk") != 0)
-        best = top_k(nonzero, ["query_id"], order, k, "_r").drop("_r")
+        scored = self.score(queries)
         depth = k
         if self.negative_floor():
-            neg = nonzero.where(F.col("_sk") < 0).groupBy("query_id").count().agg(F.max("count")).first()[0]
+            neg = (scored.where(score_key("bm25_score") < 0).groupBy("query_id").count()
+                   .agg(F.max("count")).first()[0])
             depth += int(neg or 0)
-        cand = (queries.select("query_id", F.explode(self._first_docs(depth)).alias("c"))
-                .select("query_id", F.col("c.doc_id").alias("doc_id"), F.col("c.pos").alias("pos"),
-                        F.lit(0.0).alias("bm25_score"), F.lit(0).alias("_scored")))
-        cols = ["query_id", "doc_id", "pos", "bm25_score"]
-        scored_rows = best.select(*cols)
-        if self.negative_floor():
-            # a candidate may carry a negative score outside the top-k
-            scored_rows = scored_rows.unionByName(lookup(cand, nonzero, ["doc_id"]).select(*cols))
-        both = scored_rows.withColumn("_scored", F.lit(1)).unionByName(cand)
-        # a document both scored and among the candidates keeps its score
-        merged = (both.groupBy("query_id", "doc_id", "pos")
-                  .agg(F.max_by("bm25_score", "_scored").alias("bm25_score"))
-                  .withColumn("_sk", score_key("bm25_score")))
-        ranked = top_k(merged, ["query_id"], order, k)
-        out = ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", "bm25_score")
-        return attach_fields(out, self.corpus) if fields else out
+        ranked = rank_padded(queries, scored, self.doc_lengths, k, "bm25_score",
+                             depth=depth, keep_all_nonzero=self.negative_floor())
+        return attach_fields(ranked, self.corpus) if fields else ranked
 
     # ---------------------------------------------------------------- explain
     def explain_terms(self, pairs: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ def exact_sum(col: Column | str) -> Column:
     return F.sum(c.cast("decimal(38,18)")).cast("double")
 
 
+def exact_sum_over(col: Column | str, window) -> Column:
+    """``exact_sum`` as a window aggregate."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast("decimal(38,18)")).over(window).cast("double")
+
+
 def exact_mean(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return exact_sum(c) / F.count(c)
@@ -56,3 +62,43 @@ def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str], broadcast_keys:
     broadcast left-semi join that streams the big side once."""
     k = keys.select(*on).dropDuplicates()
     return table.join(F.broadcast(k) if broadcast_keys else k, list(on), "left_semi")
+
+
+def first_docs(docs: DataFrame, depth: int, descending: bool = False) -> Column:
+    """Array<struct<pos, doc_id>> of the first ``depth`` documents in corpus
+    order (last ones if ``descending``), as a scalar subquery: bounded by
+    ``depth`` rows, evaluated once per query plan."""
+    order = F.col("pos").desc() if descending else F.col("pos").asc()
+    first = docs.select("pos", "doc_id").orderBy(order).limit(depth)
+    return first.agg(F.collect_list(F.struct("pos", "doc_id"))).scalar()
+
+
+def rank_padded(queries: DataFrame, scored: DataFrame, docs: DataFrame, k: int, score_col: str,
+                pos_desc: bool = False, depth: int | None = None, keep_all_nonzero: bool = False) -> DataFrame:
+    """Top-k per query over *all* documents, where documents missing from
+    ``scored`` (query_id, doc_id, pos, <score_col>) score 0.
+
+    Order: score desc (rounded key), then pos asc (or desc).  The zero-score
+    documents that can reach the top k are among the first ``depth`` (default
+    k) documents in pos order, so they come from a bounded candidate array
+    exploded per query -- never a queries x corpus product.  With
+    ``keep_all_nonzero`` every scored candidate keeps its score even outside
+    the top-k (needed when negative scores exist)."""
+    if k < 0:
+        raise ValueError("top_k must be >= 0")
+    pos_order = F.col("pos").desc() if pos_desc else F.col("pos").asc()
+    order = [F.col("_sk").desc(), pos_order]
+    nonzero = scored.withColumn("_sk", score_key(score_col)).where(F.col("_sk") != 0)
+    cols = ["query_id", "doc_id", "pos", score_col]
+    best = top_k(nonzero, ["query_id"], order, k, "_r").select(*cols)
+    cand = (queries.select("query_id", F.explode(first_docs(docs, depth or k, pos_desc)).alias("c"))
+            .select("query_id", F.col("c.doc_id").alias("doc_id"), F.col("c.pos").alias("pos"),
+                    F.lit(0.0).alias(score_col), F.lit(0).alias("_scored")))
+    if keep_all_nonzero:
+        best = best.unionByName(lookup(cand, nonzero, ["doc_id"]).select(*cols))
+    both = best.withColumn("_scored", F.lit(1)).unionByName(cand)
+    merged = (both.groupBy("query_id", "doc_id", "pos")
+              .agg(F.max_by(score_col, "_scored").alias(score_col))
+              .withColumn("_sk", score_key(score_col)))
+    ranked = top_k(merged, ["query_id"], order, k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", score_col)

@@ -136,3 +136,60 @@ FROM pairs p WHERE p.doc_id NOT IN (SELECT doc_id FROM blen)"""
 
 ORACLE["qrels"] = """
 SELECT DISTINCT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"""
+
+
+# --------------------------------------------------------------------------- tf-idf
+def vec_words(x: str) -> str:
+    return f"list_filter(regexp_extract_all(lower({x}), '{WORD_RUN}'), lambda t: NOT list_contains({STOP_SQL}, t))"
+
+
+def uni_bigrams(w: str) -> str:
+    return f"list_concat({w}, list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+
+
+def l2_rows(src: str, key: str) -> str:
+    return (f"w / sqrt(CAST(sum(CAST(w * w AS DECIMAL(38,18))) OVER (PARTITION BY {key}) AS DOUBLE))")
+
+
+TFIDF_INDEX = f"""
+vtok AS (SELECT doc_id, doc_id AS pos, {vec_words("'. ' || text")} AS w FROM documents),
+vgram AS (SELECT doc_id, pos, {uni_bigrams('w')} AS g FROM vtok),
+vtf AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest(g) AS term FROM vgram) GROUP BY ALL),
+vn AS (SELECT count(*) AS n FROM documents),
+vdf AS (SELECT term, count(*) AS df FROM vtf GROUP BY term),
+vvocab AS (SELECT term, df, ln(CAST(n + 1 AS DOUBLE) / CAST(df + 1 AS DOUBLE)) + {d(1)} AS idf
+           FROM vdf, vn WHERE df >= 1 AND CAST(df AS DOUBLE) <= {d(0.95)} * n),
+vw AS (SELECT t.doc_id, t.pos, t.term, ({d(1)} + ln(t.tf)) * v.idf AS w FROM vtf t JOIN vvocab v USING (term)),
+vweights AS (SELECT doc_id, pos, term, {l2_rows('vw', 'doc_id')} AS weight FROM vw)"""
+
+TFIDF_QUERY = f"""
+qg AS (SELECT query_id, {uni_bigrams('w')} AS g FROM (SELECT query_id, {vec_words('query')} AS w FROM qs)),
+qtf AS (SELECT query_id, term, count(*) AS tf FROM (SELECT query_id, unnest(g) AS term FROM qg) GROUP BY ALL),
+qwv AS (SELECT q.query_id, q.term, ({d(1)} + ln(q.tf)) * v.idf AS w FROM qtf q JOIN vvocab v USING (term)),
+qweights AS (SELECT query_id, term, {l2_rows('qwv', 'query_id')} AS weight FROM qwv)"""
+
+TFIDF_RANKED = f"""
+vs AS (SELECT q.query_id, w.doc_id, sum(q.weight * w.weight) AS score FROM qweights q JOIN vweights w USING (term)
+       GROUP BY ALL),
+vranked AS (SELECT query_id, doc_id, pos, vector_score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY round(vector_score, 9) + {d(0)} DESC, pos DESC)
+                     AS rank
+            FROM (SELECT qs.query_id, x.doc_id, x.doc_id AS pos, coalesce(vs.score, {d(0)}) AS vector_score
+                  FROM qs CROSS JOIN documents x LEFT JOIN vs ON vs.query_id = qs.query_id AND vs.doc_id = x.doc_id))"""
+
+ORACLE["ngrams"] = f"""
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_ngrams, array_to_string(g, '|') AS ngrams
+FROM (SELECT doc_id, {uni_bigrams('w')} AS g FROM (SELECT doc_id, {vec_words("'. ' || text")} AS w FROM documents))"""
+ORACLE["ngram_tf"] = _with(TFIDF_INDEX) + "\nSELECT doc_id, term, CAST(tf AS BIGINT) AS tf FROM vtf"
+ORACLE["vocabulary"] = _with(TFIDF_INDEX) + "\nSELECT term, CAST(df AS BIGINT) AS df FROM vvocab"
+ORACLE["tfidf_idf"] = _with(TFIDF_INDEX) + "\nSELECT term, CAST(df AS BIGINT) AS df, round(idf, 6) AS idf FROM vvocab"
+ORACLE["tfidf"] = _with(TFIDF_INDEX) + "\nSELECT doc_id, term, round(weight, 6) AS weight FROM vweights"
+ORACLE["tfidf_query"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY) + (
+    "\nSELECT query_id, term, round(weight, 6) AS weight FROM qweights")
+ORACLE["top_terms"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY) + f"""
+SELECT query_id, CAST(rank AS BIGINT) AS rank, term, round(weight, 6) AS weight
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(weight, 9) + {d(0)} DESC, term DESC) AS rank
+      FROM qweights WHERE weight > 0) WHERE rank <= 10"""
+ORACLE["tfidf_cosine_search"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY, TFIDF_RANKED) + f"""
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(vector_score, 6) AS vector_score
+FROM vranked WHERE rank <= {TOP_K}"""

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import bm25_tokens
+from ..functions.text import bm25_tokens, vector_words, word_ngrams
 from ..operators.bm25 import Bm25Index, query_terms
+from ..operators.tfidf import TfidfModel
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +154,53 @@ def bm25_explain_missing(spark, sf_dir):
 @register("qrels")
 def qrels(spark, sf_dir):
     return td.qrels(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- tf-idf
+def _tfidf(spark: SparkSession, sf_dir: str, **kw) -> TfidfModel:
+    return TfidfModel.fit(td.corpus(spark, sf_dir), **kw)
+
+
+@register("ngrams")
+def ngrams(spark, sf_dir):
+    words = vector_words(F.concat(F.lit(". "), F.col("text")))
+    return (td.corpus(spark, sf_dir).select("doc_id", words.alias("w"))
+            .select("doc_id", word_ngrams(F.col("w")).alias("g"))
+            .select("doc_id", F.size("g").cast("long").alias("n_ngrams"), F.concat_ws("|", "g").alias("ngrams")))
+
+
+@register("ngram_tf")
+def ngram_tf(spark, sf_dir):
+    return _tfidf(spark, sf_dir).term_counts.select("doc_id", "term", F.col("tf").cast("long").alias("tf"))
+
+
+@register("vocabulary")
+def vocabulary(spark, sf_dir):
+    return _tfidf(spark, sf_dir).vocabulary.select("term", F.col("df").cast("long").alias("df"))
+
+
+@register("tfidf_idf")
+def tfidf_idf(spark, sf_dir):
+    return _tfidf(spark, sf_dir).vocabulary.select("term", F.col("df").cast("long").alias("df"), r6("idf").alias("idf"))
+
+
+@register("tfidf")
+def tfidf(spark, sf_dir):
+    return _tfidf(spark, sf_dir).doc_weights.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@register("tfidf_query")
+def tfidf_query(spark, sf_dir):
+    return _tfidf(spark, sf_dir).transform(td.queries(spark, sf_dir)).select("query_id", "term",
+                                                                             r6("weight").alias("weight"))
+
+
+@register("top_terms")
+def top_terms(spark, sf_dir):
+    t = _tfidf(spark, sf_dir).top_terms(td.queries(spark, sf_dir), n=10)
+    return t.select("query_id", F.col("rank").cast("long").alias("rank"), "term", r6("weight").alias("weight"))
+
+
+@register("tfidf_cosine_search")
+def tfidf_cosine_search(spark, sf_dir):
+    return _ranked(_tfidf(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
