@@ -193,3 +193,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(weight,
 ORACLE["tfidf_cosine_search"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY, TFIDF_RANKED) + f"""
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(vector_score, 6) AS vector_score
 FROM vranked WHERE rank <= {TOP_K}"""
+
+
+# --------------------------------------------------------------------------- dense vectors
+EMB_UNIT = f"""
+emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+unit AS (SELECT vec_id, CASE WHEN list_dot_product(v, v) > 0
+                             THEN list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))
+                             ELSE list_transform(v, lambda x: {d(0)}) END AS u FROM emb)"""
+
+ORACLE["l2_normalize"] = _with(EMB_UNIT) + """
+SELECT vec_id AS doc_id, CAST(generate_subscripts(u, 1) - 1 AS BIGINT) AS dim, round(unnest(u), 6) AS value FROM unit"""
+
+ORACLE["dense_knn"] = _with(EMB_UNIT) + f"""
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(vector_score, 6) AS vector_score
+FROM (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, list_dot_product(a.u, b.u) AS vector_score,
+             row_number() OVER (PARTITION BY a.vec_id
+                                ORDER BY round(list_dot_product(a.u, b.u), 9) + {d(0)} DESC, b.vec_id DESC) AS rank
+      FROM unit a CROSS JOIN unit b)
+WHERE rank <= {TOP_K}"""

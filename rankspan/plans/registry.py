@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bm25_tokens, vector_words, word_ngrams
 from ..operators.bm25 import Bm25Index, query_terms
+from ..operators.dense import dense_knn
 from ..operators.tfidf import TfidfModel
+from ..functions.vector import l2_normalize
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,3 +206,19 @@ def top_terms(spark, sf_dir):
 @register("tfidf_cosine_search")
 def tfidf_cosine_search(spark, sf_dir):
     return _ranked(_tfidf(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
+
+
+# --------------------------------------------------------------------------- dense vectors
+@register("l2_normalize")
+def l2_normalize_embeddings(spark, sf_dir):
+    e = td.embeddings(spark, sf_dir)
+    return (e.select("doc_id", F.posexplode(l2_normalize(F.col("embedding"))).alias("dim", "value"))
+            .select("doc_id", F.col("dim").cast("long").alias("dim"), r6("value").alias("value")))
+
+
+@register("dense_knn")
+def dense_knn_embeddings(spark, sf_dir):
+    """Every embedding as a query against the whole embedding table (kNN graph)."""
+    e = td.embeddings(spark, sf_dir)
+    res = dense_knn(e.select(F.col("doc_id").alias("query_id"), "embedding"), e, k=TOP_K)
+    return _ranked(res, "vector_score")
