@@ -212,3 +212,183 @@ FROM (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, list_dot_product(a.u, b.u
                                 ORDER BY round(list_dot_product(a.u, b.u), 9) + {d(0)} DESC, b.vec_id DESC) AS rank
       FROM unit a CROSS JOIN unit b)
 WHERE rank <= {TOP_K}"""
+
+
+# --------------------------------------------------------------------------- fusion / hybrid
+FETCH_K = 15
+LINEAR_ALPHA = 0.7
+
+
+def fetch_lists(depth: int, b: str = "bl", v: str = "vl") -> str:
+    return f"""
+{b} AS (SELECT query_id, doc_id, rank, bm25_score FROM branked WHERE rank <= {depth}),
+{v} AS (SELECT query_id, doc_id, rank, vector_score FROM vranked WHERE rank <= {depth})"""
+
+
+def rrf_sql(lists: list[tuple[str, str | None]], name: str = "rrf", k: float = 60.0) -> str:
+    """lists: (cte, score column carried as a field or None)."""
+    sel = []
+    for i, (cte, score) in enumerate(lists):
+        b = "bm25_score" if score == "bm25_score" else f"CAST(NULL AS DOUBLE)"
+        v = "vector_score" if score == "vector_score" else f"CAST(NULL AS DOUBLE)"
+        sel.append(f"SELECT {i} AS list_no, query_id, doc_id, rank, {b} AS bm25_score, {v} AS vector_score FROM {cte}")
+    union = "\n    UNION ALL ".join(sel)
+    return f"""
+{name}_u AS ({union}),
+{name}_g AS (SELECT query_id, doc_id, sum({d(1)} / ({d(k)} + rank)) AS s, min(list_no) AS first_list,
+                    min(list_no * 1000000 + rank) AS first_seen,
+                    max(CASE WHEN list_no = 0 THEN bm25_score END) AS b0,
+                    max(CASE WHEN list_no = 0 THEN vector_score END) AS v0,
+                    max(CASE WHEN list_no = 1 THEN bm25_score END) AS b1,
+                    max(CASE WHEN list_no = 1 THEN vector_score END) AS v1
+             FROM {name}_u GROUP BY query_id, doc_id),
+{name} AS (SELECT query_id, doc_id, round(s, 6) AS rrf_score,
+                  CASE WHEN first_list = 0 THEN b0 WHEN first_list = 1 THEN b1 END AS bm25_score,
+                  CASE WHEN first_list = 0 THEN v0 WHEN first_list = 1 THEN v1 END AS vector_score,
+                  row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, first_seen ASC) AS rank
+           FROM {name}_g)"""
+
+
+def linear_sql(alpha: float, b: str = "bl", v: str = "vl", name: str = "lin") -> str:
+    return f"""
+{name}_bb AS (SELECT query_id, min(bm25_score) AS bmin, max(bm25_score) - min(bm25_score) AS br FROM {b} GROUP BY query_id),
+{name}_vb AS (SELECT query_id, min(vector_score) AS vmin, max(vector_score) - min(vector_score) AS vr
+              FROM {v} GROUP BY query_id),
+{name}_j AS (SELECT coalesce(x.query_id, y.query_id) AS query_id, coalesce(x.doc_id, y.doc_id) AS doc_id,
+                    x.rank AS brank, y.rank AS vrank, x.bm25_score AS bsc, y.vector_score AS vsc
+             FROM {b} x FULL OUTER JOIN {v} y ON x.query_id = y.query_id AND x.doc_id = y.doc_id),
+{name}_s AS (SELECT j.query_id, j.doc_id, brank, vrank,
+                    CASE WHEN vrank IS NULL THEN bsc END AS bm25_score, vsc AS vector_score,
+                    round({d(alpha)} * ((coalesce(vsc, {d(0)}) - vmin) / (CASE WHEN vr = 0 THEN {d(1)} ELSE vr END))
+                          + {d(1.0 - alpha)} * ((coalesce(bsc, {d(0)}) - bmin) / (CASE WHEN br = 0 THEN {d(1)} ELSE br END)),
+                          6) AS linear_score
+             FROM {name}_j j JOIN {name}_bb USING (query_id) JOIN {name}_vb USING (query_id)),
+{name} AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY linear_score DESC, brank ASC NULLS LAST, vrank ASC)
+                    AS rank FROM {name}_s)"""
+
+
+BASE = (QS, BM25_INDEX, BM25_QUERY, bm25_ranked(), TFIDF_INDEX, TFIDF_QUERY, TFIDF_RANKED)
+
+
+def _fused_sql(cte: str, score: str, extra=()) -> str:
+    ex = "".join(f", round({c}, 6) AS {c}" for c in extra)
+    return f"\nSELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round({score}, 6) AS {score}{ex} FROM {cte}"
+
+
+ORACLE["rrf"] = _with(*BASE, fetch_lists(FETCH_K), rrf_sql([("bl", "bm25_score"), ("vl", "vector_score")])) + \
+    _fused_sql("rrf", "rrf_score")
+ORACLE["rrf_fields"] = _with(*BASE, fetch_lists(FETCH_K), rrf_sql([("bl", "bm25_score"), ("vl", "vector_score")])) + \
+    _fused_sql("rrf", "rrf_score", ("bm25_score", "vector_score"))
+ORACLE["rrf_three_lists"] = _with(
+    *BASE, bm25_ranked(SWEEP[0][0], SWEEP[0][1], "sw0"), fetch_lists(FETCH_K),
+    f"b2 AS (SELECT query_id, doc_id, rank FROM sw0 WHERE rank <= {FETCH_K})",
+    rrf_sql([("bl", None), ("vl", None), ("b2", None)])) + _fused_sql("rrf", "rrf_score")
+ORACLE["linear_fusion"] = _with(*BASE, fetch_lists(FETCH_K), linear_sql(0.5)) + _fused_sql("lin", "linear_score")
+ORACLE["linear_fields"] = _with(*BASE, fetch_lists(FETCH_K), linear_sql(LINEAR_ALPHA)) + \
+    _fused_sql("lin", "linear_score", ("bm25_score", "vector_score"))
+ORACLE["minmax_normalize"] = _with(*BASE, fetch_lists(FETCH_K)) + f"""
+SELECT query_id, 'bm25' AS list, round(min(bm25_score), 6) AS min_score,
+       round(CASE WHEN max(bm25_score) - min(bm25_score) = 0 THEN {d(1)} ELSE max(bm25_score) - min(bm25_score) END, 6)
+         AS score_range
+FROM bl GROUP BY query_id
+UNION ALL
+SELECT query_id, 'vector' AS list, round(min(vector_score), 6) AS min_score,
+       round(CASE WHEN max(vector_score) - min(vector_score) = 0 THEN {d(1)}
+                  ELSE max(vector_score) - min(vector_score) END, 6) AS score_range
+FROM vl GROUP BY query_id"""
+
+
+def hybrid_sql(top_k: int, fusion: str = "rrf", alpha: float = 0.5) -> str:
+    fetch = max(3 * top_k, 10)
+    fuse = (rrf_sql([("bl", "bm25_score"), ("vl", "vector_score")], "fz") if fusion == "rrf"
+            else linear_sql(alpha, name="fz"))
+    hy_rrf = "rrf_score" if fusion == "rrf" else "CAST(NULL AS DOUBLE)"
+    hy_lin = "linear_score" if fusion == "linear" else "CAST(NULL AS DOUBLE)"
+    return _with(*BASE, fetch_lists(fetch), fuse) + f"""
+SELECT query_id, 'bm25' AS retriever, CAST(rank AS BIGINT) AS rank, doc_id, round(bm25_score, 6) AS bm25_score,
+       CAST(NULL AS DOUBLE) AS vector_score, CAST(NULL AS DOUBLE) AS rrf_score, CAST(NULL AS DOUBLE) AS linear_score
+FROM bl WHERE rank <= {top_k}
+UNION ALL
+SELECT query_id, 'vector', CAST(rank AS BIGINT), doc_id, CAST(NULL AS DOUBLE), round(vector_score, 6),
+       CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+FROM vl WHERE rank <= {top_k}
+UNION ALL
+SELECT query_id, 'hybrid', CAST(rank AS BIGINT), doc_id, round(bm25_score, 6), round(vector_score, 6),
+       round({hy_rrf}, 6), round({hy_lin}, 6)
+FROM fz WHERE rank <= {top_k}"""
+
+
+ORACLE["hybrid_rrf"] = hybrid_sql(TOP_K)
+ORACLE["hybrid_fetch_k"] = hybrid_sql(3)
+ORACLE["hybrid_linear"] = hybrid_sql(4, "linear", LINEAR_ALPHA)
+
+# --------------------------------------------------------------------------- evaluation
+QRELS = """
+qrels AS (SELECT DISTINCT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
+nrel AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id)"""
+
+
+def per_query_sql(results_cte: str, k: int = TOP_K) -> str:
+    return f"""
+hits AS (SELECT r.retriever, r.query_id,
+                sum(CASE WHEN r.rank <= {k} AND q.doc_id IS NOT NULL THEN 1 ELSE 0 END) AS hits,
+                min(CASE WHEN q.doc_id IS NOT NULL THEN r.rank END) AS first_rel
+         FROM {results_cte} r LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id
+         WHERE r.query_id IN (SELECT query_id FROM qs) GROUP BY ALL),
+pq AS (SELECT retriever, h.query_id, hits / {d(k)} AS precision,
+              CASE WHEN coalesce(n_rel, 0) > 0 THEN hits / CAST(n_rel AS DOUBLE) ELSE {d(0)} END AS recall,
+              coalesce({d(1)} / first_rel, {d(0)}) AS reciprocal_rank,
+              CASE WHEN hits > 0 THEN {d(1)} ELSE {d(0)} END AS hit_rate
+       FROM hits h LEFT JOIN nrel USING (query_id)),
+metrics AS (SELECT retriever,
+                   round(sum(precision) / (SELECT count(DISTINCT query_id) FROM qs), 4) AS "Precision@{k}",
+                   round(sum(recall) / (SELECT count(DISTINCT query_id) FROM qs), 4) AS "Recall@{k}",
+                   round(sum(reciprocal_rank) / (SELECT count(DISTINCT query_id) FROM qs), 4) AS "MRR",
+                   round(sum(hit_rate) / (SELECT count(DISTINCT query_id) FROM qs), 4) AS "HitRate@{k}",
+                   (SELECT count(DISTINCT query_id) FROM qs) AS num_queries
+            FROM pq GROUP BY retriever)"""
+
+
+BM25_RES = f"res AS (SELECT 'BM25' AS retriever, query_id, rank, doc_id FROM branked WHERE rank <= {TOP_K})"
+EVAL_BM25 = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked(), QRELS, BM25_RES, per_query_sql("res"))
+for _key, _col in (("precision_at_k", "precision"), ("recall_at_k", "recall"), ("reciprocal_rank", "reciprocal_rank"),
+                   ("hit_rate_at_k", "hit_rate")):
+    ORACLE[_key] = EVAL_BM25 + f"\nSELECT query_id, round({_col}, 6) AS {_col} FROM pq"
+ORACLE["evaluate_retriever"] = EVAL_BM25 + "\nSELECT * FROM metrics"
+
+_CMP = _with(*BASE, fetch_lists(FETCH_K), rrf_sql([("bl", "bm25_score"), ("vl", "vector_score")], "fz"), QRELS,
+             f"""res AS (SELECT 'BM25' AS retriever, query_id, rank, doc_id FROM bl WHERE rank <= {TOP_K}
+    UNION ALL SELECT 'Vector', query_id, rank, doc_id FROM vl WHERE rank <= {TOP_K}
+    UNION ALL SELECT 'Hybrid', query_id, rank, doc_id FROM fz WHERE rank <= {TOP_K})""", per_query_sql("res"))
+ORACLE["compare_retrievers"] = _CMP + "\nSELECT * FROM metrics"
+ORACLE["comparison_table"] = _CMP + f"""
+SELECT retriever AS "Retriever", printf('%.4f', "Precision@{TOP_K}") AS "Precision@{TOP_K}",
+       printf('%.4f', "Recall@{TOP_K}") AS "Recall@{TOP_K}", printf('%.4f', "MRR") AS "MRR",
+       printf('%.4f', "HitRate@{TOP_K}") AS "HitRate@{TOP_K}"
+FROM metrics"""
+
+# --------------------------------------------------------------------------- reports
+ORACLE["result_lines"] = f"""
+SELECT query_id, retriever, rank,
+       printf('[%d] %-20s | %s | %s', rank,
+              CASE WHEN linear_score IS NOT NULL THEN printf('Lin=%.3f', linear_score)
+                   WHEN rrf_score IS NOT NULL THEN printf('RRF=%.6f', rrf_score)
+                   WHEN vector_score IS NOT NULL THEN printf('Vec=%.3f', vector_score)
+                   WHEN bm25_score IS NOT NULL THEN printf('BM25=%.3f', bm25_score) ELSE '' END,
+              CAST(doc_id AS VARCHAR), '') AS line
+FROM (""" + hybrid_sql(TOP_K).replace("round(bm25_score, 6)", "bm25_score").replace(
+    "round(vector_score, 6)", "vector_score") + ")"
+
+ORACLE["explain_bars"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked(), _EXPLAIN_PAIRS) + f"""
+SELECT query_id, doc_id, term, round(contribution, 6) AS contribution,
+       repeat('█', greatest(CASE WHEN mx <> 0 THEN CAST(trunc(round(contribution * {d(40)} / mx, 9)) AS INTEGER)
+                                 ELSE 0 END, 0)) AS bar,
+       CAST(row_number() OVER (PARTITION BY query_id, doc_id
+                               ORDER BY round(contribution, 9) + {d(0)} DESC, term ASC) AS BIGINT) AS position
+FROM (SELECT *, max(contribution) OVER (PARTITION BY query_id, doc_id) AS mx FROM pcontrib)"""
+
+ORACLE["index_stats"] = _with(BM25_INDEX, TFIDF_INDEX) + """
+SELECT CAST(n_docs AS BIGINT) AS n_docs, round(avgdl, 6) AS avgdl,
+       (SELECT count(*) FROM bterms) AS bm25_terms, (SELECT count(*) FROM bpost) AS bm25_postings,
+       (SELECT count(*) FROM vvocab) AS tfidf_features
+FROM bstats"""

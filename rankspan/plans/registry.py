@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.text import bm25_tokens, vector_words, word_ngrams
 from ..operators.bm25 import Bm25Index, query_terms
 from ..operators.dense import dense_knn
+from ..operators.evaluation import compare, evaluate, per_query
+from ..operators.fusion import linear_fusion, minmax_bounds, reciprocal_rank_fusion
+from ..operators.hybrid import HybridIndex
 from ..operators.tfidf import TfidfModel
+from ..sources.sinks import comparison_table, explain_bars, index_stats, result_lines
 from ..functions.vector import l2_normalize
 from ..sources import testdata as td
 
@@ -222,3 +226,167 @@ def dense_knn_embeddings(spark, sf_dir):
     e = td.embeddings(spark, sf_dir)
     res = dense_knn(e.select(F.col("doc_id").alias("query_id"), "embedding"), e, k=TOP_K)
     return _ranked(res, "vector_score")
+
+
+# --------------------------------------------------------------------------- fusion / hybrid
+FETCH_K = 15          # max(3 * TOP_K, 10)
+LINEAR_ALPHA = 0.7
+
+
+def _lists(spark, sf_dir, fetch_k: int = FETCH_K):
+    qs = td.queries(spark, sf_dir)
+    c = td.corpus(spark, sf_dir)
+    bm25 = Bm25Index.build(c)
+    b = bm25.search(qs, k=fetch_k).select("query_id", "rank", "doc_id", "bm25_score")
+    v = TfidfModel.fit(c).search(qs, k=fetch_k).select("query_id", "rank", "doc_id", "vector_score")
+    return qs, bm25, b, v
+
+
+def _fused(df: DataFrame, score: str, extra=()) -> DataFrame:
+    return df.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6(score).alias(score),
+                     *[r6(c).alias(c) for c in extra])
+
+
+@register("rrf")
+def rrf(spark, sf_dir):
+    _, _, b, v = _lists(spark, sf_dir)
+    return _fused(reciprocal_rank_fusion([b, v]), "rrf_score")
+
+
+@register("rrf_three_lists")
+def rrf_three_lists(spark, sf_dir):
+    qs, bm25, b, v = _lists(spark, sf_dir)
+    k1, bb = SWEEP[0]
+    b2 = bm25.with_params(k1=k1, b=bb).search(qs, k=FETCH_K).select("query_id", "rank", "doc_id")
+    return _fused(reciprocal_rank_fusion([b.drop("bm25_score"), v.drop("vector_score"), b2]), "rrf_score")
+
+
+@register("rrf_fields")
+def rrf_fields(spark, sf_dir):
+    _, _, b, v = _lists(spark, sf_dir)
+    return _fused(reciprocal_rank_fusion([b, v]), "rrf_score", ("bm25_score", "vector_score"))
+
+
+@register("linear_fusion")
+def linear_fusion_q(spark, sf_dir):
+    _, _, b, v = _lists(spark, sf_dir)
+    return _fused(linear_fusion(b, v, alpha=0.5), "linear_score")
+
+
+@register("minmax_normalize")
+def minmax_normalize(spark, sf_dir):
+    _, _, b, v = _lists(spark, sf_dir)
+    bb = minmax_bounds(b, "bm25_score", "m").withColumn("list", F.lit("bm25"))
+    vb = minmax_bounds(v, "vector_score", "m").withColumn("list", F.lit("vector"))
+    return bb.unionByName(vb).select("query_id", "list", r6("m_min").alias("min_score"),
+                                     r6("m_range").alias("score_range"))
+
+
+@register("linear_fields")
+def linear_fields(spark, sf_dir):
+    _, _, b, v = _lists(spark, sf_dir)
+    return _fused(linear_fusion(b, v, alpha=LINEAR_ALPHA), "linear_score", ("bm25_score", "vector_score"))
+
+
+def _hybrid_out(df: DataFrame) -> DataFrame:
+    return df.select("query_id", "retriever", F.col("rank").cast("long").alias("rank"), "doc_id",
+                     *[r6(c).alias(c) for c in ("bm25_score", "vector_score", "rrf_score", "linear_score")])
+
+
+def _hybrid(spark, sf_dir, **kw) -> HybridIndex:
+    return HybridIndex.build(td.corpus(spark, sf_dir), encoder="tfidf", **kw)
+
+
+@register("hybrid_rrf")
+def hybrid_rrf(spark, sf_dir):
+    return _hybrid_out(_hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=TOP_K))
+
+
+@register("hybrid_fetch_k")
+def hybrid_fetch_k(spark, sf_dir):
+    """top_k = 3 -> default fetch depth max(9, 10) = 10."""
+    return _hybrid_out(_hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=3))
+
+
+@register("hybrid_linear")
+def hybrid_linear(spark, sf_dir):
+    h = _hybrid(spark, sf_dir, fusion="linear", alpha=LINEAR_ALPHA)
+    return _hybrid_out(h.search(td.queries(spark, sf_dir), top_k=4))
+
+
+# --------------------------------------------------------------------------- evaluation
+def _per_query(spark, sf_dir) -> DataFrame:
+    qs = td.queries(spark, sf_dir)
+    res = Bm25Index.build(td.corpus(spark, sf_dir)).search(qs, k=TOP_K)
+    return per_query(res, td.qrels(spark, sf_dir), qs, k=TOP_K)
+
+
+@register("precision_at_k")
+def precision_at_k(spark, sf_dir):
+    return _per_query(spark, sf_dir).select("query_id", r6("precision").alias("precision"))
+
+
+@register("recall_at_k")
+def recall_at_k(spark, sf_dir):
+    return _per_query(spark, sf_dir).select("query_id", r6("recall").alias("recall"))
+
+
+@register("reciprocal_rank")
+def reciprocal_rank(spark, sf_dir):
+    return _per_query(spark, sf_dir).select("query_id", r6("reciprocal_rank").alias("reciprocal_rank"))
+
+
+@register("hit_rate_at_k")
+def hit_rate_at_k(spark, sf_dir):
+    return _per_query(spark, sf_dir).select("query_id", r6("hit_rate").alias("hit_rate"))
+
+
+@register("evaluate_retriever")
+def evaluate_retriever(spark, sf_dir):
+    qs = td.queries(spark, sf_dir)
+    res = Bm25Index.build(td.corpus(spark, sf_dir)).search(qs, k=TOP_K).withColumn("retriever", F.lit("BM25"))
+    return evaluate(res, td.qrels(spark, sf_dir), qs, k=TOP_K)
+
+
+def _comparison(spark, sf_dir) -> DataFrame:
+    qs = td.queries(spark, sf_dir)
+    out = _hybrid(spark, sf_dir, fusion="rrf").search(qs, top_k=TOP_K)
+    names = {"BM25": "bm25", "Vector": "vector", "Hybrid": "hybrid"}
+    return compare({n: out.where(F.col("retriever") == r) for n, r in names.items()}, td.qrels(spark, sf_dir), qs,
+                   k=TOP_K)
+
+
+@register("compare_retrievers")
+def compare_retrievers(spark, sf_dir):
+    return _comparison(spark, sf_dir)
+
+
+@register("comparison_table")
+def comparison_table_q(spark, sf_dir):
+    return comparison_table(_comparison(spark, sf_dir), k=TOP_K)
+
+
+# --------------------------------------------------------------------------- reports
+@register("result_lines")
+def result_lines_q(spark, sf_dir):
+    out = _hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=TOP_K)
+    return result_lines(out, title_col=None).select("query_id", "retriever", F.col("rank").cast("long").alias("rank"),
+                                                    "line")
+
+
+@register("explain_bars")
+def explain_bars_q(spark, sf_dir):
+    idx = _bm25(spark, sf_dir)
+    bars = explain_bars(idx.explain_terms(_explain_pairs(spark, sf_dir, idx)))
+    return bars.select("query_id", "doc_id", "term", r6("contribution").alias("contribution"), "bar",
+                       F.col("position").cast("long").alias("position"))
+
+
+@register("index_stats")
+def index_stats_q(spark, sf_dir):
+    c = td.corpus(spark, sf_dir)
+    s = index_stats(Bm25Index.build(c), TfidfModel.fit(c))
+    return s.select(F.col("n_docs").cast("long").alias("n_docs"), r6("avgdl").alias("avgdl"),
+                    F.col("bm25_terms").cast("long").alias("bm25_terms"),
+                    F.col("bm25_postings").cast("long").alias("bm25_postings"),
+                    F.col("tfidf_features").cast("long").alias("tfidf_features"))
