@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import score_key, top_k
 
 MAX_BROADCAST_BYTES = 256 << 20
@@ -123,6 +124,7 @@ def _types(queries: DataFrame, corpus: DataFrame) -> str:
 
 
 def _broadcast_plan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    ship_package(queries.sparkSession)
     pdf = queries.select("query_id", "embedding").toPandas()
     qids = pdf["query_id"].to_numpy()
     qmat = _unit_rows(_stack(pdf["embedding"]))
@@ -152,6 +154,7 @@ def _broadcast_plan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 
 
 def _blocked_plan(queries: DataFrame, corpus: DataFrame, k: int, q_blocks: int, c_blocks: int) -> DataFrame:
+    ship_package(queries.sparkSession)
     # fresh column names: both sides may come from the same table
     qb = (queries.select("query_id", F.col("embedding").alias("q_vec"))
           .withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))

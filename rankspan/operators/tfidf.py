@@ -60,13 +60,20 @@ class TfidfModel:
         return cls(corpus, counts, ngram_range, stop_words, min_df, max_df, sublinear_tf)
 
     def materialize(self, path: str | None = None) -> TfidfModel:
-        """Write the n-gram counts to Parquet and refit from them (cuts the
-        tokenization lineage; the vocabulary and weights derive from it)."""
+        """Write n-gram counts, vocabulary and document weights to Parquet
+        (default: a new folder under ``spark.checkpoint.dir``) and return a
+        model reading them back: searches then scan the stored triplets
+        instead of re-tokenizing, and the lineage is cut."""
         spark = self.term_counts.sparkSession
-        path = path or scratch_path(spark, "tfidf-counts")
-        self.term_counts.write.mode("overwrite").parquet(path)
-        return TfidfModel(self.corpus, spark.read.parquet(path), self.ngram_range, self.stop_words, self.min_df,
-                          self.max_df, self.sublinear_tf)
+        path = (path or scratch_path(spark, "tfidf")).rstrip("/")
+        self.term_counts.write.mode("overwrite").parquet(f"{path}/counts")
+        m = TfidfModel(self.corpus, spark.read.parquet(f"{path}/counts"), self.ngram_range, self.stop_words,
+                       self.min_df, self.max_df, self.sublinear_tf)
+        m.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        m.vocabulary = spark.read.parquet(f"{path}/vocabulary")
+        m.doc_weights.write.mode("overwrite").parquet(f"{path}/weights")
+        m.doc_weights = spark.read.parquet(f"{path}/weights")
+        return m
 
     # ------------------------------------------------------------------ weights
     def _tf(self) -> Column:

@@ -18,6 +18,7 @@ from ..operators.dense import dense_knn
 from ..operators.evaluation import compare, evaluate, per_query
 from ..operators.fusion import linear_fusion, minmax_bounds, reciprocal_rank_fusion
 from ..operators.hybrid import HybridIndex
+from ..operators.lsa import LsaModel
 from ..operators.tfidf import TfidfModel
 from ..sources.sinks import comparison_table, explain_bars, index_stats, result_lines
 from ..functions.vector import l2_normalize
@@ -390,3 +391,44 @@ def index_stats_q(spark, sf_dir):
                     F.col("bm25_terms").cast("long").alias("bm25_terms"),
                     F.col("bm25_postings").cast("long").alias("bm25_postings"),
                     F.col("tfidf_features").cast("long").alias("tfidf_features"))
+
+
+# --------------------------------------------------------------------------- LSA (rows-only checks)
+_LSA: dict = {}
+
+
+def _lsa(spark, sf_dir) -> LsaModel:
+    """Reference defaults (128 components, 5 power iterations, 10
+    oversamples); one fit per session and table folder."""
+    key = (id(spark.sparkContext._jsc), sf_dir)
+    if key not in _LSA:
+        _LSA[key] = LsaModel.fit(td.corpus(spark, sf_dir))
+    return _LSA[key]
+
+
+@register("lsa_embeddings")
+def lsa_embeddings(spark, sf_dir):
+    return _lsa(spark, sf_dir).embeddings().select("doc_id", F.size("embedding").cast("long").alias("dims"),
+                                                   "embedding")
+
+
+@register("lsa_encode_query")
+def lsa_encode_query(spark, sf_dir):
+    return _lsa(spark, sf_dir).encode(td.queries(spark, sf_dir))
+
+
+@register("lsa_search")
+def lsa_search(spark, sf_dir):
+    return _ranked(_lsa(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
+
+
+@register("lsa_variance")
+def lsa_variance(spark, sf_dir):
+    return _lsa(spark, sf_dir).variance_frame()
+
+
+@register("hybrid_lsa")
+def hybrid_lsa(spark, sf_dir):
+    c = td.corpus(spark, sf_dir)
+    h = HybridIndex(Bm25Index.build(c), _lsa(spark, sf_dir), fusion="rrf")
+    return _hybrid_out(h.search(td.queries(spark, sf_dir), top_k=TOP_K))

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .corpus import as_corpus, as_queries
 
 # Bound on the pattern set shipped to every task for the substring qrels.
@@ -69,6 +70,7 @@ def substring_qrels(documents: DataFrame, items: DataFrame) -> DataFrame:
     and shipped to each task); documents stream through once, O(text length)
     per document regardless of the number of items.  Empty items match
     nothing here (the reference has no empty judged query)."""
+    ship_package(documents.sparkSession)
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("query")).alias("bytes")).first()
     if (stats["bytes"] or 0) > MAX_PATTERN_BYTES:
         raise ValueError(f"item texts total {stats['bytes']} bytes; split the item table into batches")
