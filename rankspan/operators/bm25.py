@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bm25_document_text, bm25_tokens
 from ..session import scratch_path
-from .common import checked_broadcast, exact_mean, lookup, rank_padded, score_key
+from .common import by_document, checked_broadcast, exact_mean, lookup, rank_padded, score_key
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ class Bm25Index:
         (a document lives in one input split); the exchange only moves
         finished postings."""
         tokens = bm25_tokens(bm25_document_text("title", "text"))
-        exploded = (corpus.select("doc_id", "pos", tokens.alias("tokens"))
+        exploded = (by_document(corpus, "pos", "title", "text").select("doc_id", "pos", tokens.alias("tokens"))
                     .select("doc_id", "pos", F.size("tokens").alias("doc_len"),
                             F.explode_outer("tokens").alias("term")))
         postings_all = (exploded.groupBy("doc_id", "pos", "doc_len", "term")

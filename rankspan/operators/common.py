@@ -20,6 +20,17 @@ def score_key(score: Column | str, digits: int = 9) -> Column:
     return F.round(s, digits) + F.lit(0.0)
 
 
+def by_document(corpus: DataFrame, *cols: str) -> DataFrame:
+    """Narrow text projection hash-partitioned by doc_id.
+
+    Shuffling the raw text is cheaper than shuffling the postings it turns
+    into, it spreads work evenly whatever the input file layout (one large
+    row group is read by one task), and every later aggregate keyed by
+    (doc_id, ...) finds its input already clustered -- no second exchange."""
+    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return corpus.select("doc_id", *cols).repartition(n, "doc_id")
+
+
 def exact_sum(col: Column | str) -> Column:
     """Sum of doubles through DECIMAL(38,18): exact to 1e-18 and independent
     of summation order, so results do not move with the partitioning."""

@@ -29,7 +29,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -63,30 +64,156 @@ def _stack(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
 
 
-def sparse_product(x: DataFrame, dense: DataFrame, on: str, out: str) -> DataFrame:
-    """(out, vec) = sum over the shared key of weight * dense.vec.
-
-    x: (doc_id, term, weight) with weight >= 0; dense: (on, vec)."""
-    joined = x.select(on, out, "weight").join(dense.select(on, "vec"), on)
-    return (joined.groupBy(out)
-            .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("vec")), F.col("weight"))).alias("vec")))
+# ---------------------------------------------------------------- Arrow kernels
+# Vectors cross the JVM/Python boundary as Arrow list<double> columns and are
+# reshaped from the flat value buffer: no per-row Python objects.
+
+def _mat(arr) -> np.ndarray:
+    """list<double> Arrow array of equal-length rows -> (n, width) float64."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    if n == 0:
+        return np.zeros((0, 0))
+    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(n, len(flat) // n)
+
+
+def _list_array(m: np.ndarray) -> pa.Array:
+    n = m.shape[0]
+    w = m.shape[1] if m.ndim == 2 else 0
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * w)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(m, dtype=np.float64).ravel()))
+
+
+def _codes(arr) -> tuple[np.ndarray, pa.Array]:
+    """Dense integer codes of a key column and the distinct keys (C++ side)."""
+    enc = pc.dictionary_encode(arr)
+    if isinstance(enc, pa.ChunkedArray):
+        enc = enc.combine_chunks()
+    return enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), enc.dictionary
+
+
+def _bincount_rows(codes: np.ndarray, n: int, width: int, column) -> np.ndarray:
+    """out[c, j] = sum of column(j)[i] over rows i with code c."""
+    out = np.empty((n, width))
+    for j in range(width):
+        out[:, j] = np.bincount(codes, weights=column(j), minlength=n)
+    return out
+
+
+def _batch(names: list[str], arrays: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _table_of(batches) -> pa.Table | None:
+    bs = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(bs) if bs else None
+
+
+# Target number of triplets per co-group; a term found in more documents is
+# split over ceil(df / ROWS_PER_GROUP) salted groups.
+ROWS_PER_GROUP = 1_000_000
+
+
+def salted(x: DataFrame) -> DataFrame:
+    """Add (n_salts, salt) to rows carrying (doc_id, term, df)."""
+    n = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(ROWS_PER_GROUP))).cast("int")
+    return x.withColumn("n_salts", n).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("n_salts")).cast("int"))
+
+
+def _gather(on: str, out: str, carry: list[str]):
+    """cogroup body over Arrow tables: the triplets of one group and the
+    dense rows they refer to -> per-``out`` sums of weight * dense.vec."""
+    names = [out, *carry, "vec"]
+
+    def run(xt: pa.Table, dt: pa.Table) -> pa.Table:
+        if xt.num_rows == 0 or dt.num_rows == 0:
+            return pa.table({n: pa.array([], type=t) for n, t in zip(names, [xt.schema.field(out).type if xt.num_rows else pa.null(), *[pa.int32()] * len(carry), pa.list_(pa.float64())])})
+        idx = pc.index_in(xt.column(on), value_set=dt.column(on).combine_chunks())
+        keep = pc.is_valid(idx)
+        xt = xt.filter(keep)
+        rows = pc.drop_null(idx).to_numpy(zero_copy_only=False).astype(np.int64)
+        dense = _mat(dt.column("vec"))
+        w = xt.column("weight").to_numpy().astype(np.float64)
+        codes, uniq = _codes(xt.column(out))
+        sums = _bincount_rows(codes, len(uniq), dense.shape[1], lambda j: dense[rows, j] * w)
+        arrays = [uniq]
+        if carry:
+            first = pc.index_in(uniq, value_set=xt.column(out).combine_chunks())
+            for c in carry:
+                arrays.append(pc.take(xt.column(c).combine_chunks(), first))
+        arrays.append(_list_array(sums))
+        return pa.table(arrays, names=names)
+    return run
+
+
+def _final_sums(out: str, carry: list[str]):
+    """mapInArrow body: sum the partial vectors of each ``out`` key held by
+    this partition (the input is hash-partitioned by ``out``)."""
+    names = [out, *carry, "vec"]
+
+    def run(batches):
+        t = _table_of(batches)
+        if t is None:
+            return
+        codes, uniq = _codes(t.column(out))
+        m = _mat(t.column("vec"))
+        sums = _bincount_rows(codes, len(uniq), m.shape[1], lambda j: m[:, j])
+        arrays = [uniq]
+        if carry:
+            first = pc.index_in(uniq, value_set=t.column(out).combine_chunks())
+            for c in carry:
+                arrays.append(pc.take(t.column(c).combine_chunks(), first))
+        arrays.append(_list_array(sums))
+        yield from pa.table(arrays, names=names).to_batches()
+    return run
+
+
+def _sparse_product(x: DataFrame, dense: DataFrame, on: str, out: str, buckets: int) -> DataFrame:
+    """(out, vec) = sum over the shared key ``on`` of weight * dense.vec.
+
+    x: salted triplets (doc_id, term, weight, n_salts, salt); dense: (on,
+    [n_salts,] vec).  X and the dense side are co-grouped by a hash bucket of
+    ``on`` -- for ``on = term`` also by salt, with the dense rows of a hot term
+    replicated to each of its salts -- and numpy gathers and sums inside each
+    group, so only the narrow triplets and the dense rows are shuffled, never
+    nnz x l products.  Partial sums are then reduced per ``out`` key.
+    Output for ``out = term`` keeps n_salts for the next product."""
+    ship_package(x.sparkSession)
+    carry = ["n_salts"] if out == "term" else []
+    key_types = dict(x.dtypes)
+    schema = ", ".join([f"{out} {key_types[out]}", *[f"{c} int" for c in carry], "vec array<double>"])
+    bucket = F.pmod(F.xxhash64(on), F.lit(buckets))
+    xs = x.select(on, out, "weight", "salt", "n_salts").withColumn("_b", bucket)
+    ds = dense.select(on, *(["n_salts"] if on == "term" else []), "vec").withColumn("_b", bucket)
+    if on == "term":
+        ds = ds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)))
+        keys = ["_b", "salt"]
+    else:
+        keys = ["_b"]
+    partial = (xs.select(*keys, on, out, "weight", *carry).groupBy(*keys)
+               .cogroup(ds.select(*keys, on, "vec").groupBy(*keys))
+               .applyInArrow(_gather(on, out, carry), schema))
+    return partial.repartition(buckets, out).mapInArrow(_final_sums(out, carry), schema)
 
 
 def gram(df: DataFrame) -> np.ndarray | None:
     """sum over rows of vec vec^T as a local matrix: numpy per partition,
-    summed across partitions on the JVM side."""
+    summed across partitions on the JVM side; only l x l reaches the driver."""
     ship_package(df.sparkSession)
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def part(batches):
         g = None
         for b in batches:
-            if len(b) == 0:
+            if b.num_rows == 0:
                 continue
-            m = _stack(b["vec"])
+            m = _mat(b.column("vec"))
             g = m.T @ m if g is None else g + m.T @ m
         if g is not None:
-            yield pd.DataFrame({"g": [g.ravel()]})
+            yield pa.RecordBatch.from_arrays([_list_array(g.ravel()[None, :])], names=["g"])
 
-    row = (df.select("vec").mapInPandas(part, "g array<double>")
+    row = (df.select("vec").mapInArrow(part, "g array<double>")
            .agg(Summarizer.sum(array_to_vector(F.col("g"))).alias("s")).first())
     if row is None or row["s"] is None:
         return None
@@ -96,20 +223,23 @@ def gram(df: DataFrame) -> np.ndarray | None:
 
 
 def transform_rows(df: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
-    """(key, vec @ matrix) with the small matrix shipped to the tasks."""
+    """(key[, n_salts], vec @ matrix) with the small matrix shipped to the tasks."""
     ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast(matrix)
-    key_type = dict(df.dtypes)[key]
+    types = dict(df.dtypes)
+    keep = [key] + (["n_salts"] if "n_salts" in df.columns else [])
+    schema = ", ".join([f"{c} {types[c]}" for c in keep] + ["vec array<double>"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         t = bc.value
         for b in batches:
-            if len(b) == 0:
+            if b.num_rows == 0:
                 continue
-            out = _stack(b["vec"]) @ t
-            yield pd.DataFrame({key: b[key], "vec": list(out)})
+            out = _mat(b.column("vec")) @ t
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], _list_array(out)],
+                                             names=[*keep, "vec"])
 
-    return df.select(key, "vec").mapInPandas(run, f"{key} {key_type}, vec array<double>")
+    return df.select(*keep, "vec").mapInArrow(run, schema)
 
 
 def orthonormalizer(g: np.ndarray, tol: float = RANK_TOL) -> np.ndarray:
@@ -143,9 +273,15 @@ class LsaModel:
             df.write.mode("overwrite").parquet(path)
             return spark.read.parquet(path)
 
-        x = stage(tfidf.doc_weights.select("doc_id", "term", "weight"), "x")
+        x = stage(salted(tfidf.doc_weights.select("doc_id", "term", "weight", "df")), "x")
+        nnz = x.count()
+        buckets = max(spark.sparkContext.defaultParallelism, -(-nnz // ROWS_PER_GROUP))
         l_cols = n_components + n_oversamples
-        omega = tfidf.vocabulary.select("term", gaussian_vector(F.col("term"), l_cols, seed).alias("vec"))
+        omega = salted(tfidf.vocabulary.select("term", "df", F.lit(0).alias("doc_id"))).select(
+            "term", "n_salts", gaussian_vector(F.col("term"), l_cols, seed).alias("vec"))
+
+        def sparse_product(xx, dense, on, out):
+            return _sparse_product(xx, dense, on, out, buckets)
 
         def orth(product: DataFrame, key: str, name: str) -> tuple[DataFrame, np.ndarray]:
             p = stage(product, name)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.text import vector_document_text, vector_words, word_ngrams
 from ..session import scratch_path
-from .common import checked_broadcast, exact_sum_over, rank_padded, score_key, top_k
+from .common import by_document, checked_broadcast, exact_sum_over, rank_padded, score_key, top_k
 
 
 def _limit(value: float | int, n_docs: Column) -> Column:
@@ -47,14 +47,15 @@ class TfidfModel:
         self.vocabulary = (df.where((F.col("df") >= _limit(min_df, self.n_docs)) &
                                     (F.col("df") <= _limit(max_df, self.n_docs)))
                            .withColumn("idf", F.log((self.n_docs + 1) / (F.col("df") + 1)) + F.lit(1.0)))
-        self.doc_weights = self._weights(term_counts.join(self.vocabulary.select("term", "idf"), "term"),
-                                         "doc_id", ["doc_id", "pos", "term"])
+        # df rides along: the LSA fit sizes its skew salting from it
+        self.doc_weights = self._weights(term_counts.join(self.vocabulary.select("term", "df", "idf"), "term"),
+                                         "doc_id", ["doc_id", "pos", "term", "df"])
 
     @classmethod
     def fit(cls, corpus: DataFrame, ngram_range=(1, 2), stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS,
             min_df: float | int = 1, max_df: float | int = 0.95, sublinear_tf: bool = True) -> TfidfModel:
         words = vector_words(vector_document_text("title", "text"), stop_words)
-        counts = (corpus.select("doc_id", "pos", words.alias("words"))
+        counts = (by_document(corpus, "pos", "title", "text").select("doc_id", "pos", words.alias("words"))
                   .select("doc_id", "pos", F.explode(word_ngrams(F.col("words"), ngram_range)).alias("term"))
                   .groupBy("doc_id", "pos", "term").agg(F.count(F.lit(1)).alias("tf")))
         return cls(corpus, counts, ngram_range, stop_words, min_df, max_df, sublinear_tf)
