@@ -46,7 +46,8 @@ def main() -> None:
 
     bm25 = timed("index_bm25", lambda: Bm25Index.build(corpus).materialize())
     tfidf = timed("index_tfidf", lambda: TfidfModel.fit(corpus).materialize())
-    qrels_path = f"{bm25._postings_all.inputFiles()[0].rsplit('/', 2)[0]}/qrels"
+    from rankspan.session import scratch_path
+    qrels_path = scratch_path(spark, "qrels")
 
     def judgments():
         td.qrels(spark, sf_dir).write.mode("overwrite").parquet(qrels_path)

@@ -35,26 +35,40 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 class Bm25Index:
     def __init__(self, corpus: DataFrame, postings_all: DataFrame, k1: float = 1.5, b: float = 0.75,
-                 epsilon: float = 0.25):
+                 epsilon: float = 0.25, doc_lengths: DataFrame | None = None, terms: DataFrame | None = None,
+                 stats: dict | None = None):
         self.corpus = corpus
         self.k1 = float(k1)
         self.b = float(b)
         self.epsilon = float(epsilon)
         self._postings_all = postings_all
         self.postings = postings_all.where(F.col("term").isNotNull())
-        self.doc_lengths = postings_all.select("doc_id", "pos", "doc_len").distinct()
+        self.doc_lengths = (doc_lengths if doc_lengths is not None
+                            else postings_all.select("doc_id", "pos", "doc_len").distinct())
         self.stats = self.doc_lengths.agg(F.count(F.lit(1)).alias("n_docs"),
                                           F.avg("doc_len").alias("avgdl"),
                                           F.sum("doc_len").alias("n_tokens"))
-        self.n_docs = self.stats.select("n_docs").scalar()
-        self.avgdl = self.stats.select("avgdl").scalar()
-        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        raw = df.withColumn("raw_idf", F.log(self.n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-        # Exact mean: a DECIMAL sum does not depend on partitioning or order.
-        self.average_idf = raw.agg(exact_mean("raw_idf")).scalar()
-        self.terms = raw.withColumn(
-            "idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf).otherwise(F.col("raw_idf")))
-        self._negative_floor: bool | None = None
+        self._stats = stats
+        if stats is not None:
+            # a materialized index carries its one-row statistics as literals
+            self.n_docs, self.avgdl, self.average_idf = (F.lit(stats["n_docs"]), F.lit(stats["avgdl"]),
+                                                         F.lit(stats["average_idf"]))
+        else:
+            self.n_docs = self.stats.select("n_docs").scalar()
+            self.avgdl = self.stats.select("avgdl").scalar()
+        if terms is not None:
+            self.terms = terms
+            if stats is None:
+                self.average_idf = terms.agg(exact_mean("raw_idf")).scalar()
+        else:
+            df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            raw = df.withColumn("raw_idf", F.log(self.n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+            # Exact mean: a DECIMAL sum does not depend on partitioning or order.
+            self.average_idf = raw.agg(exact_mean("raw_idf")).scalar()
+            self.terms = raw.withColumn(
+                "idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf)
+                .otherwise(F.col("raw_idf")))
+        self._negative_floor: bool | None = (None if stats is None else stats["average_idf"] < 0)
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -62,10 +76,9 @@ class Bm25Index:
         """Tokenize ``title + " " + text`` and count terms per document.
 
         One pass over the text: ``explode_outer`` keeps a (term = NULL) row for
-        documents without tokens so that N and avgdl count them.  The
-        (doc_id, term) aggregate is complete after the map-side partial step
-        (a document lives in one input split); the exchange only moves
-        finished postings."""
+        documents without tokens so that N and avgdl count them.  The text is
+        hash-partitioned by doc_id first, so the (doc_id, ..., term) aggregate
+        needs no exchange of its own."""
         tokens = bm25_tokens(bm25_document_text("title", "text"))
         exploded = (by_document(corpus, "pos", "title", "text").select("doc_id", "pos", tokens.alias("tokens"))
                     .select("doc_id", "pos", F.size("tokens").alias("doc_len"),
@@ -77,16 +90,27 @@ class Bm25Index:
     def with_params(self, k1: float | None = None, b: float | None = None) -> Bm25Index:
         """Same postings and idf, other (k1, b): the index is parameter-free."""
         return Bm25Index(self.corpus, self._postings_all, self.k1 if k1 is None else k1,
-                         self.b if b is None else b, self.epsilon)
+                         self.b if b is None else b, self.epsilon, self.doc_lengths, self.terms, self._stats)
 
     def materialize(self, path: str | None = None) -> Bm25Index:
-        """Write postings to Parquet (default: a new folder under
-        ``spark.checkpoint.dir``) and return an index reading from it; this also
-        cuts the tokenization lineage."""
+        """Write postings, document lengths and the term table to Parquet
+        (default: a new folder under ``spark.checkpoint.dir``) and return an
+        index reading them back, with N, avgdl and the mean idf held as
+        literals (one small aggregate).  Searches then scan stored postings
+        only, and the tokenization lineage is cut."""
         spark = self._postings_all.sparkSession
-        path = path or scratch_path(spark, "bm25-postings")
-        self._postings_all.write.mode("overwrite").parquet(path)
-        return Bm25Index(self.corpus, spark.read.parquet(path), self.k1, self.b, self.epsilon)
+        path = (path or scratch_path(spark, "bm25")).rstrip("/")
+        self._postings_all.write.mode("overwrite").parquet(f"{path}/postings")
+        postings_all = spark.read.parquet(f"{path}/postings")
+        base = Bm25Index(self.corpus, postings_all, self.k1, self.b, self.epsilon)
+        base.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
+        base.terms.write.mode("overwrite").parquet(f"{path}/terms")
+        doc_lengths = spark.read.parquet(f"{path}/doc_lengths")
+        terms = spark.read.parquet(f"{path}/terms")
+        row = doc_lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
+        avg_idf = terms.agg(exact_mean("raw_idf").alias("a")).first()["a"]
+        stats = {"n_docs": int(row["n"]), "avgdl": float(row["avgdl"]), "average_idf": float(avg_idf)}
+        return Bm25Index(self.corpus, postings_all, self.k1, self.b, self.epsilon, doc_lengths, terms, stats)
 
     # ---------------------------------------------------------------- scoring
     def _term_score(self, idf: Column, tf: Column, doc_len: Column) -> Column:

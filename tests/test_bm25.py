@@ -103,3 +103,9 @@ def test_partition_independence(spark, fx):
         base = base or got
         assert got == base
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_materialized_index_matches(idx, fx):
+    mat = idx.materialize()
+    assert ranking(mat.search(fx[1], k=6)) == GOLD
+    assert ranking(mat.with_params(b=0.0).search(fx[1], k=6)) == ranking(idx.with_params(b=0.0).search(fx[1], k=6))
