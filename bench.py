@@ -31,10 +31,14 @@ from rankspan.sources import testdata as td  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", app="rankspan-bench", shuffle_partitions=2 * cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):   # optional: stage timings via tools/stage_times.py
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = get_spark(f"local[{cpus}]", app="rankspan-bench", shuffle_partitions=2 * cpus, extra=extra)
     timings: dict[str, float] = {}
 
     def timed(name, fn):
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         out = fn()
         timings[name] = round(time.perf_counter() - t0, 3)
