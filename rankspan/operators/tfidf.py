@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.text import vector_document_text, vector_words, word_ngrams
 from ..session import scratch_path
-from .common import by_document, checked_broadcast, exact_sum_over, rank_padded, score_key, top_k
+from .common import by_document, checked_broadcast, rank_padded, score_key, top_k
 
 
 def _limit(value: float | int, n_docs: Column) -> Column:
@@ -82,7 +82,11 @@ class TfidfModel:
 
     def _weights(self, with_idf: DataFrame, key: str, cols: list[str]) -> DataFrame:
         w = with_idf.withColumn("w", self._tf() * F.col("idf"))
-        norm = F.sqrt(exact_sum_over(F.col("w") * F.col("w"), Window.partitionBy(key)))
+        # Double sum in a fixed (term) order over the whole row: deterministic
+        # whatever the shuffle order, without BigDecimal arithmetic.
+        row = (Window.partitionBy(key).orderBy("term")
+               .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(row))
         return w.select(*cols, (F.col("w") / norm).alias("weight"))
 
     def transform(self, queries: DataFrame) -> DataFrame:
