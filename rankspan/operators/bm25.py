@@ -161,12 +161,15 @@ class Bm25Index:
         """Long form: (query_id, doc_id, term, contribution) for every distinct
         query term and every *known* document; OOV or absent terms give 0.0."""
         known = lookup(pairs, self.doc_lengths, ["doc_id"]).select("doc_id")
-        qterms = (pairs.join(F.broadcast(known), "doc_id")
+        known, _ = checked_broadcast(known)
+        qterms = (pairs.join(known, "doc_id")
                   .select("query_id", "doc_id", F.explode(F.array_distinct(bm25_tokens("query"))).alias("term")))
         idf = lookup(qterms, self.terms, ["term"]).select("term", "idf")
         tf = lookup(qterms, self.postings, ["doc_id", "term"]).select("doc_id", "term", "tf", "doc_len")
         contrib = self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
-        return (qterms.join(F.broadcast(idf), "term", "left").join(F.broadcast(tf), ["doc_id", "term"], "left")
+        idf, _ = checked_broadcast(idf)
+        tf, _ = checked_broadcast(tf)
+        return (qterms.join(idf, "term", "left").join(tf, ["doc_id", "term"], "left")
                 .select("query_id", "doc_id", "term", F.coalesce(contrib, F.lit(0.0)).alias("contribution")))
 
     def explain(self, pairs: DataFrame) -> DataFrame:
@@ -178,7 +181,7 @@ class Bm25Index:
                     .agg(F.map_from_entries(F.collect_list(F.struct("term", "contribution"))).alias("tc"),
                          F.sum("contribution").alias("ts")))
         base = (pairs.select("query_id", "doc_id", bm25_tokens("query").alias("query_tokens"))
-                .join(F.broadcast(lengths), "doc_id", "left")
+                .join(checked_broadcast(lengths)[0], "doc_id", "left")
                 .join(per_pair, ["query_id", "doc_id"], "left"))
         found = F.col("dl").isNotNull()
         empty_map = F.create_map().cast("map<string,double>")

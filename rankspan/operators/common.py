@@ -70,9 +70,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
 
 def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str], broadcast_keys: bool = True) -> DataFrame:
     """Rows of a big ``table`` whose key is among the (few) ``keys``: a
-    broadcast left-semi join that streams the big side once."""
+    left-semi join that streams the big side once, with the keys broadcast
+    when their count is under the bound (a shuffle semi-join otherwise)."""
     k = keys.select(*on).dropDuplicates()
-    return table.join(F.broadcast(k) if broadcast_keys else k, list(on), "left_semi")
+    if broadcast_keys:
+        k, _ = checked_broadcast(k)
+    return table.join(k, list(on), "left_semi")
 
 
 def first_docs(docs: DataFrame, depth: int, descending: bool = False) -> Column:

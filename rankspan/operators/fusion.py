@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import top_k
+from .common import checked_broadcast, top_k
 
 KEYS = ("query_id", "doc_id")
 
@@ -65,9 +65,10 @@ def linear_fusion(bm25: DataFrame, vector: DataFrame, alpha: float = 0.5, bm25_c
     vfields = [c for c in vector.columns if c not in (*KEYS, "rank")]
     b = bm25.select(*KEYS, F.col("rank").alias("_brank"), *[F.col(c).alias(f"_b_{c}") for c in bfields])
     v = vector.select(*KEYS, F.col("rank").alias("_vrank"), *[F.col(c).alias(f"_v_{c}") for c in vfields])
-    joined = (b.join(v, list(KEYS), "full_outer")
-              .join(F.broadcast(minmax_bounds(bm25, bm25_col, "_bb")), "query_id", "left")
-              .join(F.broadcast(minmax_bounds(vector, vector_col, "_vb")), "query_id", "left"))
+    # one bounds row per query: broadcast only under the checked bound
+    bb, _ = checked_broadcast(minmax_bounds(bm25, bm25_col, "_bb"))
+    vb, _ = checked_broadcast(minmax_bounds(vector, vector_col, "_vb"))
+    joined = b.join(v, list(KEYS), "full_outer").join(bb, "query_id", "left").join(vb, "query_id", "left")
     nb = (F.coalesce(F.col(f"_b_{bm25_col}"), F.lit(0.0)) - F.col("_bb_min")) / F.col("_bb_range")
     nv = (F.coalesce(F.col(f"_v_{vector_col}"), F.lit(0.0)) - F.col("_vb_min")) / F.col("_vb_range")
     a = float(alpha)
