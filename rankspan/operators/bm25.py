@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bm25_document_text, bm25_tokens
-from ..session import scratch_path
-from .common import by_document, checked_broadcast, exact_mean, lookup, rank_padded, score_key
+from ..session import checkpoint_dir, scratch_path
+from .common import bounded, by_document, checked_broadcast, exact_mean, lookup, rank_padded, score_key
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -157,31 +157,44 @@ class Bm25Index:
         return attach_fields(ranked, self.corpus) if fields else ranked
 
     # ---------------------------------------------------------------- explain
-    def explain_terms(self, pairs: DataFrame) -> DataFrame:
-        """Long form: (query_id, doc_id, term, contribution) for every distinct
-        query term and every *known* document; OOV or absent terms give 0.0."""
-        known = lookup(pairs, self.doc_lengths, ["doc_id"]).select("doc_id")
-        known, _ = checked_broadcast(known)
-        qterms = (pairs.join(known, "doc_id")
-                  .select("query_id", "doc_id", F.explode(F.array_distinct(bm25_tokens("query"))).alias("term")))
-        idf = lookup(qterms, self.terms, ["term"]).select("term", "idf")
-        tf = lookup(qterms, self.postings, ["doc_id", "term"]).select("doc_id", "term", "tf", "doc_len")
+    def _pair_terms(self, pairs: DataFrame) -> tuple[DataFrame, int]:
+        """(query_id, doc_id, term) per distinct query token of each pair
+        (term NULL for a query without tokens), checkpointed once.  An explain
+        request is bounded by nature; its row count bounds every lookup below
+        (distinct docs, terms and (doc, term) keys), so one count proves all
+        the broadcast sizes."""
+        checkpoint_dir(pairs.sparkSession)
+        pt = (pairs.select("query_id", "doc_id", F.explode_outer(F.array_distinct(bm25_tokens("query"))).alias("term"))
+              .checkpoint(eager=True))
+        return pt, pt.count()
+
+    def _explain_long(self, pt: DataFrame, bound: int) -> DataFrame:
+        known = bounded(lookup(pt, self.doc_lengths, ["doc_id"], bound=bound).select("doc_id"), bound)
+        qterms = pt.where(F.col("term").isNotNull()).join(known, "doc_id")
+        idf = bounded(lookup(qterms, self.terms, ["term"], bound=bound).select("term", "idf"), bound)
+        tf = bounded(lookup(qterms, self.postings, ["doc_id", "term"], bound=bound)
+                     .select("doc_id", "term", "tf", "doc_len"), bound)
         contrib = self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
-        idf, _ = checked_broadcast(idf)
-        tf, _ = checked_broadcast(tf)
         return (qterms.join(idf, "term", "left").join(tf, ["doc_id", "term"], "left")
                 .select("query_id", "doc_id", "term", F.coalesce(contrib, F.lit(0.0)).alias("contribution")))
 
+    def explain_terms(self, pairs: DataFrame) -> DataFrame:
+        """Long form: (query_id, doc_id, term, contribution) for every distinct
+        query term and every *known* document; OOV or absent terms give 0.0."""
+        return self._explain_long(*self._pair_terms(pairs))
+
     def explain(self, pairs: DataFrame) -> DataFrame:
         """One row per (query_id, query, doc_id) pair: query_tokens (duplicates
         kept), doc_token_count, term_contributions map, total_score (sum over
         distinct terms) and ``error`` for an unknown document."""
-        lengths = lookup(pairs, self.doc_lengths, ["doc_id"]).select("doc_id", F.col("doc_len").alias("dl"))
-        per_pair = (self.explain_terms(pairs).groupBy("query_id", "doc_id")
+        pt, bound = self._pair_terms(pairs)
+        lengths = bounded(lookup(pt, self.doc_lengths, ["doc_id"], bound=bound)
+                          .select("doc_id", F.col("doc_len").alias("dl")), bound)
+        per_pair = (self._explain_long(pt, bound).groupBy("query_id", "doc_id")
                     .agg(F.map_from_entries(F.collect_list(F.struct("term", "contribution"))).alias("tc"),
                          F.sum("contribution").alias("ts")))
         base = (pairs.select("query_id", "doc_id", bm25_tokens("query").alias("query_tokens"))
-                .join(checked_broadcast(lengths)[0], "doc_id", "left")
+                .join(lengths, "doc_id", "left")
                 .join(per_pair, ["query_id", "doc_id"], "left"))
         found = F.col("dl").isNotNull()
         empty_map = F.create_map().cast("map<string,double>")

@@ -68,13 +68,20 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     return df, False
 
 
-def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str], broadcast_keys: bool = True) -> DataFrame:
+def bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when a proven upper bound on its rows is under the limit."""
+    return F.broadcast(df) if bound <= max_rows else df
+
+
+def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str], broadcast_keys: bool = True,
+           bound: int | None = None) -> DataFrame:
     """Rows of a big ``table`` whose key is among the (few) ``keys``: a
     left-semi join that streams the big side once, with the keys broadcast
-    when their count is under the bound (a shuffle semi-join otherwise)."""
+    when their count (or the given upper ``bound`` on it) is under the limit
+    -- a shuffle semi-join otherwise."""
     k = keys.select(*on).dropDuplicates()
     if broadcast_keys:
-        k, _ = checked_broadcast(k)
+        k = bounded(k, bound) if bound is not None else checked_broadcast(k)[0]
     return table.join(k, list(on), "left_semi")
 
 
