@@ -109,3 +109,23 @@ def test_materialized_index_matches(idx, fx):
     mat = idx.materialize()
     assert ranking(mat.search(fx[1], k=6)) == GOLD
     assert ranking(mat.with_params(b=0.0).search(fx[1], k=6)) == ranking(idx.with_params(b=0.0).search(fx[1], k=6))
+
+
+def test_shuffle_fallback_when_over_broadcast_bound(fx, spark, monkeypatch):
+    """With a zero broadcast bound every join takes the shuffle path; results
+    must not change."""
+    from rankspan.operators import common
+    from rankspan.operators.fusion import linear_fusion
+    want = ranking(Bm25Index.build(fx[0]).search(fx[1], k=6))
+    pairs = spark.createDataFrame([("q1", "ferry ferry pier", "m1")], "query_id string, query string, doc_id string")
+    want_ex = {r["term"]: r["contribution"] for r in Bm25Index.build(fx[0]).explain_terms(pairs).collect()}
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common.checked_broadcast, "__defaults__", (0,))
+    monkeypatch.setattr(common.bounded, "__defaults__", (0,))
+    idx = Bm25Index.build(fx[0])
+    plan = idx.search(fx[1], k=6)
+    assert ranking(plan) == want
+    assert {r["term"]: r["contribution"] for r in idx.explain_terms(pairs).collect()} == want_ex
+    b = idx.search(fx[1], k=3).select("query_id", "rank", "doc_id", "bm25_score")
+    v = b.withColumnRenamed("bm25_score", "vector_score")
+    assert linear_fusion(b, v).count() == 15
