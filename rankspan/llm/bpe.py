@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches
+from .common import in_batches, widened
 from .textbuf import buffers, chunks, ranges
 
 CHUNK = 2 << 20
@@ -281,7 +281,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[list[str]]:
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with a column ``ids_col`` (array<bigint>) of token ids."""
     raw = vocabulary(docs.sparkSession, path)
-    schema = docs.drop(ids_col).schema.add(ids_col, "array<bigint>")
+    schema = widened(docs.drop(ids_col), ids_col, "array<bigint>")
 
     def work(batches):
         codec = _codec(raw.value)
@@ -303,7 +303,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
 def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` with the text that its token ids decode to; null ids give ''."""
     raw = vocabulary(docs.sparkSession, path)
-    schema = docs.drop(out_col).schema.add(out_col, "string")
+    schema = widened(docs.drop(out_col), out_col, "string")
 
     def work(batches):
         codec = _codec(raw.value)

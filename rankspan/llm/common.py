@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ..session import checkpoint_dir, ship_package
 
@@ -32,6 +33,11 @@ def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(work, schema)
 
 
+def widened(df: DataFrame, name: str, kind: str) -> StructType:
+    """Schema of ``df`` with one more column."""
+    return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
+
+
 def in_groups(df: DataFrame, key: str, work, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     return df.groupBy(key).applyInArrow(work, schema)
