@@ -12,6 +12,8 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ..session import checkpoint_dir, ship_package
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -19,10 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: the lineage
-    is cut, and a lost executor costs no more than its own tasks."""
+    is cut, and a lost executor costs no more than its own tasks.  The shuffle
+    files of the write are given up when it ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

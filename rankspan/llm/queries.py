@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, pii, quality, toxicity
+from . import ann, bpe, decontamination, extraction, licenses, neardup, pii, quality, substring, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +19,23 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +61,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_main_text": op4_main_text,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
