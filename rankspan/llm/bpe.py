@@ -317,24 +317,30 @@ def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", out_col:
     return in_batches(docs, work, schema)
 
 
-def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document: each
     text is encoded, the ids are decoded, and both results are digested in the
-    same task, so that ids and texts never travel."""
+    same task, so that ids and texts do not travel.  ``with_ids`` adds the ids."""
     raw = vocabulary(docs.sparkSession, path)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def work(batches):
         codec = _codec(raw.value)
         for batch in batches:
-            n_tokens, ids_sha, text_sha = [], [], []
+            n_tokens, ids_sha, text_sha, values = [], [], [], []
             for texts in text_chunks(batch.column(1)):
                 for ids in codec.encode(texts):
                     n_tokens.append(len(ids))
                     ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
                     text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work,
-                      "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                    if with_ids:
+                        values.append(ids)
+            columns = [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
+                       pa.array(text_sha, pa.string())]
+            if with_ids:
+                flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
+                ends = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
+
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, schema)
