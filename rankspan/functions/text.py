@@ -10,7 +10,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stopwords import ENGLISH_STOP_WORDS
@@ -99,3 +99,18 @@ def vector_terms(text: Column | str, ngram_range: tuple[int, int] = (1, 2),
     ``vector_words`` first and apply ``word_ngrams`` to that column so the
     regex runs once per row."""
     return word_ngrams(vector_words(text, stop_words), ngram_range)
+
+
+def with_term_counts(df: DataFrame, tokens: str, out: str) -> DataFrame:
+    """``df`` with ``out``: array<struct<term, tf>> of the distinct values of the
+    array column ``tokens``, as run lengths of the sorted array -- counted
+    inside the row, no exchange.  A null array gives an empty one."""
+    s, at = F.col("_sorted"), F.col("_starts")
+    n = F.size(s)
+    empty = F.array().cast("array<int>")
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
+                                    lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))).otherwise(empty)
+    runs = F.transform(at, lambda i, j: F.struct(
+        F.get(s, i).alias("term"), (F.coalesce(F.get(at, j + 1), n) - i).alias("tf")))
+    return (df.withColumn("_sorted", F.array_sort(F.coalesce(F.col(tokens), F.array().cast("array<string>"))))
+            .withColumn("_starts", starts).withColumn(out, runs).drop("_sorted", "_starts"))

@@ -14,8 +14,3 @@ def l2_normalize(vec: Column) -> Column:
     """Unit-length copy of ``vec`` as array<double>; a zero vector stays zero."""
     norm = l2_norm(vec)
     return F.transform(vec, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)

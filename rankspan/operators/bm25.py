@@ -1,20 +1,20 @@
-"""Okapi BM25 over an inverted postings table.
+"""Okapi BM25 over a document-clustered index.
 
-Index layout (all DataFrames, nothing held on the driver):
+``Bm25Index.build`` reads the text once and stages:
 
-* ``postings``    (doc_id, pos, doc_len, term, tf) -- one row per distinct
-  term of a document.  ``pos`` and ``doc_len`` ride along so that scoring
-  never joins back to the corpus.
-* ``doc_lengths`` (doc_id, pos, doc_len) -- one row per document, including
-  documents without any token.
-* ``terms``       (term, df, raw_idf, idf) -- idf = ln(N-df+0.5) - ln(df+0.5);
+* ``docs``   (doc_id, pos, doc_len, terms array<struct<term, tf>>) -- one row per
+  document, bucketed by doc_id.  Terms are counted inside the row (run lengths of
+  the sorted tokens), so neither the text nor (document, term) pairs are shuffled
+  to count them.
+* ``terms``  (term, df, raw_idf, idf) -- idf = ln(N-df+0.5) - ln(df+0.5);
   negative values are floored to ``epsilon * mean(raw_idf)``.
-* ``stats``       (n_docs, avgdl, n_tokens) -- one row.
 
-Search is a broadcast hash join of the (small, size-checked) query-term table
-against postings, followed by a partial+final hash aggregate on
-(query_id, doc_id) and a per-query top-k (WindowGroupLimit).  Postings are
-never shuffled for a search; a hot term only makes the map side longer.
+N, the average length and the mean idf are read from these small tables and held
+as literals.  A search stages the query weights (term, query_id, qtf * idf) -- a
+table whose size Catalyst knows, hence a broadcast while it is small -- joins
+them to the exploded rows and sums per (query, document).  The rows of a
+document are clustered already, so the sum needs no exchange, and the partial
+top-k (WindowGroupLimit) leaves about k rows per query and task to shuffle.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import bm25_document_text, bm25_tokens
-from ..session import checkpoint_dir, scratch_path
-from .common import bounded, by_document, checked_broadcast, exact_mean, lookup, rank_padded, score_key
+from ..functions.text import bm25_document_text, bm25_tokens, with_term_counts
+from .common import attach_fields, exact_mean, lookup, rank_padded, score_key, spread, stage, stage_by_document
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -34,83 +33,52 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 class Bm25Index:
-    def __init__(self, corpus: DataFrame, postings_all: DataFrame, k1: float = 1.5, b: float = 0.75,
-                 epsilon: float = 0.25, doc_lengths: DataFrame | None = None, terms: DataFrame | None = None,
-                 stats: dict | None = None):
-        self.corpus = corpus
-        self.k1 = float(k1)
-        self.b = float(b)
-        self.epsilon = float(epsilon)
-        self._postings_all = postings_all
-        self.postings = postings_all.where(F.col("term").isNotNull())
-        self.doc_lengths = (doc_lengths if doc_lengths is not None
-                            else postings_all.select("doc_id", "pos", "doc_len").distinct())
-        self.stats = self.doc_lengths.agg(F.count(F.lit(1)).alias("n_docs"),
-                                          F.avg("doc_len").alias("avgdl"),
+    def __init__(self, corpus: DataFrame, docs: DataFrame, terms: DataFrame, stats: dict, k1: float = 1.5,
+                 b: float = 0.75, epsilon: float = 0.25):
+        self.corpus, self.docs = corpus, docs
+        self.k1, self.b, self.epsilon = float(k1), float(b), float(epsilon)
+        self._terms, self._stats = terms, stats
+        self.n_docs, self.avgdl, self.average_idf = (F.lit(stats[c]) for c in ("n_docs", "avgdl", "average_idf"))
+        self.terms = terms.withColumn("idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf)
+                                      .otherwise(F.col("raw_idf")))
+        self.postings = docs.select("doc_id", "pos", "doc_len", F.explode("terms").alias("t")).select(
+            "doc_id", "pos", "doc_len", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
+        self.doc_lengths = docs.select("doc_id", "pos", "doc_len")
+        self.stats = self.doc_lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avgdl"),
                                           F.sum("doc_len").alias("n_tokens"))
-        self._stats = stats
-        if stats is not None:
-            # a materialized index carries its one-row statistics as literals
-            self.n_docs, self.avgdl, self.average_idf = (F.lit(stats["n_docs"]), F.lit(stats["avgdl"]),
-                                                         F.lit(stats["average_idf"]))
-        else:
-            self.n_docs = self.stats.select("n_docs").scalar()
-            self.avgdl = self.stats.select("avgdl").scalar()
-        if terms is not None:
-            self.terms = terms
-            if stats is None:
-                self.average_idf = terms.agg(exact_mean("raw_idf")).scalar()
-        else:
-            df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-            raw = df.withColumn("raw_idf", F.log(self.n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-            # Exact mean: a DECIMAL sum does not depend on partitioning or order.
-            self.average_idf = raw.agg(exact_mean("raw_idf")).scalar()
-            self.terms = raw.withColumn(
-                "idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf)
-                .otherwise(F.col("raw_idf")))
-        self._negative_floor: bool | None = (None if stats is None else stats["average_idf"] < 0)
 
     # ------------------------------------------------------------------ build
     @classmethod
-    def build(cls, corpus: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> Bm25Index:
-        """Tokenize ``title + " " + text`` and count terms per document.
-
-        One pass over the text: ``explode_outer`` keeps a (term = NULL) row for
-        documents without tokens so that N and avgdl count them.  The text is
-        hash-partitioned by doc_id first, so the (doc_id, ..., term) aggregate
-        needs no exchange of its own."""
+    def build(cls, corpus: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25,
+              path: str | None = None) -> Bm25Index:
+        """Tokenize ``title + " " + text`` and stage the index (below ``path``,
+        or in a new folder under ``spark.checkpoint.dir``).  A null text or an
+        empty corpus is a ``ValueError``."""
+        base = path.rstrip("/") if path else None
         tokens = bm25_tokens(bm25_document_text("title", "text"))
-        exploded = (by_document(corpus, "pos", "title", "text").select("doc_id", "pos", tokens.alias("tokens"))
-                    .select("doc_id", "pos", F.size("tokens").alias("doc_len"),
-                            F.explode_outer("tokens").alias("term")))
-        postings_all = (exploded.groupBy("doc_id", "pos", "doc_len", "term")
-                        .agg(F.count(F.lit(1)).alias("tf")))
-        return cls(corpus, postings_all, k1, b, epsilon)
+        counted = with_term_counts(spread(corpus.select("doc_id", "pos", "title", "text"))
+                                   .select("doc_id", "pos", tokens.alias("tokens")), "tokens", "terms")
+        docs = stage_by_document(counted.select("doc_id", "pos", F.when(F.col("tokens").isNotNull(), F.size("tokens"))
+                                                .alias("doc_len"), "terms"), "bm25-docs", base and f"{base}/docs")
+        row = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_len").alias("with_text"),
+                       F.avg("doc_len").alias("avgdl")).first()
+        if not row["n"]:
+            raise ValueError("the corpus has no documents")
+        if row["with_text"] < row["n"]:
+            raise ValueError(f"{row['n'] - row['with_text']} documents have no text")
+        n = F.lit(int(row["n"]))
+        df = docs.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        raw = df.withColumn("raw_idf", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+        terms = stage(raw, "bm25-terms", base and f"{base}/terms")
+        # Exact mean: a DECIMAL sum does not depend on partitioning or order.
+        mean = terms.agg(exact_mean("raw_idf").alias("a")).first()["a"]
+        stats = {"n_docs": int(row["n"]), "avgdl": float(row["avgdl"]), "average_idf": float(mean or 0.0)}
+        return cls(corpus, docs, terms, stats, k1, b, epsilon)
 
     def with_params(self, k1: float | None = None, b: float | None = None) -> Bm25Index:
-        """Same postings and idf, other (k1, b): the index is parameter-free."""
-        return Bm25Index(self.corpus, self._postings_all, self.k1 if k1 is None else k1,
-                         self.b if b is None else b, self.epsilon, self.doc_lengths, self.terms, self._stats)
-
-    def materialize(self, path: str | None = None) -> Bm25Index:
-        """Write postings, document lengths and the term table to Parquet
-        (default: a new folder under ``spark.checkpoint.dir``) and return an
-        index reading them back, with N, avgdl and the mean idf held as
-        literals (one small aggregate).  Searches then scan stored postings
-        only, and the tokenization lineage is cut."""
-        spark = self._postings_all.sparkSession
-        path = (path or scratch_path(spark, "bm25")).rstrip("/")
-        self._postings_all.write.mode("overwrite").parquet(f"{path}/postings")
-        postings_all = spark.read.parquet(f"{path}/postings")
-        base = Bm25Index(self.corpus, postings_all, self.k1, self.b, self.epsilon)
-        base.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
-        base.terms.write.mode("overwrite").parquet(f"{path}/terms")
-        doc_lengths = spark.read.parquet(f"{path}/doc_lengths")
-        terms = spark.read.parquet(f"{path}/terms")
-        row = doc_lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
-        avg_idf = terms.agg(exact_mean("raw_idf").alias("a")).first()["a"]
-        stats = {"n_docs": int(row["n"]), "avgdl": float(row["avgdl"]), "average_idf": float(avg_idf)}
-        return Bm25Index(self.corpus, postings_all, self.k1, self.b, self.epsilon, doc_lengths, terms, stats)
+        """Same index, other (k1, b): what is staged does not depend on them."""
+        return Bm25Index(self.corpus, self.docs, self._terms, self._stats, self.k1 if k1 is None else k1,
+                         self.b if b is None else b, self.epsilon)
 
     # ---------------------------------------------------------------- scoring
     def _term_score(self, idf: Column, tf: Column, doc_len: Column) -> Column:
@@ -120,22 +88,16 @@ class Bm25Index:
 
     def negative_floor(self) -> bool:
         """True when the idf floor is negative (mean raw idf < 0), the only
-        case with negative scores.  One-row action, cached."""
-        if self._negative_floor is None:
-            avg = self._postings_all.sparkSession.range(1).select(self.average_idf.alias("a")).first()["a"]
-            self._negative_floor = avg is not None and avg < 0
-        return self._negative_floor
+        case with negative scores."""
+        return self._stats["average_idf"] < 0
 
     def score(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_id, pos, bm25_score) for every document sharing a
         term with the query (including score 0 when only idf-0 terms match)."""
-        qt, small = checked_broadcast(query_terms(queries))
-        qw = self.terms.select("term", "idf").join(qt, "term")
-        # qw has at most as many rows as qt, so the same bound holds.
-        qw = F.broadcast(qw) if small else qw
-        matched = self.postings.join(qw, "term")
+        weights = stage(self.terms.select("term", "idf").join(query_terms(queries), "term"), "bm25-query")
         contribution = F.col("qtf") * self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
-        return matched.groupBy("query_id", "doc_id", "pos").agg(F.sum(contribution).alias("bm25_score"))
+        return (self.postings.join(weights, "term").groupBy("query_id", "doc_id", "pos")
+                .agg(F.sum(contribution).alias("bm25_score")))
 
     def search(self, queries: DataFrame, k: int = 5, fields: bool = False) -> DataFrame:
         """Top-k per query: (query_id, rank, doc_id, pos, bm25_score[, corpus fields]).
@@ -146,9 +108,12 @@ class Bm25Index:
         (m = negative-score matches, 0 unless the idf floor is negative), so
         the padding is a bounded scalar-subquery array exploded per query,
         minus the documents that already have a non-zero score."""
+        if k < 0:
+            raise ValueError("top_k must be >= 0")
         scored = self.score(queries)
         depth = k
         if self.negative_floor():
+            scored = stage(scored, "bm25-scores")
             neg = (scored.where(score_key("bm25_score") < 0).groupBy("query_id").count()
                    .agg(F.max("count")).first()[0])
             depth += int(neg or 0)
@@ -157,40 +122,33 @@ class Bm25Index:
         return attach_fields(ranked, self.corpus) if fields else ranked
 
     # ---------------------------------------------------------------- explain
-    def _pair_terms(self, pairs: DataFrame) -> tuple[DataFrame, int]:
+    def _pair_terms(self, pairs: DataFrame) -> DataFrame:
         """(query_id, doc_id, term) per distinct query token of each pair
-        (term NULL for a query without tokens), checkpointed once.  An explain
-        request is bounded by nature; its row count bounds every lookup below
-        (distinct docs, terms and (doc, term) keys), so one count proves all
-        the broadcast sizes."""
-        checkpoint_dir(pairs.sparkSession)
-        pt = (pairs.select("query_id", "doc_id", F.explode_outer(F.array_distinct(bm25_tokens("query"))).alias("term"))
-              .checkpoint(eager=True))
-        return pt, pt.count()
-
-    def _explain_long(self, pt: DataFrame, bound: int) -> DataFrame:
-        known = bounded(lookup(pt, self.doc_lengths, ["doc_id"], bound=bound).select("doc_id"), bound)
-        qterms = pt.where(F.col("term").isNotNull()).join(known, "doc_id")
-        idf = bounded(lookup(qterms, self.terms, ["term"], bound=bound).select("term", "idf"), bound)
-        tf = bounded(lookup(qterms, self.postings, ["doc_id", "term"], bound=bound)
-                     .select("doc_id", "term", "tf", "doc_len"), bound)
+        (term NULL for a query without tokens), staged once."""
+        return stage(pairs.select("query_id", "doc_id", F.explode_outer(F.array_distinct(bm25_tokens("query")))
+                                  .alias("term")), "explain-terms")
+
+    def _explain_long(self, pt: DataFrame) -> DataFrame:
+        in_row = F.filter("terms", lambda t: t["term"] == F.col("term"))
+        known = (self.docs.join(pt.where(F.col("term").isNotNull()), "doc_id")
+                 .select("query_id", "doc_id", "term", "doc_len", F.get(in_row, F.lit(0))["tf"].alias("tf")))
+        idf = lookup(pt, self.terms, ["term"]).select("term", "idf")
         contrib = self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
-        return (qterms.join(idf, "term", "left").join(tf, ["doc_id", "term"], "left")
-                .select("query_id", "doc_id", "term", F.coalesce(contrib, F.lit(0.0)).alias("contribution")))
+        return known.join(idf, "term", "left").select(
+            "query_id", "doc_id", "term", F.coalesce(contrib, F.lit(0.0)).alias("contribution"))
 
     def explain_terms(self, pairs: DataFrame) -> DataFrame:
         """Long form: (query_id, doc_id, term, contribution) for every distinct
         query term and every *known* document; OOV or absent terms give 0.0."""
-        return self._explain_long(*self._pair_terms(pairs))
+        return self._explain_long(self._pair_terms(pairs))
 
     def explain(self, pairs: DataFrame) -> DataFrame:
         """One row per (query_id, query, doc_id) pair: query_tokens (duplicates
         kept), doc_token_count, term_contributions map, total_score (sum over
         distinct terms) and ``error`` for an unknown document."""
-        pt, bound = self._pair_terms(pairs)
-        lengths = bounded(lookup(pt, self.doc_lengths, ["doc_id"], bound=bound)
-                          .select("doc_id", F.col("doc_len").alias("dl")), bound)
-        per_pair = (self._explain_long(pt, bound).groupBy("query_id", "doc_id")
+        pt = self._pair_terms(pairs)
+        lengths = lookup(pt, self.doc_lengths, ["doc_id"]).select("doc_id", F.col("doc_len").alias("dl"))
+        per_pair = (self._explain_long(pt).groupBy("query_id", "doc_id")
                     .agg(F.map_from_entries(F.collect_list(F.struct("term", "contribution"))).alias("tc"),
                          F.sum("contribution").alias("ts")))
         base = (pairs.select("query_id", "doc_id", bm25_tokens("query").alias("query_tokens"))
@@ -206,11 +164,3 @@ class Bm25Index:
             F.when(found, F.coalesce(F.col("ts"), F.lit(0.0))).alias("total_score"),
             F.when(~found, F.concat(F.lit("Document "), F.col("doc_id").cast("string"), F.lit(" not found")))
             .alias("error"))
-
-
-def attach_fields(results: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Join the corpus columns onto at most k rows per query.  The result side
-    is bounded by (#queries x k); it is broadcast and the corpus streamed."""
-    fields = corpus.drop("pos")
-    small, _ = checked_broadcast(results)
-    return fields.join(small, "doc_id").select(*results.columns, *[c for c in fields.columns if c != "doc_id"])

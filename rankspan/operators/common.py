@@ -1,16 +1,14 @@
-"""Shared plan fragments: per-group top-k, size-checked broadcast, lookups."""
+"""Shared plan fragments: staging, per-group top-k, padding, lookups."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on rows of a side we are willing to broadcast.  The bound is
-# verified with a count before the hint is applied; beyond it the plan stays a
-# shuffle join (AQE splits skewed partitions).
-MAX_BROADCAST_ROWS = 2_000_000
+from ..session import scratch_path
 
 
 def score_key(score: Column | str, digits: int = 9) -> Column:
@@ -20,15 +18,33 @@ def score_key(score: Column | str, digits: int = 9) -> Column:
     return F.round(s, digits) + F.lit(0.0)
 
 
-def by_document(corpus: DataFrame, *cols: str) -> DataFrame:
-    """Narrow text projection hash-partitioned by doc_id.
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least one partition per core.  A table of many splits is
+    left where it is (no exchange); only a table of fewer splits than cores -
+    a single row group, say - is dealt out."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
-    Shuffling the raw text is cheaper than shuffling the postings it turns
-    into, it spreads work evenly whatever the input file layout (one large
-    row group is read by one task), and every later aggregate keyed by
-    (doc_id, ...) finds its input already clustered -- no second exchange."""
-    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return corpus.select("doc_id", *cols).repartition(n, "doc_id")
+
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to Parquet (below ``spark.checkpoint.dir`` by default) and
+    read it back.  The lineage is cut, and Catalyst knows the true size of what
+    it joins next, so broadcasts follow from ``autoBroadcastJoinThreshold``."""
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_by_document(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``stage`` as a table bucketed by ``doc_id``: aggregates and joins keyed on
+    the document (alone or with more columns) then need no exchange."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    buckets = max(spark.sparkContext.defaultParallelism, min(df.rdd.getNumPartitions(), 4096))
+    table = f"rankspan_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
+    (df.repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id").option("path", path).format("parquet")
+     .mode("overwrite").saveAsTable(table))
+    return spark.table(table)
 
 
 def exact_sum(col: Column | str) -> Column:
@@ -38,12 +54,6 @@ def exact_sum(col: Column | str) -> Column:
     return F.sum(c.cast("decimal(38,18)")).cast("double")
 
 
-def exact_sum_over(col: Column | str, window) -> Column:
-    """``exact_sum`` as a window aggregate."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(38,18)")).over(window).cast("double")
-
-
 def exact_mean(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return exact_sum(c) / F.count(c)
@@ -60,29 +70,9 @@ def top_k(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column]
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(k))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after counting it under ``max_rows``."""
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when a proven upper bound on its rows is under the limit."""
-    return F.broadcast(df) if bound <= max_rows else df
-
-
-def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str], broadcast_keys: bool = True,
-           bound: int | None = None) -> DataFrame:
-    """Rows of a big ``table`` whose key is among the (few) ``keys``: a
-    left-semi join that streams the big side once, with the keys broadcast
-    when their count (or the given upper ``bound`` on it) is under the limit
-    -- a shuffle semi-join otherwise."""
-    k = keys.select(*on).dropDuplicates()
-    if broadcast_keys:
-        k = bounded(k, bound) if bound is not None else checked_broadcast(k)[0]
-    return table.join(k, list(on), "left_semi")
+def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of a big ``table`` whose key is among ``keys``: a left-semi join."""
+    return table.join(keys.select(*on).dropDuplicates(), list(on), "left_semi")
 
 
 def first_docs(docs: DataFrame, depth: int, descending: bool = False) -> Column:
@@ -123,3 +113,15 @@ def rank_padded(queries: DataFrame, scored: DataFrame, docs: DataFrame, k: int,
               .withColumn("_sk", score_key(score_col)))
     ranked = top_k(merged, ["query_id"], order, k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", score_col)
+
+
+def attach_fields(results: DataFrame, corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """Result rows with the corpus columns of their document (those that the
+    rows do not have yet) and, given ``queries``, the query text.  The rows are
+    staged (at most queries x k), so the corpus is streamed against them."""
+    rows = stage(results, "results")
+    fields = [c for c in corpus.columns if c not in rows.columns]
+    out = corpus.select("doc_id", *fields).join(rows, "doc_id").select(*rows.columns, *fields)
+    if queries is not None:
+        out = out.join(queries.select("query_id", "query"), "query_id").select("query_id", "query", *out.columns[1:])
+    return out

@@ -1,40 +1,40 @@
 """Exact dense k-nearest-neighbour search by cosine similarity.
 
 Every (query, document) score is computed -- the reference ranks the whole
-corpus -- but never materialised: each task multiplies a block of documents
-by the query matrix with numpy (Arrow batches in, no per-row Python) and keeps
-only a running top-k per query, so a task emits at most ~k rows per query.
-A final ``row_number`` window (WindowGroupLimit) merges the partial lists.
-
-Two layouts:
-
-* broadcast (default): the query matrix is collected once -- only after its
-  size was checked against ``max_broadcast_bytes`` -- and shipped to every
-  task; the corpus is scanned in place with no shuffle.
-* blocked: both sides are hashed into blocks and paired with
-  ``cogroup``; each group holds one query block and one corpus block, so
-  memory per task stays bounded however many queries there are.
-
-Ties resolve as in the vector retriever: score desc (rounded to 9 digits),
-then pos desc.
+corpus -- but never materialised.  Both sides are hashed into blocks sized from
+row count x vector width, and every pair of a query block and a document block
+is one co-group: numpy multiplies the two blocks (Arrow buffers in, no per-row
+Python) and keeps exactly k rows per query.  Memory per task is bounded by the
+block size however many queries or documents there are, and a final
+``row_number`` window (WindowGroupLimit) merges the partial lists.
+
+Ties resolve as in the vector retriever: score desc (rounded to 9 digits), then
+pos desc -- inside the block already, so zero vectors or crowds of equal
+documents cost no more rows than any other query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import score_key, top_k
+from .common import attach_fields, score_key, top_k
+
+BLOCK_BYTES = 32 << 20      # vectors of one block
+BLOCK_CELLS = 4_000_000     # scores held at once inside a task
+
 
-MAX_BROADCAST_BYTES = 256 << 20
-# Scores per numpy block product (rows x queries); bounds task memory.
-BLOCK_CELLS = 4_000_000
-TIE_MARGIN = 2e-9
+def vectors(column) -> np.ndarray:
+    """list<double> Arrow column of equal-length rows -> (rows, width) float64."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    n = len(column)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(n, len(flat) // n) if n else np.zeros((0, 0))
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -45,76 +45,25 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def _stack(vectors: pd.Series) -> np.ndarray:
-    if len(vectors) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-
-
-class _TopK:
-    """Running per-query candidate pool (flat arrays), reduced to the top k
-    (plus ties within TIE_MARGIN) whenever it grows."""
-
-    def __init__(self, k: int, n_queries: int):
-        self.k, self.nq = k, n_queries
-        self.q = np.zeros(0, np.int64)
-        self.s = np.zeros(0)
-        self.row: list[np.ndarray] = []
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, qidx: np.ndarray, scores: np.ndarray, rows: np.ndarray) -> None:
-        self.parts.append((qidx, scores, rows))
-        self.size += len(qidx)
-        if self.size > 8 * self.k * max(self.nq, 1) + 100_000:
-            self.reduce()
-
-    def reduce(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-        q = np.concatenate([p[0] for p in self.parts])
-        s = np.concatenate([p[1] for p in self.parts])
-        r = np.concatenate([p[2] for p in self.parts])
-        order = np.lexsort((-s, q))
-        q, s, r = q[order], s[order], r[order]
-        starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
-        group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(q)]))
-        rank = np.arange(len(q)) - starts[group]
-        sizes = np.diff(np.r_[starts, len(q)])
-        kth_pos = starts + np.minimum(self.k, sizes) - 1
-        thr = s[kth_pos] - TIE_MARGIN
-        keep = (rank < self.k) | (s >= thr[group])
-        q, s, r = q[keep], s[keep], r[keep]
-        self.parts = [(q, s, r)]
-        self.size = len(q)
-        return q, s, r
-
-
-def _block_candidates(docs: np.ndarray, queries: np.ndarray, k: int, pool: _TopK, row_offset: int) -> None:
-    """Score a document block against all queries (chunked) and add the
-    per-query top-k candidates (with ties) to ``pool``."""
-    n = docs.shape[0]
-    if n == 0 or queries.shape[0] == 0:
-        return
-    chunk = max(1, BLOCK_CELLS // n)
-    for c0 in range(0, queries.shape[0], chunk):
-        qm = queries[c0:c0 + chunk]
-        scores = docs @ qm.T                                  # n x qc
-        if n > k:
-            part = np.argpartition(-scores, k - 1, axis=0)[:k]  # k x qc
-            kth = scores[part, np.arange(scores.shape[1])].min(axis=0)
-            rows, cols = np.nonzero(scores >= (kth - TIE_MARGIN)[None, :])
-        else:
-            rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        pool.add(cols.astype(np.int64) + c0, scores[rows, cols], rows.astype(np.int64) + row_offset)
-
-
-def _emit(pool: _TopK, qids: np.ndarray, doc_ids: list, pos: list) -> pd.DataFrame:
-    q, s, r = pool.reduce()
-    d = np.asarray(doc_ids, dtype=object)
-    p = np.asarray(pos, dtype=object)
-    return pd.DataFrame({"query_id": qids[q] if len(q) else qids[:0], "doc_id": d[r] if len(r) else d[:0],
-                         "pos": p[r] if len(r) else p[:0], "vector_score": s})
+def block_top_k(queries: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, doc row, score): exactly min(k, docs) rows per query; of equal
+    rounded scores the earlier document row counts as nearer."""
+    n, qs, ds, ss = len(docs), [], [], []
+    step = max(1, BLOCK_CELLS // max(1, n))
+    for lo in range(0, len(queries), step):
+        scores = queries[lo:lo + step] @ docs.T
+        key = np.round(scores, 9)
+        least = np.partition(key, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -np.inf)
+        for i, row in enumerate(key):
+            rows = np.flatnonzero(row > least[i])
+            if len(rows) < min(k, n):
+                rows = np.concatenate([rows, np.flatnonzero(row == least[i])[:k - len(rows)]] if n > k else [np.arange(n)])
+            qs.append(np.full(len(rows), lo + i))
+            ds.append(rows)
+            ss.append(scores[i, rows])
+    if not qs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return np.concatenate(qs), np.concatenate(ds), np.concatenate(ss)
 
 
 def _types(queries: DataFrame, corpus: DataFrame) -> str:
@@ -123,79 +72,47 @@ def _types(queries: DataFrame, corpus: DataFrame) -> str:
     return f"query_id {qt}, doc_id {ct['doc_id']}, pos {ct['pos']}, vector_score double"
 
 
-def _broadcast_plan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    ship_package(queries.sparkSession)
-    pdf = queries.select("query_id", "embedding").toPandas()
-    qids = pdf["query_id"].to_numpy()
-    qmat = _unit_rows(_stack(pdf["embedding"]))
-    bc = corpus.sparkSession.sparkContext.broadcast((qids, qmat))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, m = bc.value
-        pool = _TopK(k, len(ids))
-        doc_ids: list = []
-        pos: list = []
-        for b in batches:
-            if len(b) == 0:
-                continue
-            _block_candidates(_unit_rows(_stack(b["embedding"])), m, k, pool, len(doc_ids))
-            doc_ids.extend(b["doc_id"].tolist())
-            pos.extend(b["pos"].tolist())
-            # keep only rows still referenced by the pool
-            q, s, r = pool.reduce()
-            if len(doc_ids) > 4 * len(r) + 10_000:
-                keep, remap = np.unique(r, return_inverse=True)
-                doc_ids = [doc_ids[i] for i in keep]
-                pos = [pos[i] for i in keep]
-                pool.parts = [(q, s, remap.astype(np.int64))]
-        yield _emit(pool, ids, doc_ids, pos)
-
-    return corpus.select("doc_id", "pos", "embedding").mapInPandas(run, _types(queries, corpus))
-
-
-def _blocked_plan(queries: DataFrame, corpus: DataFrame, k: int, q_blocks: int, c_blocks: int) -> DataFrame:
-    ship_package(queries.sparkSession)
-    # fresh column names: both sides may come from the same table
-    qb = (queries.select("query_id", F.col("embedding").alias("q_vec"))
-          .withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
-          .withColumn("cblock", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)).cast("array<long>"))))
-    cb = (corpus.select("doc_id", "pos", F.col("embedding").alias("d_vec"))
-          .withColumn("cblock", F.pmod(F.xxhash64("doc_id"), F.lit(c_blocks)))
-          .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>"))))
-
-    def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(cpdf) == 0:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "pos": [], "vector_score": []})
-        ids = qpdf["query_id"].to_numpy()
-        pool = _TopK(k, len(ids))
-        _block_candidates(_unit_rows(_stack(cpdf["d_vec"])), _unit_rows(_stack(qpdf["q_vec"])), k, pool, 0)
-        return _emit(pool, ids, cpdf["doc_id"].tolist(), cpdf["pos"].tolist())
-
-    return (qb.groupBy("cblock", "qblock").cogroup(cb.groupBy("cblock", "qblock"))
-            .applyInPandas(run, _types(queries, corpus)))
+def _blocks(df: DataFrame) -> int:
+    size = df.agg(F.sum(F.size("embedding")).alias("n")).first()["n"] or 0
+    return max(1, -(-8 * size // BLOCK_BYTES))
 
 
-def dense_knn(queries: DataFrame, corpus: DataFrame, k: int = 5, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-              q_blocks: int | None = None, c_blocks: int | None = None) -> DataFrame:
+def dense_knn(queries: DataFrame, corpus: DataFrame, k: int = 5, q_blocks: int | None = None,
+              c_blocks: int | None = None, fields: DataFrame | None = None) -> DataFrame:
     """Top-k documents per query by cosine similarity of L2-normalised vectors.
 
     queries: (query_id, embedding array<double>); corpus: (doc_id, pos,
-    embedding).  Returns (query_id, rank, doc_id, pos, vector_score)."""
+    embedding).  Returns (query_id, rank, doc_id, pos, vector_score) and, given a
+    corpus table ``fields``, its columns for each document."""
     if k < 0:
         raise ValueError("top_k must be >= 0")
     if k == 0:
         schema = _types(queries, corpus).replace("pos", "rank int, pos", 1)
         return corpus.sparkSession.createDataFrame([], schema)
-    if q_blocks is None:
-        stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
-        small = (stats["n"] or 0) * (stats["d"] or 0) * 8 <= max_broadcast_bytes
-    else:
-        small = False
-    if small:
-        partial = _broadcast_plan(queries, corpus, k)
-    else:
-        n_parts = corpus.sparkSession.sparkContext.defaultParallelism
-        partial = _blocked_plan(queries, corpus, k, q_blocks or max(1, n_parts), c_blocks or max(1, n_parts))
+    ship_package(queries.sparkSession)
+    # enough document blocks to keep all cores busy; more where the data is large
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    q_blocks, c_blocks = q_blocks or _blocks(queries), c_blocks or max(cores, _blocks(corpus))
+    # fresh column names: both sides may come from the same table
+    qb = (queries.select("query_id", F.col("embedding").alias("q_vec"))
+          .withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
+          .withColumn("cblock", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)).cast("array<long>"))))
+    cb = (corpus.select("doc_id", "pos", F.col("embedding").alias("d_vec"))
+          .withColumn("cblock", F.pmod(F.xxhash64("doc_id"), F.lit(c_blocks)))
+          .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>"))))
+    names = ["query_id", "doc_id", "pos", "vector_score"]
+
+    def run(q: pa.Table, c: pa.Table) -> pa.Table:
+        if not q.num_rows or not c.num_rows:
+            empty = [q.schema.field("query_id").type, c.schema.field("doc_id").type, c.schema.field("pos").type, pa.float64()]
+            return pa.table([pa.array([], t) for t in empty], names=names)
+        c = c.take(pc.sort_indices(c, sort_keys=[("pos", "descending")]))
+        qr, dr, score = block_top_k(_unit_rows(vectors(q.column("q_vec"))), _unit_rows(vectors(c.column("d_vec"))), k)
+        return pa.table([q.column("query_id").take(pa.array(qr)), c.column("doc_id").take(pa.array(dr)),
+                         c.column("pos").take(pa.array(dr)), pa.array(score)], names=names)
+
+    partial = qb.groupBy("cblock", "qblock").cogroup(cb.groupBy("cblock", "qblock")).applyInArrow(run, _types(queries, corpus))
     ranked = top_k(partial.withColumn("_sk", score_key("vector_score")), ["query_id"],
                    [F.col("_sk").desc(), F.col("pos").desc()], k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", "vector_score")
+    ranked = ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", "vector_score")
+    return attach_fields(ranked, fields) if fields is not None else ranked

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, top_k
+from .common import top_k
 
 KEYS = ("query_id", "doc_id")
 
@@ -60,17 +60,20 @@ def linear_fusion(bm25: DataFrame, vector: DataFrame, alpha: float = 0.5, bm25_c
     so its normalised value is -min/range.  The score is rounded to 6 before
     sorting; ties keep BM25 list order, then vector-only documents in vector
     order.  Fields come from the vector list when present (the last list
-    wins).  Output: (query_id, rank, doc_id, linear_score, fields...)."""
+    wins).  A query that one list lacks altogether is an error when it is evaluated
+    (its scores cannot be normalised).  Output: (query_id, rank, doc_id, linear_score, fields...)."""
     bfields = [c for c in bm25.columns if c not in (*KEYS, "rank")]
     vfields = [c for c in vector.columns if c not in (*KEYS, "rank")]
     b = bm25.select(*KEYS, F.col("rank").alias("_brank"), *[F.col(c).alias(f"_b_{c}") for c in bfields])
     v = vector.select(*KEYS, F.col("rank").alias("_vrank"), *[F.col(c).alias(f"_v_{c}") for c in vfields])
-    # one bounds row per query: broadcast only under the checked bound
-    bb, _ = checked_broadcast(minmax_bounds(bm25, bm25_col, "_bb"))
-    vb, _ = checked_broadcast(minmax_bounds(vector, vector_col, "_vb"))
+    bb, vb = minmax_bounds(bm25, bm25_col, "_bb"), minmax_bounds(vector, vector_col, "_vb")
     joined = b.join(v, list(KEYS), "full_outer").join(bb, "query_id", "left").join(vb, "query_id", "left")
-    nb = (F.coalesce(F.col(f"_b_{bm25_col}"), F.lit(0.0)) - F.col("_bb_min")) / F.col("_bb_range")
-    nv = (F.coalesce(F.col(f"_v_{vector_col}"), F.lit(0.0)) - F.col("_vb_min")) / F.col("_vb_range")
+    # the reference has no bounds to normalise by where a list is missing
+    bb_min, vb_min = (F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.concat(
+        F.lit(f"{name} list is empty for query "), F.col("query_id").cast("string"))).cast("double"))
+        for c, name in (("_bb_min", "the BM25"), ("_vb_min", "the vector")))
+    nb = (F.coalesce(F.col(f"_b_{bm25_col}"), F.lit(0.0)) - bb_min) / F.col("_bb_range")
+    nv = (F.coalesce(F.col(f"_v_{vector_col}"), F.lit(0.0)) - vb_min) / F.col("_vb_range")
     a = float(alpha)
     scored = joined.withColumn("linear_score", F.round(F.lit(a) * nv + F.lit(1.0 - a) * nb, 6))
     in_v = F.col("_vrank").isNotNull()

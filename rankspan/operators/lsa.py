@@ -1,32 +1,36 @@
 """LSA: TF-IDF followed by a distributed randomised truncated SVD.
 
 Randomised subspace iteration (Halko, Martinsson & Tropp, 2011) on the TF-IDF
-triplets X (doc_id, term, weight), with l = n_components + n_oversamples
-columns and ``n_iter`` power iterations:
-
-    Y = X Omega,  then n_iter times  Z = orth(X^T Q),  Q = orth(X Z)
-    B^T = X^T Q,  B B^T = U~ S^2 U~^T
-    document embeddings = Q U~ S      (the fit_transform output)
-    components V = B^T U~ S^-1        (term x k), used to encode new text
-
-* Omega is a Gaussian matrix generated per term from ``xxhash64(term, i,
-  seed)`` (Box-Muller), so it does not depend on partitioning.
-* X Q and X^T Q are joins of the triplets with the dense side followed by a
-  weighted vector sum (``Summarizer.sum`` with the tf-idf weight as weight,
-  partial aggregation before the exchange).
-* Orthonormalisation uses the l x l Gram matrix (per-partition numpy
-  products summed with ``Summarizer``) and its eigendecomposition on the
-  driver; directions with eigenvalue <= tol * max are dropped, which also
-  removes the null directions of a rank-deficient corpus.  Only l x l
-  matrices reach the driver.
-* Every product is written to the checkpoint folder and read back, so the
-  lineage stays one step deep.
+triplets X (document, term, weight), with l = n_components + n_oversamples
+columns.  It runs on the document side:
+
+    Q = orth(Gaussian),  then n_iter + 1 times  Q = orth(X X^T Q)
+    B^T = X^T Q = Z,  Z = W S U^T
+    components V = Z U S^-1 = X^T (Q M)      M = U S^-1
+    document embeddings X V = (X X^T Q) M
+
+* A term that occurs in one document only (most bigrams) adds w^2 to that
+  document's diagonal entry of X X^T.  Such terms are folded into one number per
+  document and never enter the iteration; their components, w times the
+  document's row of Q M, are left implicit.
+* X X^T Q is one co-group: a bucket of terms holds its triplets and the rows of Q
+  of their documents, forms Z and X Z in numpy (Arrow buffers, no per-row Python)
+  and returns one partial row per document; partials are summed in a sorted
+  stream.  Buckets are sized in bytes from l.  X^T Q is never stored for the
+  iteration.  Terms in very many documents (``HEAVY_DF``) go separately: their
+  few rows of Z are summed over document blocks first.
+* Orthonormalisation is a tall-skinny QR: R factors per partition, merged in two
+  levels; only l x l matrices reach the driver.  Directions of singular value
+  <= tol * max are dropped, which removes the null directions of a
+  rank-deficient corpus; a second pass restores orthonormality.
+* The Gaussian start comes from ``xxhash64(doc_id, i, seed)`` (Box-Muller), so it
+  does not depend on partitioning.
+* Each product is written to the checkpoint folder, so the lineage stays short.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vector import l2_normalize
-from ..session import scratch_path
 from ..session import ship_package
-from .common import checked_broadcast
-from .dense import dense_knn
+from .common import stage
+from .dense import dense_knn, vectors
 from .tfidf import TfidfModel
 
 RANK_TOL = 1e-9
+NOISE = 1e-15               # relative singular values of X X^T Q below this are rounding
+BLOCK_BYTES = 128 << 20     # dense rows held by a bucket
+HEAVY_DF = 1_000_000        # documents of a term beyond which its triplets are split
+MERGE_AT = 64               # R factors merged at once
 
 
 def gaussian_vector(key, size: int, seed: int):
@@ -60,253 +67,239 @@ def gaussian_vector(key, size: int, seed: int):
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), normal)
 
 
-def _stack(vectors) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
-
-
 # ---------------------------------------------------------------- Arrow kernels
-# Vectors cross the JVM/Python boundary as Arrow list<double> columns and are
-# reshaped from the flat value buffer: no per-row Python objects.
-
-def _mat(arr) -> np.ndarray:
-    """list<double> Arrow array of equal-length rows -> (n, width) float64."""
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    n = len(arr)
-    if n == 0:
-        return np.zeros((0, 0))
-    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(n, len(flat) // n)
-
-
 def _list_array(m: np.ndarray) -> pa.Array:
-    n = m.shape[0]
-    w = m.shape[1] if m.ndim == 2 else 0
-    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * w)
+    offsets = pa.array(np.arange(m.shape[0] + 1, dtype=np.int32) * m.shape[1])
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(m, dtype=np.float64).ravel()))
 
 
-def _codes(arr) -> tuple[np.ndarray, pa.Array]:
+def _codes(column) -> tuple[np.ndarray, pa.Array]:
     """Dense integer codes of a key column and the distinct keys (C++ side)."""
-    enc = pc.dictionary_encode(arr)
+    enc = pc.dictionary_encode(column)
     if isinstance(enc, pa.ChunkedArray):
         enc = enc.combine_chunks()
     return enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), enc.dictionary
 
 
-def _bincount_rows(codes: np.ndarray, n: int, width: int, column) -> np.ndarray:
-    """out[c, j] = sum of column(j)[i] over rows i with code c."""
-    out = np.empty((n, width))
-    for j in range(width):
-        out[:, j] = np.bincount(codes, weights=column(j), minlength=n)
+def _sums(codes: np.ndarray, n: int, rows: np.ndarray, weight: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """out[c] = sum of weight[i] * dense[rows[i]] over i with code c."""
+    out = np.empty((n, dense.shape[1]))
+    by_column = np.ascontiguousarray(dense.T)
+    for j in range(dense.shape[1]):
+        out[:, j] = np.bincount(codes, weights=by_column[j][rows] * weight, minlength=n)
     return out
 
 
-def _batch(names: list[str], arrays: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+def _bucket(x: pa.Table, q: pa.Table):
+    """(weight, document codes, term codes, document keys, term keys, dense rows)."""
+    doc, docs = _codes(x.column("doc_id"))
+    term, terms = _codes(x.column("term"))
+    at = pc.index_in(docs, value_set=q.column("doc_id").combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64)
+    return x.column("weight").to_numpy(), doc, term, docs, terms, vectors(q.column("vec"))[at]
 
 
-def _table_of(batches) -> pa.Table | None:
-    bs = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(bs) if bs else None
+def _round_trip(x: pa.Table, q: pa.Table) -> pa.Table:
+    """Partial rows (doc_id, vec) of X X^T Q for the terms of one bucket."""
+    if not x.num_rows or not q.num_rows:
+        return pa.table([pa.array([], q.schema.field("doc_id").type), pa.array([], pa.list_(pa.float64()))],
+                        names=["doc_id", "vec"])
+    weight, doc, term, docs, terms, dense = _bucket(x, q)
+    z = _sums(term, len(terms), doc, weight, dense)
+    return pa.table([docs, _list_array(_sums(doc, len(docs), term, weight, z))], names=["doc_id", "vec"])
 
 
-# Target number of triplets per co-group; a term found in more documents is
-# split over ceil(df / ROWS_PER_GROUP) salted groups.
-ROWS_PER_GROUP = 1_000_000
+def _term_rows(x: pa.Table, q: pa.Table) -> pa.Table:
+    """Rows (term, vec) of X^T Q for the terms of one bucket."""
+    if not x.num_rows or not q.num_rows:
+        return pa.table([pa.array([], pa.string()), pa.array([], pa.list_(pa.float64()))], names=["term", "vec"])
+    weight, doc, term, _, terms, dense = _bucket(x, q)
+    return pa.table([terms, _list_array(_sums(term, len(terms), doc, weight, dense))], names=["term", "vec"])
 
 
-def salted(x: DataFrame) -> DataFrame:
-    """Add (n_salts, salt) to rows carrying (doc_id, term, df)."""
-    n = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(ROWS_PER_GROUP))).cast("int")
-    return x.withColumn("n_salts", n).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("n_salts")).cast("int"))
-
-
-def _gather(on: str, out: str, carry: list[str]):
-    """cogroup body over Arrow tables: the triplets of one group and the
-    dense rows they refer to -> per-``out`` sums of weight * dense.vec."""
-    names = [out, *carry, "vec"]
-
-    def run(xt: pa.Table, dt: pa.Table) -> pa.Table:
-        if xt.num_rows == 0 or dt.num_rows == 0:
-            return pa.table({n: pa.array([], type=t) for n, t in zip(names, [xt.schema.field(out).type if xt.num_rows else pa.null(), *[pa.int32()] * len(carry), pa.list_(pa.float64())])})
-        idx = pc.index_in(xt.column(on), value_set=dt.column(on).combine_chunks())
-        keep = pc.is_valid(idx)
-        xt = xt.filter(keep)
-        rows = pc.drop_null(idx).to_numpy(zero_copy_only=False).astype(np.int64)
-        dense = _mat(dt.column("vec"))
-        w = xt.column("weight").to_numpy().astype(np.float64)
-        codes, uniq = _codes(xt.column(out))
-        sums = _bincount_rows(codes, len(uniq), dense.shape[1], lambda j: dense[rows, j] * w)
-        arrays = [uniq]
-        if carry:
-            first = pc.index_in(uniq, value_set=xt.column(out).combine_chunks())
-            for c in carry:
-                arrays.append(pc.take(xt.column(c).combine_chunks(), first))
-        arrays.append(_list_array(sums))
-        return pa.table(arrays, names=names)
+def _summed(key: str):
+    """mapInArrow body: one row per key from rows sorted by key, as a stream."""
+    def run(batches):
+        held_key, held = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys, m = b.column(key), vectors(b.column("vec"))
+            codes, _ = _codes(keys)
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            sums = np.add.reduceat(m, first, axis=0)
+            if held is not None and held_key == keys[0]:
+                sums[0] += held
+            elif held is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([held_key.as_py()], keys.type), _list_array(held[None, :])],
+                                                 names=[key, "vec"])
+            held_key, held = keys[int(first[-1])], sums[-1]
+            if len(first) > 1:
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(first[:-1])), _list_array(sums[:-1])], names=[key, "vec"])
+            kind = keys.type
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held_key.as_py()], kind), _list_array(held[None, :])], names=[key, "vec"])
     return run
 
 
-def _final_sums(out: str, carry: list[str]):
-    """mapInArrow body: sum the partial vectors of each ``out`` key held by
-    this partition (the input is hash-partitioned by ``out``)."""
-    names = [out, *carry, "vec"]
+def sum_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, sum of vec): partials meet by key in sorted order."""
+    schema = f"{key} {dict(df.dtypes)[key]}, vec array<double>"
+    return df.select(key, "vec").repartition(key).sortWithinPartitions(key).mapInArrow(_summed(key), schema)
 
-    def run(batches):
-        t = _table_of(batches)
-        if t is None:
-            return
-        codes, uniq = _codes(t.column(out))
-        m = _mat(t.column("vec"))
-        sums = _bincount_rows(codes, len(uniq), m.shape[1], lambda j: m[:, j])
-        arrays = [uniq]
-        if carry:
-            first = pc.index_in(uniq, value_set=t.column(out).combine_chunks())
-            for c in carry:
-                arrays.append(pc.take(t.column(c).combine_chunks(), first))
-        arrays.append(_list_array(sums))
-        yield from pa.table(arrays, names=names).to_batches()
-    return run
 
+def _merged(batches):
+    """mapInArrow body: one R factor of a partition of R factors."""
+    r = None
+    for b in batches:
+        if b.num_rows:
+            m = vectors(b.column("vec"))
+            r = np.linalg.qr(m if r is None else np.vstack([r, m]), mode="r")
+    if r is not None:
+        yield pa.RecordBatch.from_arrays([_list_array(r)], names=["vec"])
 
-def _sparse_product(x: DataFrame, dense: DataFrame, on: str, out: str, buckets: int) -> DataFrame:
-    """(out, vec) = sum over the shared key ``on`` of weight * dense.vec.
-
-    x: salted triplets (doc_id, term, weight, n_salts, salt); dense: (on,
-    [n_salts,] vec).  X and the dense side are co-grouped by a hash bucket of
-    ``on`` -- for ``on = term`` also by salt, with the dense rows of a hot term
-    replicated to each of its salts -- and numpy gathers and sums inside each
-    group, so only the narrow triplets and the dense rows are shuffled, never
-    nnz x l products.  Partial sums are then reduced per ``out`` key.
-    Output for ``out = term`` keeps n_salts for the next product."""
-    ship_package(x.sparkSession)
-    carry = ["n_salts"] if out == "term" else []
-    key_types = dict(x.dtypes)
-    schema = ", ".join([f"{out} {key_types[out]}", *[f"{c} int" for c in carry], "vec array<double>"])
-    bucket = F.pmod(F.xxhash64(on), F.lit(buckets))
-    xs = x.select(on, out, "weight", "salt", "n_salts").withColumn("_b", bucket)
-    ds = dense.select(on, *(["n_salts"] if on == "term" else []), "vec").withColumn("_b", bucket)
-    if on == "term":
-        ds = ds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)))
-        keys = ["_b", "salt"]
-    else:
-        keys = ["_b"]
-    partial = (xs.select(*keys, on, out, "weight", *carry).groupBy(*keys)
-               .cogroup(ds.select(*keys, on, "vec").groupBy(*keys))
-               .applyInArrow(_gather(on, out, carry), schema))
-    return partial.repartition(buckets, out).mapInArrow(_final_sums(out, carry), schema)
-
-
-def gram(df: DataFrame) -> np.ndarray | None:
-    """sum over rows of vec vec^T as a local matrix: numpy per partition,
-    summed across partitions on the JVM side; only l x l reaches the driver."""
-    ship_package(df.sparkSession)
 
+def r_factor(df: DataFrame, matrix: np.ndarray | None = None) -> np.ndarray | None:
+    """R of the QR factorisation of all rows ``vec`` (times ``matrix``)."""
     def part(batches):
-        g = None
+        r = None
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            m = _mat(b.column("vec"))
-            g = m.T @ m if g is None else g + m.T @ m
-        if g is not None:
-            yield pa.RecordBatch.from_arrays([_list_array(g.ravel()[None, :])], names=["g"])
+            if b.num_rows:
+                m = vectors(b.column("vec"))
+                m = m if matrix is None else m @ matrix
+                r = np.linalg.qr(m if r is None else np.vstack([r, m]), mode="r")
+        if r is not None:
+            yield pa.RecordBatch.from_arrays([_list_array(r)], names=["vec"])
 
-    row = (df.select("vec").mapInArrow(part, "g array<double>")
-           .agg(Summarizer.sum(array_to_vector(F.col("g"))).alias("s")).first())
-    if row is None or row["s"] is None:
-        return None
-    flat = row["s"].toArray()
-    n = int(round(math.sqrt(len(flat))))
-    return flat.reshape(n, n)
+    ship_package(df.sparkSession)
+    parts = df.select("vec").rdd.getNumPartitions()
+    factors = df.select("vec").mapInArrow(part, "vec array<double>")
+    if parts > MERGE_AT:
+        factors = factors.repartition(math.isqrt(parts) + 1).mapInArrow(_merged, "vec array<double>")
+    rows = factors.collect()
+    return np.linalg.qr(np.array([r["vec"] for r in rows]), mode="r") if rows else None
 
 
 def transform_rows(df: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
-    """(key[, n_salts], vec @ matrix) with the small matrix shipped to the tasks."""
+    """(key, vec @ matrix) with the small matrix shipped to the tasks."""
     ship_package(df.sparkSession)
-    bc = df.sparkSession.sparkContext.broadcast(matrix)
-    types = dict(df.dtypes)
-    keep = [key] + (["n_salts"] if "n_salts" in df.columns else [])
-    schema = ", ".join([f"{c} {types[c]}" for c in keep] + ["vec array<double>"])
+    shared = df.sparkSession.sparkContext.broadcast(matrix)
 
     def run(batches):
-        t = bc.value
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            out = _mat(b.column("vec")) @ t
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], _list_array(out)],
-                                             names=[*keep, "vec"])
-
-    return df.select(*keep, "vec").mapInArrow(run, schema)
-
-
-def orthonormalizer(g: np.ndarray, tol: float = RANK_TOL) -> np.ndarray:
-    """T with (Y T)^T (Y T) = I for Gram g = Y^T Y; null directions dropped."""
-    lam, w = np.linalg.eigh(g)
-    order = np.argsort(lam)[::-1]
-    lam, w = lam[order], w[:, order]
-    keep = lam > tol * max(lam[0], 0.0) if len(lam) else lam > 0
-    keep &= lam > 0
-    return w[:, keep] / np.sqrt(lam[keep])[None, :]
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), _list_array(vectors(b.column(1)) @ shared.value)],
+                                                 names=[key, "vec"])
+
+    return df.select(key, "vec").mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, vec array<double>")
+
+
+def orthonormalizer(df: DataFrame, tol: float) -> np.ndarray:
+    """T such that the rows of df times T have orthonormal columns; directions of
+    singular value <= tol * max are dropped.  Where small ones remain, a second pass
+    corrects what the division by them loses."""
+    r = r_factor(df)
+    if r is None:
+        raise ValueError("empty vocabulary: no document has an in-vocabulary term")
+    _, s, vt = np.linalg.svd(r)
+    keep = s > tol * s[0]
+    t = vt[:len(s)][keep].T / s[keep]
+    if s[keep][-1] > 1e-7 * s[0]:
+        return t
+    _, s, vt = np.linalg.svd(r_factor(df, t))
+    keep = s > 1e-6
+    return t @ (vt[:len(s)][keep].T / s[keep])
+
+
+class _Products:
+    """X in term buckets, for X X^T Q and X^T Q."""
+
+    def __init__(self, tfidf: TfidfModel, columns: int, heavy_df: int):
+        spark = tfidf.corpus.sparkSession
+        ship_package(spark)
+        rows = BLOCK_BYTES // (8 * columns)
+        size = tfidf.vocabulary.agg(F.count_if(F.col("df") > 1).alias("terms"), F.sum(F.when(F.col("df") > 1, F.col("df"))).alias("nnz")).first()
+        cores = spark.sparkContext.defaultParallelism
+        self.buckets = max(cores, -(-(size["terms"] or 0) // rows))
+        if tfidf.n_docs > rows:
+            self.buckets = max(self.buckets, -(-(size["nnz"] or 0) // (4 * rows)))
+        x = stage(tfidf.doc_weights.select("doc_id", "term", "weight", "df"), "lsa-x")
+        self.single = x.where("df = 1").select("doc_id", "term", "weight")
+        self.diagonal = stage(self.single.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("d")), "lsa-diagonal")
+        shared = x.where((F.col("df") > 1) & (F.col("df") <= heavy_df))
+        self.x = shared.select("doc_id", "term", "weight").withColumn("_b", F.pmod(F.xxhash64("term"), F.lit(self.buckets)))
+        self.pairs = stage(self.x.select("_b", "doc_id").distinct(), "lsa-pairs")
+        heavy = x.where(F.col("df") > heavy_df).select("doc_id", "term", "weight")
+        self.heavy = heavy if (tfidf.vocabulary.where(F.col("df") > heavy_df).limit(1).count()) else None
+        self.documents = x.select("doc_id").distinct()
+        self.all = x
+
+    def _grouped(self, q: DataFrame, kernel, schema: str) -> DataFrame:
+        there = self.pairs.join(q, "doc_id").select(F.col("_b").alias("b"), "doc_id", "vec")
+        return self.x.groupBy("_b").cogroup(there.groupBy("b")).applyInArrow(kernel, schema)
+
+    def _heavy_terms(self, q: DataFrame) -> DataFrame:
+        """(term, vec) of X^T Q for the heavy terms: few rows, from partial sums."""
+        parts = self.heavy.join(q, "doc_id").groupBy("term").agg(
+            vector_to_array(Summarizer.sum(array_to_vector(F.col("vec")), F.col("weight"))).alias("vec"))
+        return stage(parts, "lsa-heavy")
+
+    def round_trip(self, q: DataFrame) -> DataFrame:
+        """(doc_id, vec): X X^T Q."""
+        key = dict(q.dtypes)["doc_id"]
+        partial = self._grouped(q, _round_trip, f"doc_id {key}, vec array<double>")
+        own = self.diagonal.join(q, "doc_id").select("doc_id", F.transform("vec", lambda v: v * F.col("d")).alias("vec"))
+        partial = partial.unionByName(own)
+        if self.heavy is not None:
+            partial = partial.unionByName(self.heavy.join(self._heavy_terms(q), "term").select(
+                "doc_id", F.transform("vec", lambda v: v * F.col("weight")).alias("vec")))
+        return sum_rows(partial, "doc_id")
+
+    def terms(self, q: DataFrame) -> DataFrame:
+        """(term, vec): X^T Q for the terms of more than one document."""
+        out = self._grouped(q, _term_rows, "term string, vec array<double>")
+        return out if self.heavy is None else out.unionByName(self._heavy_terms(q))
 
 
 class LsaModel:
-    def __init__(self, tfidf: TfidfModel, doc_embeddings: DataFrame, components: DataFrame, singular_values,
-                 n_components: int):
+    def __init__(self, tfidf: TfidfModel, doc_embeddings: DataFrame, components: DataFrame, single: DataFrame,
+                 single_rows: DataFrame, singular_values, n_components: int):
         self.tfidf = tfidf
         self.corpus = tfidf.corpus
         self.doc_embeddings = doc_embeddings      # (doc_id, embedding) un-normalised, only docs with terms
-        self.components = components              # (term, vec)
+        self.components = components              # (term, vec) of the terms of several documents
+        self.single = single                      # (doc_id, term, weight) of the terms of one document:
+        self.single_rows = single_rows            # (doc_id, vec); such a component is weight * vec
         self.singular_values = np.asarray(singular_values)
         self.n_components = n_components
 
     @classmethod
     def fit(cls, corpus: DataFrame, n_components: int = 128, n_iter: int = 5, n_oversamples: int = 10,
-            seed: int = 42, rank_tol: float = RANK_TOL, tfidf: TfidfModel | None = None, **tfidf_kw) -> LsaModel:
+            seed: int = 42, rank_tol: float = RANK_TOL, tfidf: TfidfModel | None = None, heavy_df: int = HEAVY_DF,
+            **tfidf_kw) -> LsaModel:
         tfidf = tfidf or TfidfModel.fit(corpus, **tfidf_kw)
-        spark = corpus.sparkSession
-
-        def stage(df: DataFrame, name: str) -> DataFrame:
-            path = scratch_path(spark, f"lsa-{name}")
-            df.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-
-        x = stage(salted(tfidf.doc_weights.select("doc_id", "term", "weight", "df")), "x")
-        nnz = x.count()
-        buckets = max(spark.sparkContext.defaultParallelism, -(-nnz // ROWS_PER_GROUP))
-        l_cols = n_components + n_oversamples
-        omega = salted(tfidf.vocabulary.select("term", "df", F.lit(0).alias("doc_id"))).select(
-            "term", "n_salts", gaussian_vector(F.col("term"), l_cols, seed).alias("vec"))
-
-        def sparse_product(xx, dense, on, out):
-            return _sparse_product(xx, dense, on, out, buckets)
-
-        def orth(product: DataFrame, key: str, name: str) -> tuple[DataFrame, np.ndarray]:
-            p = stage(product, name)
-            g = gram(p)
-            if g is None:
-                raise ValueError("empty vocabulary: no document has an in-vocabulary term")
-            return p, orthonormalizer(g, rank_tol)
-
-        p, t = orth(sparse_product(x, omega, "term", "doc_id"), "doc_id", "y0")
-        for i in range(n_iter):
-            zp, zt = orth(sparse_product(x, transform_rows(p, "doc_id", t), "doc_id", "term"), "term", f"z{i}")
-            p, t = orth(sparse_product(x, transform_rows(zp, "term", zt), "term", "doc_id"), "doc_id", f"y{i + 1}")
-        # B^T = X^T Q with Q = P T
-        bt = stage(sparse_product(x, transform_rows(p, "doc_id", t), "doc_id", "term"), "bt")
-        gb = gram(bt)
-        lam, w = np.linalg.eigh(gb)
-        order = np.argsort(lam)[::-1]
-        lam, w = np.clip(lam[order], 0.0, None), w[:, order]
-        sigma = np.sqrt(lam)
-        keep = sigma > rank_tol * (sigma[0] if len(sigma) else 0.0)
-        k = int(min(n_components, keep.sum()))
-        u, s = w[:, :k], sigma[:k]
-        docs = stage(transform_rows(p, "doc_id", t @ (u * s[None, :])), "emb").withColumnRenamed("vec", "embedding")
-        comps = stage(transform_rows(bt, "term", u / s[None, :]), "components")
-        return cls(tfidf, docs, comps, s, k)
+        columns = n_components + n_oversamples
+        products = _Products(tfidf, columns, heavy_df)
+        y = stage(products.documents.select("doc_id", gaussian_vector(F.col("doc_id"), columns, seed).alias("vec")), "lsa-start")
+        for i in range(n_iter + 2):
+            t = orthonormalizer(y, NOISE)
+            q = stage(transform_rows(y, "doc_id", t), "lsa-q")
+            y = stage(products.round_trip(q), f"lsa-y{i}")
+        # singular values from R of Z = X^T Q: its rows, and sqrt(d) times the row of Q for folded terms
+        z = stage(products.terms(q), "lsa-z")
+        folded = products.diagonal.join(q, "doc_id").select(F.transform("vec", lambda v: v * F.sqrt("d")).alias("vec"))
+        _, s, ut = np.linalg.svd(r_factor(z.select("vec").unionByName(folded)))
+        k = int(min(n_components, np.count_nonzero(s > rank_tol * s[0])))
+        m = ut[:k].T / s[:k]
+        docs = stage(transform_rows(y, "doc_id", m), "lsa-embeddings").withColumnRenamed("vec", "embedding")
+        components = stage(transform_rows(z, "term", m), "lsa-components")
+        rows = stage(transform_rows(q, "doc_id", m), "lsa-single-rows")
+        return cls(tfidf, docs, components, products.single, rows, s[:k], k)
+
+    def all_components(self) -> DataFrame:
+        """(term, vec) of every vocabulary term, the implicit ones written out."""
+        one = self.single.join(self.single_rows, "doc_id").select(
+            "term", F.transform("vec", lambda v: v * F.col("weight")).alias("vec"))
+        return self.components.unionByName(one)
 
     # ---------------------------------------------------------------- encode
     def embeddings(self, normalize: bool = True) -> DataFrame:
@@ -320,17 +313,21 @@ class LsaModel:
     def encode(self, queries: DataFrame, normalize: bool = True) -> DataFrame:
         """(query_id, embedding): TF-IDF transform, projection on the
         components, L2 normalisation (queries with no known term get zeros)."""
-        qw, small = checked_broadcast(self.tfidf.transform(queries))
-        proj = (self.components.join(qw, "term")
-                .groupBy("query_id")
+        qw = stage(self.tfidf.transform(queries), "lsa-query")
+        shared = self.components.join(qw, "term").select("query_id", "weight", "vec")
+        one = (self.single.select("term", "doc_id", F.col("weight").alias("w")).join(qw, "term")
+               .select("query_id", "doc_id", (F.col("w") * F.col("weight")).alias("weight"))
+               .join(self.single_rows, "doc_id").select("query_id", "weight", "vec"))
+        proj = (shared.unionByName(one).groupBy("query_id")
                 .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("vec")), F.col("weight"))).alias("e")))
         zero = F.array_repeat(F.lit(0.0), self.n_components)
         out = queries.select("query_id").join(proj, "query_id", "left")
         e = F.coalesce(F.col("e"), zero)
         return out.select("query_id", (l2_normalize(e) if normalize else e).alias("embedding"))
 
-    def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        return dense_knn(self.encode(queries), self.embeddings(), k)
+    def search(self, queries: DataFrame, k: int = 5, fields: bool = False) -> DataFrame:
+        return dense_knn(stage(self.encode(queries), "lsa-encoded"), self.embeddings(), k,
+                         fields=self.corpus if fields else None)
 
     def top_terms(self, queries: DataFrame, n: int = 10) -> DataFrame:
         return self.tfidf.top_terms(queries, n)
@@ -341,7 +338,7 @@ class LsaModel:
         / sum_t var(X_t), population variances over all N documents
         (documents without terms are zero rows).  All sums are Spark
         aggregates; nothing is collected."""
-        n = self.corpus.agg(F.count(F.lit(1))).scalar()
+        n = F.lit(self.tfidf.n_docs)
         e = self.doc_embeddings
         sums = e.agg(
             vector_to_array(Summarizer.sum(array_to_vector(F.col("embedding")))).alias("s1"),

@@ -5,90 +5,90 @@ length >= 2, English stop words removed, uni+bigrams built after the removal,
 vocabulary ``min_df <= df <= max_df``, sublinear tf ``1 + ln(tf)``, smoothed
 idf ``ln((1+N)/(1+df)) + 1`` and L2-normalised rows.
 
-Plan shape: n-gram counts are a partial+final aggregate per (doc, term); df
-is a partial+final aggregate per term (a hot term only lengthens the map
-side); idf reaches the postings through a shuffle join on term (AQE splits a
-skewed term partition); the L2 norm is a window per document.  Queries are
-transformed through a size-checked broadcast of their n-grams against the
-vocabulary, and cosine search is the same broadcast join against the
-document triplets that BM25 uses against its postings.
+``TfidfModel.fit`` reads the text once.  N-grams are counted inside the row
+(run lengths of the sorted n-grams) and staged; df is a partial+final aggregate
+per term; idf reaches the triplets through a join on term (AQE splits a skewed
+term).  The triplets then meet once per document: one row of ``docs`` holds a
+document's terms and weights, its L2 norm is computed in the row, and the table
+is bucketed by doc_id, so a search sums per (query, document) without exchange,
+as BM25 does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
-from ..functions.text import vector_document_text, vector_words, word_ngrams
-from ..session import scratch_path
-from .common import by_document, checked_broadcast, rank_padded, score_key, top_k
+from ..functions.text import vector_document_text, vector_words, with_term_counts, word_ngrams
+from .common import attach_fields, rank_padded, score_key, spread, stage, stage_by_document, top_k
 
 
-def _limit(value: float | int, n_docs: Column) -> Column:
+def _limit(value: float | int, n_docs: int) -> float:
     """Absolute count for an int, proportion of N for a float."""
-    return F.lit(value) if isinstance(value, int) and not isinstance(value, bool) else F.lit(float(value)) * n_docs
+    return value if isinstance(value, int) and not isinstance(value, bool) else float(value) * n_docs
 
 
 class TfidfModel:
-    def __init__(self, corpus: DataFrame, term_counts: DataFrame, ngram_range=(1, 2),
-                 stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS, min_df: float | int = 1,
-                 max_df: float | int = 0.95, sublinear_tf: bool = True):
-        self.corpus = corpus
+    def __init__(self, corpus: DataFrame, counted: DataFrame, vocabulary: DataFrame, docs: DataFrame, n_docs: int,
+                 ngram_range=(1, 2), stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS, sublinear_tf: bool = True):
+        self.corpus, self.docs = corpus, docs
         self.ngram_range = tuple(ngram_range)
         self.stop_words = tuple(stop_words or ())
-        self.min_df, self.max_df, self.sublinear_tf = min_df, max_df, sublinear_tf
-        self.term_counts = term_counts                      # (doc_id, pos, term, tf)
-        self.n_docs = corpus.agg(F.count(F.lit(1))).scalar()
-        df = term_counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        self.document_frequency = df
-        self.vocabulary = (df.where((F.col("df") >= _limit(min_df, self.n_docs)) &
-                                    (F.col("df") <= _limit(max_df, self.n_docs)))
-                           .withColumn("idf", F.log((self.n_docs + 1) / (F.col("df") + 1)) + F.lit(1.0)))
-        # df rides along: the LSA fit sizes its skew salting from it
-        self.doc_weights = self._weights(term_counts.join(self.vocabulary.select("term", "df", "idf"), "term"),
-                                         "doc_id", ["doc_id", "pos", "term", "df"])
+        self.sublinear_tf = sublinear_tf
+        self.n_docs = n_docs
+        self.vocabulary = vocabulary                        # (term, df, idf)
+        self.all_docs = counted.select("doc_id", "pos")     # also those without n-grams
+        self.term_counts = counted.select("doc_id", "pos", F.explode("terms").alias("t")).select(
+            "doc_id", "pos", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
+        # df rides along: the LSA fit separates the terms of a single document
+        self.doc_weights = docs.select("doc_id", "pos", F.explode("weights").alias("w")).select(
+            "doc_id", "pos", F.col("w.term").alias("term"), F.col("w.df").alias("df"), F.col("w.weight").alias("weight"))
 
     @classmethod
     def fit(cls, corpus: DataFrame, ngram_range=(1, 2), stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS,
-            min_df: float | int = 1, max_df: float | int = 0.95, sublinear_tf: bool = True) -> TfidfModel:
+            min_df: float | int = 1, max_df: float | int = 0.95, sublinear_tf: bool = True,
+            path: str | None = None) -> TfidfModel:
+        """Count n-grams and stage counts, vocabulary and weights.  ``ValueError``
+        for a null text, for an empty corpus, for document-frequency limits that
+        no term can meet (max below min, as with a single document), and for an
+        empty vocabulary."""
+        base = path.rstrip("/") if path else None
         words = vector_words(vector_document_text("title", "text"), stop_words)
-        counts = (by_document(corpus, "pos", "title", "text").select("doc_id", "pos", words.alias("words"))
-                  .select("doc_id", "pos", F.explode(word_ngrams(F.col("words"), ngram_range)).alias("term"))
-                  .groupBy("doc_id", "pos", "term").agg(F.count(F.lit(1)).alias("tf")))
-        return cls(corpus, counts, ngram_range, stop_words, min_df, max_df, sublinear_tf)
-
-    def materialize(self, path: str | None = None) -> TfidfModel:
-        """Write n-gram counts, vocabulary and document weights to Parquet
-        (default: a new folder under ``spark.checkpoint.dir``) and return a
-        model reading them back: searches then scan the stored triplets
-        instead of re-tokenizing, and the lineage is cut."""
-        spark = self.term_counts.sparkSession
-        path = (path or scratch_path(spark, "tfidf")).rstrip("/")
-        self.term_counts.write.mode("overwrite").parquet(f"{path}/counts")
-        m = TfidfModel(self.corpus, spark.read.parquet(f"{path}/counts"), self.ngram_range, self.stop_words,
-                       self.min_df, self.max_df, self.sublinear_tf)
-        m.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        m.vocabulary = spark.read.parquet(f"{path}/vocabulary")
-        m.doc_weights.write.mode("overwrite").parquet(f"{path}/weights")
-        m.doc_weights = spark.read.parquet(f"{path}/weights")
-        return m
+        rows = spread(corpus.select("doc_id", "pos", "title", "text")).select("doc_id", "pos", words.alias("words"))
+        grams = rows.select("doc_id", "pos", word_ngrams(F.col("words"), ngram_range).alias("grams"))
+        counted = stage(with_term_counts(grams, "grams", "terms").select(
+            "doc_id", "pos", F.col("grams").isNotNull().alias("has_text"), "terms"), "tfidf-counts", base and f"{base}/counts")
+        row = counted.agg(F.count(F.lit(1)).alias("n"), F.count_if("has_text").alias("with_text")).first()
+        n = int(row["n"])
+        if not n:
+            raise ValueError("the corpus has no documents")
+        if row["with_text"] < n:
+            raise ValueError(f"{n - row['with_text']} documents have no text")
+        low, high = _limit(min_df, n), _limit(max_df, n)
+        if high < low:
+            raise ValueError("max_df corresponds to fewer documents than min_df")
+        df = counted.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        vocabulary = stage(df.where((F.col("df") >= F.lit(low)) & (F.col("df") <= F.lit(high)))
+                           .withColumn("idf", F.log(F.lit(n + 1) / (F.col("df") + 1)) + F.lit(1.0)),
+                           "tfidf-vocabulary", base and f"{base}/vocabulary")
+        if vocabulary.isEmpty():
+            raise ValueError("empty vocabulary; the documents may hold stop words only, or no term meets min_df and max_df")
+        counts = counted.select("doc_id", "pos", F.explode("terms").alias("t")).select(
+            "doc_id", "pos", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
+        weighed = counts.join(vocabulary, "term").select(
+            "doc_id", "pos", F.struct("term", "df", (_tf(sublinear_tf) * F.col("idf")).alias("weight")).alias("w"))
+        # one row per document, bounded by its length
+        docs = weighed.groupBy("doc_id", "pos").agg(
+            F.collect_list("w").alias("ws"), F.sqrt(F.sum(F.col("w.weight") * F.col("w.weight"))).alias("norm")).select(
+            "doc_id", "pos", F.transform("ws", lambda w: F.struct(
+                w["term"].alias("term"), w["df"].alias("df"), (w["weight"] / F.col("norm")).alias("weight"))).alias("weights"))
+        return cls(corpus, counted, vocabulary, stage_by_document(docs, "tfidf-docs", base and f"{base}/docs"), n,
+                   ngram_range, stop_words, sublinear_tf)
 
     # ------------------------------------------------------------------ weights
-    def _tf(self) -> Column:
-        return F.lit(1.0) + F.log("tf") if self.sublinear_tf else F.col("tf").cast("double")
-
-    def _weights(self, with_idf: DataFrame, key: str, cols: list[str]) -> DataFrame:
-        w = with_idf.withColumn("w", self._tf() * F.col("idf"))
-        # Double sum in a fixed (term) order over the whole row: deterministic
-        # whatever the shuffle order, without BigDecimal arithmetic.
-        row = (Window.partitionBy(key).orderBy("term")
-               .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(row))
-        return w.select(*cols, (F.col("w") / norm).alias("weight"))
-
     def transform(self, queries: DataFrame) -> DataFrame:
         """(query_id, term, weight) for the query text with the fitted
         vocabulary and idf; out-of-vocabulary n-grams are dropped."""
@@ -96,9 +96,10 @@ class TfidfModel:
         counts = (queries.select("query_id", words.alias("words"))
                   .select("query_id", F.explode(word_ngrams(F.col("words"), self.ngram_range)).alias("term"))
                   .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-        counts, small = checked_broadcast(counts)
-        known = self.vocabulary.select("term", "idf").join(counts, "term")
-        return self._weights(known, "query_id", ["query_id", "term"])
+        known = stage(self.vocabulary.select("term", "idf").join(counts, "term").select(
+            "query_id", "term", (_tf(self.sublinear_tf) * F.col("idf")).alias("w")), "tfidf-query")
+        norms = known.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        return known.join(norms, "query_id").select("query_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
 
     def top_terms(self, queries: DataFrame, n: int = 10) -> DataFrame:
         """(query_id, rank, term, weight): the n highest positive query
@@ -111,13 +112,17 @@ class TfidfModel:
     def score(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_id, pos, vector_score): sparse cosine for documents
         sharing a vocabulary term with the query."""
-        q, small = checked_broadcast(self.transform(queries).withColumnRenamed("weight", "qw"))
+        q = stage(self.transform(queries).withColumnRenamed("weight", "qw"), "tfidf-weights")
         return (self.doc_weights.join(q, "term")
                 .groupBy("query_id", "doc_id", "pos").agg(F.sum(F.col("qw") * F.col("weight")).alias("vector_score")))
 
-    def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """Top-k by cosine over all documents; zero-score documents fill the
-        list, and ties resolve on pos descending (the order a reversed argsort
-        gives)."""
-        docs = self.corpus.select("doc_id", "pos")
-        return rank_padded(queries, self.score(queries), docs, k, "vector_score", pos_desc=True)
+    def search(self, queries: DataFrame, k: int = 5, fields: bool = False) -> DataFrame:
+        """Top-k by cosine over all documents (with ``fields`` the corpus
+        columns too); zero-score documents fill the list, and ties resolve on
+        pos descending (the order a reversed argsort gives)."""
+        ranked = rank_padded(queries, self.score(queries), self.all_docs, k, "vector_score", pos_desc=True)
+        return attach_fields(ranked, self.corpus) if fields else ranked
+
+
+def _tf(sublinear: bool) -> Column:
+    return F.lit(1.0) + F.log("tf") if sublinear else F.col("tf").cast("double")

@@ -16,7 +16,7 @@ from ..functions.text import WHITESPACE_RUN, WORD_RUN
 
 PUNCT_SQL = string.punctuation.replace("'", "''")
 TOP_K = 5
-FULL_RANKING_K = 1000
+FETCH_K = 15
 SWEEP = ((1.2, 0.0), (2.0, 1.0))
 
 
@@ -90,9 +90,12 @@ ORACLE["bm25_search"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked()) + f"""
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(bm25_score, 6) AS bm25_score
 FROM branked WHERE rank <= {TOP_K}"""
 
-ORACLE["bm25_search_padded"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked()) + f"""
+# two queries per item that few documents or none match
+SPARSE_QS = f"""qs AS (SELECT item_id * 2 AS query_id, list_max({bm25_tok('text')}) AS query FROM benchmark
+       UNION ALL SELECT item_id * 2 + 1, regexp_replace(text, '[ \n]+', '', 'g') FROM benchmark)"""
+ORACLE["bm25_search_padded"] = _with(SPARSE_QS, BM25_INDEX, BM25_QUERY, bm25_ranked()) + f"""
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(bm25_score, 6) AS bm25_score
-FROM branked WHERE rank <= {FULL_RANKING_K}"""
+FROM branked WHERE rank <= {FETCH_K}"""
 
 ORACLE["bm25_search_fields"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked()) + f"""
 SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.doc_id, round(r.bm25_score, 6) AS bm25_score,
@@ -215,7 +218,6 @@ WHERE rank <= {TOP_K}"""
 
 
 # --------------------------------------------------------------------------- fusion / hybrid
-FETCH_K = 15
 LINEAR_ALPHA = 0.7
 
 
@@ -322,6 +324,29 @@ ORACLE["hybrid_rrf"] = hybrid_sql(TOP_K)
 ORACLE["hybrid_fetch_k"] = hybrid_sql(3)
 ORACLE["hybrid_linear"] = hybrid_sql(4, "linear", LINEAR_ALPHA)
 
+ORACLE["vector_search_fields"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY, TFIDF_RANKED) + f"""
+SELECT r.query_id, CAST(r.rank AS BIGINT) AS rank, r.doc_id, round(r.vector_score, 6) AS vector_score,
+       d.lang, d.source, d.n_chars
+FROM vranked r JOIN documents d USING (doc_id) WHERE r.rank <= {TOP_K}"""
+
+ORACLE["hybrid_fields"] = f"""
+SELECT h.query_id, length(b.text) AS query_chars, h.retriever, h.rank, h.doc_id, d.lang, d.source, d.n_chars,
+       length(d.text) AS text_chars
+FROM (""" + hybrid_sql(TOP_K) + """) h JOIN documents d USING (doc_id) JOIN benchmark b ON b.item_id = h.query_id"""
+
+# the callable encoder of the workload: shares of five vowels
+_SHARES = ", ".join(f"CAST(length(lower(text)) - length(replace(lower(text), '{v}', '')) AS DOUBLE) / greatest(length(text), 1)"
+                    for v in "aeiou")
+ORACLE["encoder_callable"] = f"""
+WITH dv AS (SELECT doc_id, [{_SHARES}] AS v FROM (SELECT doc_id, '. ' || text AS text FROM documents)),
+qv AS (SELECT item_id, [{_SHARES}] AS v FROM benchmark),
+du AS (SELECT doc_id, list_transform(v, lambda x: CASE WHEN list_dot_product(v, v) > 0 THEN x / sqrt(list_dot_product(v, v)) ELSE {d(0)} END) AS u FROM dv),
+qu AS (SELECT item_id, list_transform(v, lambda x: CASE WHEN list_dot_product(v, v) > 0 THEN x / sqrt(list_dot_product(v, v)) ELSE {d(0)} END) AS u FROM qv)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(s, 6) AS vector_score
+FROM (SELECT item_id AS query_id, doc_id, list_dot_product(qu.u, du.u) AS s,
+             row_number() OVER (PARTITION BY item_id ORDER BY round(list_dot_product(qu.u, du.u), 9) + {d(0)} DESC, doc_id DESC) AS rank
+      FROM qu CROSS JOIN du) WHERE rank <= {TOP_K}"""
+
 # --------------------------------------------------------------------------- evaluation
 QRELS = """
 qrels AS (SELECT DISTINCT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
@@ -367,6 +392,10 @@ SELECT retriever AS "Retriever", printf('%.4f', "Precision@{TOP_K}") AS "Precisi
        printf('%.4f', "HitRate@{TOP_K}") AS "HitRate@{TOP_K}"
 FROM metrics"""
 
+ORACLE["evaluate_empty"] = EVAL_BM25 + f"""
+SELECT * FROM metrics UNION ALL
+SELECT 'Silent', {d(0)}, {d(0)}, {d(0)}, {d(0)}, (SELECT count(DISTINCT query_id) FROM qs)"""
+
 # --------------------------------------------------------------------------- reports
 ORACLE["result_lines"] = f"""
 SELECT query_id, retriever, rank,
@@ -379,6 +408,16 @@ SELECT query_id, retriever, rank,
 FROM (""" + hybrid_sql(TOP_K).replace("round(bm25_score, 6)", "bm25_score").replace(
     "round(vector_score, 6)", "vector_score") + ")"
 
+ORACLE["result_lines_titled"] = f"""
+SELECT l.query_id, l.retriever, l.rank, l.line || d.lang AS line
+FROM (SELECT query_id, retriever, rank, doc_id,
+       printf('[%d] %-20s | %s | ', rank,
+              CASE WHEN rrf_score IS NOT NULL THEN printf('RRF=%.6f', rrf_score)
+                   WHEN vector_score IS NOT NULL THEN printf('Vec=%.3f', vector_score)
+                   ELSE printf('BM25=%.3f', bm25_score) END, CAST(doc_id AS VARCHAR)) AS line
+      FROM (""" + hybrid_sql(TOP_K).replace("round(bm25_score, 6)", "bm25_score").replace(
+    "round(vector_score, 6)", "vector_score") + ")) l JOIN documents d USING (doc_id)"
+
 ORACLE["explain_bars"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked(), _EXPLAIN_PAIRS) + f"""
 SELECT query_id, doc_id, term, round(contribution, 6) AS contribution,
        repeat('█', greatest(CASE WHEN mx <> 0 THEN CAST(trunc(round(contribution * {d(40)} / mx, 9)) AS INTEGER)
@@ -392,3 +431,21 @@ SELECT CAST(n_docs AS BIGINT) AS n_docs, round(avgdl, 6) AS avgdl,
        (SELECT count(*) FROM bterms) AS bm25_terms, (SELECT count(*) FROM bpost) AS bm25_postings,
        (SELECT count(*) FROM vvocab) AS tfidf_features
 FROM bstats"""
+
+# --------------------------------------------------------------------------- LSA: invariants
+# 128 dimensions; unit rows for whatever has an in-vocabulary term, else zero rows
+ORACLE["lsa_embeddings"] = _with(TFIDF_INDEX) + f"""
+SELECT doc_id, CAST(128 AS BIGINT) AS dims,
+       CASE WHEN doc_id IN (SELECT doc_id FROM vw) THEN {d(1)} ELSE {d(0)} END AS norm FROM documents"""
+ORACLE["lsa_encode_query"] = _with(QS, TFIDF_INDEX, TFIDF_QUERY) + f"""
+SELECT query_id, CAST(128 AS BIGINT) AS dims,
+       CASE WHEN query_id IN (SELECT query_id FROM qwv) THEN {d(1)} ELSE {d(0)} END AS norm FROM qs"""
+_LIST = (f"CAST({TOP_K} AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS first_rank, CAST({TOP_K} AS BIGINT) AS last_rank, "
+         f"CAST({TOP_K} AS BIGINT) AS n_docs")
+ORACLE["lsa_search"] = _with(QS) + f"\nSELECT query_id, {_LIST} FROM qs"
+ORACLE["hybrid_lsa"] = _with(QS) + f"""
+SELECT query_id, retriever, {_LIST} FROM qs CROSS JOIN (VALUES ('bm25'), ('vector'), ('hybrid')) r(retriever)"""
+ORACLE["lsa_variance"] = "SELECT CAST(128 AS BIGINT) AS n_components, true AS is_share"
+ORACLE["lsa_components"] = f"SELECT {d(0)} AS max_gap, {d(0)} AS max_off"
+ORACLE["lsa_index_stats"] = """
+SELECT count(*) AS n_docs, count(*) AS embedding_rows, CAST(128 AS BIGINT) AS embedding_dims, true AS is_share FROM documents"""

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,17 +21,17 @@ from ..operators.dense import dense_knn
 from ..operators.evaluation import compare, evaluate, per_query
 from ..operators.fusion import linear_fusion, minmax_bounds, reciprocal_rank_fusion
 from ..operators.hybrid import HybridIndex
-from ..operators.lsa import LsaModel
+from ..operators.lsa import LsaModel, r_factor
 from ..operators.tfidf import TfidfModel
 from ..sources.sinks import comparison_table, explain_bars, index_stats, result_lines
-from ..functions.vector import l2_normalize
+from ..functions.vector import l2_norm, l2_normalize
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 TOP_K = 5
-FULL_RANKING_K = 1000
+FETCH_K = 15          # max(3 * TOP_K, 10)
 SWEEP = ((1.2, 0.0), (2.0, 1.0))
 
 
@@ -98,11 +101,21 @@ def bm25_search(spark, sf_dir):
     return _ranked(_bm25(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "bm25_score")
 
 
+def _sparse_queries(spark, sf_dir) -> DataFrame:
+    """Two queries per benchmark item that match few documents or none: its
+    last token in alphabetical order, and its text without spaces (one word
+    that no document has)."""
+    qs = td.queries(spark, sf_dir)
+    last = qs.select((F.col("query_id") * 2).alias("query_id"), F.array_max(bm25_tokens("query")).alias("query"))
+    none = qs.select((F.col("query_id") * 2 + 1).alias("query_id"), F.regexp_replace("query", "[ \n]+", "").alias("query"))
+    return last.unionByName(none)
+
+
 @register("bm25_search_padded")
 def bm25_search_padded(spark, sf_dir):
-    """Full ranking (k = 1000 >= N at sf0.01): documents without a match fill
-    the list with score 0 in corpus order."""
-    return _ranked(_bm25(spark, sf_dir).search(td.queries(spark, sf_dir), k=FULL_RANKING_K), "bm25_score")
+    """Fetch depth 15 for queries that match fewer documents than that: lists
+    are filled with score 0 in corpus order."""
+    return _ranked(_bm25(spark, sf_dir).search(_sparse_queries(spark, sf_dir), k=FETCH_K), "bm25_score")
 
 
 @register("bm25_search_fields")
@@ -230,7 +243,6 @@ def dense_knn_embeddings(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- fusion / hybrid
-FETCH_K = 15          # max(3 * TOP_K, 10)
 LINEAR_ALPHA = 0.7
 
 
@@ -303,6 +315,37 @@ def hybrid_rrf(spark, sf_dir):
     return _hybrid_out(_hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=TOP_K))
 
 
+@register("vector_search_fields")
+def vector_search_fields(spark, sf_dir):
+    res = _tfidf(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K, fields=True)
+    return res.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6("vector_score").alias("vector_score"),
+                      "lang", "source", "n_chars")
+
+
+@register("hybrid_fields")
+def hybrid_fields(spark, sf_dir):
+    """Every list with the query text and the document's columns."""
+    out = _hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=TOP_K, fields=True)
+    return out.select("query_id", F.length("query").cast("long").alias("query_chars"), "retriever",
+                      F.col("rank").cast("long").alias("rank"), "doc_id", "lang", "source", "n_chars",
+                      F.length("text").cast("long").alias("text_chars"))
+
+
+def _byte_share_encoder(texts: DataFrame) -> DataFrame:
+    """A callable encoder: shares of the vowels among the characters of a text."""
+    low = F.lower("text")
+    size = F.greatest(F.length("text"), F.lit(1))
+    parts = [((F.length(low) - F.length(F.translate(low, v, ""))) / size).cast("double") for v in "aeiou"]
+    return texts.select("id", F.array(*parts).alias("embedding"))
+
+
+@register("encoder_callable")
+def encoder_callable(spark, sf_dir):
+    """Vector list of a hybrid index whose encoder is a function of texts."""
+    h = HybridIndex.build(td.corpus(spark, sf_dir), encoder=_byte_share_encoder)
+    return _ranked(h.vector.search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
+
+
 @register("hybrid_fetch_k")
 def hybrid_fetch_k(spark, sf_dir):
     """top_k = 3 -> default fetch depth max(9, 10) = 10."""
@@ -362,6 +405,14 @@ def compare_retrievers(spark, sf_dir):
     return _comparison(spark, sf_dir)
 
 
+@register("evaluate_empty")
+def evaluate_empty(spark, sf_dir):
+    """A retriever that returned nothing keeps its row of zeros."""
+    qs = td.queries(spark, sf_dir)
+    res = Bm25Index.build(td.corpus(spark, sf_dir)).search(qs, k=TOP_K)
+    return compare({"BM25": res, "Silent": res.where("rank < 0")}, td.qrels(spark, sf_dir), qs, k=TOP_K)
+
+
 @register("comparison_table")
 def comparison_table_q(spark, sf_dir):
     return comparison_table(_comparison(spark, sf_dir), k=TOP_K)
@@ -375,6 +426,13 @@ def result_lines_q(spark, sf_dir):
                                                     "line")
 
 
+@register("result_lines_titled")
+def result_lines_titled(spark, sf_dir):
+    """The language stands in for the title that the test documents lack."""
+    out = _hybrid(spark, sf_dir, fusion="rrf").search(td.queries(spark, sf_dir), top_k=TOP_K, fields=True)
+    return result_lines(out, title_col="lang").select("query_id", "retriever", F.col("rank").cast("long").alias("rank"), "line")
+
+
 @register("explain_bars")
 def explain_bars_q(spark, sf_dir):
     idx = _bm25(spark, sf_dir)
@@ -393,42 +451,77 @@ def index_stats_q(spark, sf_dir):
                     F.col("tfidf_features").cast("long").alias("tfidf_features"))
 
 
-# --------------------------------------------------------------------------- LSA (rows-only checks)
-_LSA: dict = {}
+# --------------------------------------------------------------------------- LSA
+# A randomised SVD has no SQL statement, but its invariants have: dimensions,
+# unit norms, orthonormal components, embeddings equal to X V, list shapes.
+_LSA: dict[tuple[str, str], LsaModel] = {}
 
 
 def _lsa(spark, sf_dir) -> LsaModel:
     """Reference defaults (128 components, 5 power iterations, 10
-    oversamples); one fit per session and table folder."""
-    key = (id(spark.sparkContext._jsc), sf_dir)
+    oversamples); one fit per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LSA:
         _LSA[key] = LsaModel.fit(td.corpus(spark, sf_dir))
     return _LSA[key]
 
 
+def _norms(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, F.size("embedding").cast("long").alias("dims"), r6(l2_norm(F.col("embedding"))).alias("norm"))
+
+
 @register("lsa_embeddings")
 def lsa_embeddings(spark, sf_dir):
-    return _lsa(spark, sf_dir).embeddings().select("doc_id", F.size("embedding").cast("long").alias("dims"),
-                                                   "embedding")
+    return _norms(_lsa(spark, sf_dir).embeddings(), "doc_id")
 
 
 @register("lsa_encode_query")
 def lsa_encode_query(spark, sf_dir):
-    return _lsa(spark, sf_dir).encode(td.queries(spark, sf_dir))
+    return _norms(_lsa(spark, sf_dir).encode(td.queries(spark, sf_dir)), "query_id")
+
+
+def _list_shape(df: DataFrame, *keys: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.min("rank").cast("long").alias("first_rank"),
+                                 F.max("rank").cast("long").alias("last_rank"),
+                                 F.countDistinct("doc_id").alias("n_docs"))
 
 
 @register("lsa_search")
 def lsa_search(spark, sf_dir):
-    return _ranked(_lsa(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
+    return _list_shape(_lsa(spark, sf_dir).search(td.queries(spark, sf_dir), k=TOP_K), "query_id")
 
 
 @register("lsa_variance")
 def lsa_variance(spark, sf_dir):
-    return _lsa(spark, sf_dir).variance_frame()
+    v = _lsa(spark, sf_dir).variance_frame()
+    inside = (F.col("variance_explained") > 0) & (F.col("variance_explained") <= 1)
+    return v.select("n_components", inside.alias("is_share"))
+
+
+@register("lsa_components")
+def lsa_components(spark, sf_dir):
+    """Largest deviation of V^T V from the identity, and of the embeddings from X V."""
+    m = _lsa(spark, sf_dir)
+    r = r_factor(m.all_components())
+    off = float(abs(r.T @ r - np.eye(m.n_components)).max())
+    xv = m.tfidf.doc_weights.join(m.all_components(), "term").groupBy("doc_id").agg(
+        vector_to_array(Summarizer.sum(array_to_vector(F.col("vec")), F.col("weight"))).alias("xv"))
+    gap = F.array_max(F.zip_with("xv", "embedding", lambda a, b: F.abs(a - b)))
+    both = xv.join(m.doc_embeddings, "doc_id", "full_outer").select(F.coalesce(gap, F.lit(1.0)).alias("gap"))
+    return both.agg(F.round(F.max("gap"), 6).alias("max_gap"), F.round(F.lit(off), 6).alias("max_off"))
 
 
 @register("hybrid_lsa")
 def hybrid_lsa(spark, sf_dir):
     c = td.corpus(spark, sf_dir)
     h = HybridIndex(Bm25Index.build(c), _lsa(spark, sf_dir), fusion="rrf")
-    return _hybrid_out(h.search(td.queries(spark, sf_dir), top_k=TOP_K))
+    return _list_shape(h.search(td.queries(spark, sf_dir), top_k=TOP_K), "query_id", "retriever")
+
+
+@register("lsa_index_stats")
+def lsa_index_stats(spark, sf_dir):
+    m = _lsa(spark, sf_dir)
+    s = index_stats(Bm25Index.build(td.corpus(spark, sf_dir)), m.tfidf, m)
+    return s.select(F.col("n_docs").cast("long").alias("n_docs"), F.col("embedding_rows").cast("long").alias("embedding_rows"),
+                    F.col("embedding_dims").cast("long").alias("embedding_dims"),
+                    ((F.col("variance_explained") > 0) & (F.col("variance_explained") <= 1)).alias("is_share"))

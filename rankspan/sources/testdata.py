@@ -3,22 +3,18 @@
 * corpus  = ``documents`` (no title; ``pos`` = doc_id; lang/source/n_chars pass through)
 * queries = ``benchmark(item_id, text)``
 * qrels   = documents whose text contains the item's text (exact substring),
-            found with one Aho-Corasick pass per document partition.
+            found by an equi-join on one rare token of each item.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..operators.common import stage
 from .corpus import as_corpus, as_queries
 
-# Bound on the pattern set shipped to every task for the substring qrels.
-MAX_PATTERN_BYTES = 256 << 20
+GRAM = 8    # characters of the anchor of an item without an interior token
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,51 +29,52 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_queries(table(spark, sf_dir, "benchmark"), id_col="item_id", text_col="text")
 
 
-def _contains_matcher(patterns: list[tuple[int, str]]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        by_text: dict[str, list[int]] = {}
-        for qid, text in patterns:
-            if text:
-                by_text.setdefault(text, []).append(qid)
-        for text, ids in by_text.items():
-            automaton.add_word(text, ids)
-        if by_text:
-            automaton.make_automaton()
-        for pdf in batches:
-            qids, dids = [], []
-            if by_text:
-                for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                    if text is None:
-                        continue
-                    found: set[int] = set()
-                    for _, ids in automaton.iter(text):
-                        found.update(ids)
-                    for q in found:
-                        qids.append(q)
-                        dids.append(doc_id)
-            yield pd.DataFrame({"query_id": pd.Series(qids, dtype="int64"),
-                                "doc_id": pd.Series(dids, dtype="int64")})
-    return run
+def _by_token(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """Candidate (query_id, doc_id): documents with an item's rarest interior
+    token.  Inside a text an interior token stands between the same white space
+    as in the item, so it is a token of every text that contains the item."""
+    tokens = items.select("query_id", F.explode("inner").alias("token")).distinct()
+    found = stage(documents.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("token"))
+                  .join(tokens.select("token").distinct(), "token"), "qrels-tokens")
+    df = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    rarest = (tokens.join(df, "token", "left")
+              .groupBy("query_id").agg(F.min_by("token", F.struct(F.coalesce("df", F.lit(0)), F.col("token"))).alias("token")))
+    return found.join(rarest, "token").select("query_id", "doc_id")
+
+
+def _by_gram(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """Candidates for items without an interior token: documents with the item's
+    first ``GRAM`` characters (or all of it)."""
+    anchors = items.select("query_id", F.least(F.length("query"), F.lit(GRAM)).alias("n"), "query").select(
+        "query_id", "n", F.expr("substring(query, 1, n)").alias("gram"))
+    out = None
+    for n in sorted(r["n"] for r in anchors.select("n").distinct().collect()):     # at most GRAM values
+        grams = documents.where(F.length("text") >= n).select("doc_id", F.explode(F.expr(
+            f"array_distinct(transform(sequence(1, length(text) - {n} + 1), i -> substring(text, i, {n})))")).alias("gram"))
+        part = grams.join(anchors.where(F.col("n") == n), "gram").select("query_id", "doc_id")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def substring_qrels(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(query_id, doc_id) for every document whose text contains the item text.
 
-    The item texts are the pattern set (checked against ``MAX_PATTERN_BYTES``
-    and shipped to each task); documents stream through once, O(text length)
-    per document regardless of the number of items.  Empty items match
-    nothing here (the reference has no empty judged query)."""
-    ship_package(documents.sparkSession)
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("query")).alias("bytes")).first()
-    if (stats["bytes"] or 0) > MAX_PATTERN_BYTES:
-        raise ValueError(f"item texts total {stats['bytes']} bytes; split the item table into batches")
-    patterns = [(r["query_id"], r["query"]) for r in items.select("query_id", "query").toLocalIterator()]
-    return (documents.select("doc_id", "text")
-            .mapInPandas(_contains_matcher(patterns), "query_id long, doc_id long")
-            .dropDuplicates(["query_id", "doc_id"]))
+    Candidates come from an equi-join on one token (or character run) of each
+    item, and every candidate is verified on the whole texts.  Empty items
+    match nothing here (the reference has no empty judged query)."""
+    words = F.split("query", r"\s+")
+    asked = stage(items.where(F.length("query") > 0).select("query_id", "query", words.alias("w")).select(
+        "query_id", "query", F.when(F.size("w") > 2, F.slice("w", F.lit(2), F.size("w") - 2)).alias("inner")), "qrels-items")
+    asked = asked.withColumn("inner", F.filter("inner", lambda t: t != ""))
+    docs = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
+    has_inner = F.coalesce(F.size("inner"), F.lit(0)) > 0
+    candidates = _by_token(docs, asked.where(has_inner))
+    short = asked.where(~has_inner)
+    if not short.isEmpty():
+        candidates = candidates.unionByName(_by_gram(docs, short))
+    candidates = stage(candidates.distinct(), "qrels-candidates")
+    return (docs.join(candidates, "doc_id").join(asked.select("query_id", "query"), "query_id")
+            .where(F.contains("text", "query")).select("query_id", "doc_id").distinct())
 
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,16 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
-
 
 def search_stream(queries: DataFrame, search: Callable[[DataFrame], DataFrame], path: str,
-                  checkpoint_location: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                  checkpoint_location: str, trigger: dict | None = None) -> StreamingQuery:
     """Start a streaming query; ``search`` maps a static batch of queries to
     results (e.g. ``lambda q: index.search(q, k=5)``)."""
     if not queries.isStreaming:
         raise ValueError("queries must be a streaming DataFrame (spark.readStream...)")
-    ckpt = checkpoint_location or scratch_path(queries.sparkSession, "search-stream")
+    if not checkpoint_location:
+        raise ValueError("a stream needs a checkpoint location of its own: a restart continues from it")
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
@@ -32,6 +31,6 @@ def search_stream(queries: DataFrame, search: Callable[[DataFrame], DataFrame],
         out = search(batch.select("query_id", "query")).withColumn("epoch", F.lit(epoch_id))
         out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch_id}")
 
-    writer = queries.writeStream.foreachBatch(run).option("checkpointLocation", ckpt)
+    writer = queries.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(**trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,27 +107,42 @@ def test_partition_independence(spark, fx):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_materialized_index_matches(idx, fx):
-    mat = idx.materialize()
-    assert ranking(mat.search(fx[1], k=6)) == GOLD
-    assert ranking(mat.with_params(b=0.0).search(fx[1], k=6)) == ranking(idx.with_params(b=0.0).search(fx[1], k=6))
+def test_staged_index_is_reused(idx, fx, spark, tmp_path):
+    placed = Bm25Index.build(fx[0], path=str(tmp_path / "index"))
+    assert ranking(placed.search(fx[1], k=6)) == GOLD
+    assert ranking(placed.with_params(b=0.0).search(fx[1], k=6)) == ranking(idx.with_params(b=0.0).search(fx[1], k=6))
+
+
+def test_scores_need_no_exchange_by_document(idx, fx):
+    plan = idx.score(fx[1])._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\((query_id|doc_id)", plan), plan
 
 
-def test_shuffle_fallback_when_over_broadcast_bound(fx, spark, monkeypatch):
-    """With a zero broadcast bound every join takes the shuffle path; results
-    must not change."""
-    from rankspan.operators import common
+def test_results_without_broadcast(fx, spark):
+    """Every join as a shuffle join: results must not change."""
     from rankspan.operators.fusion import linear_fusion
-    want = ranking(Bm25Index.build(fx[0]).search(fx[1], k=6))
     pairs = spark.createDataFrame([("q1", "ferry ferry pier", "m1")], "query_id string, query string, doc_id string")
     want_ex = {r["term"]: r["contribution"] for r in Bm25Index.build(fx[0]).explain_terms(pairs).collect()}
-    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(common.checked_broadcast, "__defaults__", (0,))
-    monkeypatch.setattr(common.bounded, "__defaults__", (0,))
-    idx = Bm25Index.build(fx[0])
-    plan = idx.search(fx[1], k=6)
-    assert ranking(plan) == want
-    assert {r["term"]: r["contribution"] for r in idx.explain_terms(pairs).collect()} == want_ex
-    b = idx.search(fx[1], k=3).select("query_id", "rank", "doc_id", "bm25_score")
-    v = b.withColumnRenamed("bm25_score", "vector_score")
-    assert linear_fusion(b, v).count() == 15
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        idx = Bm25Index.build(fx[0])
+        assert ranking(idx.search(fx[1], k=6)) == GOLD
+        assert {r["term"]: r["contribution"] for r in idx.explain_terms(pairs).collect()} == want_ex
+        b = idx.search(fx[1], k=3).select("query_id", "rank", "doc_id", "bm25_score")
+        assert linear_fusion(b, b.withColumnRenamed("bm25_score", "vector_score")).count() == 15
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_build_errors(spark):
+    schema = "doc_id string, pos long, title string, text string"
+    with pytest.raises(ValueError, match="no documents"):
+        Bm25Index.build(spark.createDataFrame([], schema))
+    with pytest.raises(ValueError, match="no text"):
+        Bm25Index.build(spark.createDataFrame([("a", 1, None, "x y"), ("b", 2, None, None)], schema))
+
+
+def test_search_needs_an_index():
+    """There is no unbuilt index to search: the constructor asks for its tables."""
+    with pytest.raises(TypeError):
+        Bm25Index().search(None)

@@ -127,3 +127,34 @@ def test_sinks(spark):
 def test_unknown_fusion(fx):
     with pytest.raises(ValueError):
         HybridIndex.build(fx[0], fusion="max")
+
+
+def test_missing_list_is_an_error(spark):
+    b = spark.createDataFrame([("q", "a", 1, 2.0)], "query_id string, doc_id string, rank int, bm25_score double")
+    v = spark.createDataFrame([("r", "b", 1, 0.9)], "query_id string, doc_id string, rank int, vector_score double")
+    with pytest.raises(Exception, match="list is empty for query"):
+        linear_fusion(b, v).collect()
+
+
+def test_silent_retriever_keeps_its_row(spark, fx):
+    none = spark.createDataFrame([], "query_id string, rank int, doc_id string")
+    rows_ = compare({"Silent": none}, fx[2], fx[1], k=3).collect()
+    assert [(r["retriever"], r["MRR"], r["num_queries"]) for r in rows_] == [("Silent", 0.0, 5)]
+    assert compare({}, fx[2], fx[1], k=3).count() == 0
+
+
+def test_k_zero_and_duplicates(spark):
+    res = spark.createDataFrame([("q", 1, "a"), ("q", 2, "a")], "query_id string, rank int, doc_id string")
+    rel = spark.createDataFrame([("q", "a"), ("q", "a")], "query_id string, doc_id string")
+    qs = spark.createDataFrame([("q",)], "query_id string")
+    assert per_query(res, rel, qs, k=0).first()["precision"] == 0.0
+    assert per_query(res, rel, qs, k=2).first()["precision"] == 1.0
+
+
+def test_dispatch(fx, lsa_hybrid):
+    h = HybridIndex(*lsa_hybrid, fusion="rrf")
+    h.fusion = "max"
+    with pytest.raises(ValueError, match="Unknown fusion"):
+        h.search(fx[1], top_k=2)
+    with pytest.raises(ValueError, match="Unknown encoder"):
+        HybridIndex.build(fx[0], encoder="nope")

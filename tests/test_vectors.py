@@ -2,9 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankspan.operators.dense import dense_knn
-from rankspan.operators.lsa import LsaModel
+from rankspan.operators.dense import block_top_k, dense_knn
+from rankspan.operators.lsa import LsaModel, gaussian_vector
 from rankspan.operators.tfidf import TfidfModel
+from rankspan.sources import testdata as td
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +73,64 @@ def test_dense_knn_matches_numpy(spark):
         want[q] = [(d, round(s[q, d], 6) + 0.0) for d in order]
     assert scores(dense_knn(qdf, ddf, k=7)) == want
     assert scores(dense_knn(qdf, ddf, k=7, q_blocks=3, c_blocks=4)) == want
+
+
+def test_dense_knn_zero_and_equal_vectors(spark):
+    docs = [(i, i, [0.0, 0.0] if i % 3 == 0 else [1.0, 1.0]) for i in range(60)]
+    ddf = spark.createDataFrame(docs, "doc_id long, pos long, embedding array<double>")
+    qdf = spark.createDataFrame([(1, [0.0, 0.0]), (2, [2.0, 2.0])], "query_id long, embedding array<double>")
+    got = scores(dense_knn(qdf, ddf, k=3, q_blocks=2, c_blocks=3))
+    assert [d for d, _ in got[1]] == [59, 58, 57]
+    assert [d for d, _ in got[2]] == [59, 58, 56]
+
+
+def test_block_keeps_exactly_k_rows():
+    q, d, s = block_top_k(np.zeros((2, 4)), np.ones((500, 4)), 5)
+    assert len(q) == 10 and sorted(set(d.tolist())) == [0, 1, 2, 3, 4]
+
+
+def test_tfidf_errors(spark):
+    schema = "doc_id string, pos long, title string, text string"
+    with pytest.raises(ValueError):
+        TfidfModel.fit(spark.createDataFrame([("a", 1, None, "one lonely text")], schema))
+    with pytest.raises(ValueError, match="empty vocabulary"):
+        TfidfModel.fit(spark.createDataFrame([("a", 1, None, "the of"), ("b", 2, None, "and the")], schema), max_df=1.0)
+    with pytest.raises(ValueError, match="no documents"):
+        TfidfModel.fit(spark.createDataFrame([], schema))
+    with pytest.raises(TypeError):
+        LsaModel().search(None)
+
+
+def test_lsa_against_numpy(spark):
+    """Embeddings and query vectors against numpy subspace iteration from the
+    same start on a 60-document corpus (32 of 60 directions)."""
+    corpus = td.corpus(spark, "/root/testdata/sf0.001").where("doc_id < 60")
+    tfidf = TfidfModel.fit(corpus)
+    k, over = 24, 8
+    m = LsaModel.fit(corpus, n_components=k, n_oversamples=over, tfidf=tfidf)
+    w = tfidf.doc_weights.select("doc_id", "term", "weight").toPandas()
+    docs, terms = sorted(w.doc_id.unique()), sorted(w.term.unique())
+    row, col = {d: i for i, d in enumerate(docs)}, {t: i for i, t in enumerate(terms)}
+    x = np.zeros((len(docs), len(terms)))
+    x[w.doc_id.map(row), w.term.map(col)] = w.weight
+    start = {r["doc_id"]: r["v"] for r in corpus.select("doc_id", gaussian_vector(F.col("doc_id"), k + over, 42).alias("v")).collect()}
+    q = np.array([start[d] for d in docs])
+    for _ in range(7):
+        q = np.linalg.qr(q)[0]
+        y = x @ (x.T @ q)
+        last, q = q, y
+    v = np.linalg.svd(x.T @ last, full_matrices=False)[0][:, :k]
+    e = x @ v
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    got = {r["doc_id"]: r["embedding"] for r in m.embeddings().collect()}
+    ours = np.array([got[d] for d in docs])
+    assert np.abs(ours @ ours.T - e @ e.T).max() < 1e-6
+    # a document encoded as a query is its own embedding
+    qs = corpus.select(F.col("doc_id").alias("query_id"), F.concat(F.lit(". "), "text").alias("query"))
+    enc = {r["query_id"]: r["embedding"] for r in m.encode(qs).collect()}
+    assert np.abs((np.array([enc[d] for d in docs]) * ours).sum(axis=1) - 1).max() < 1e-6
+    # heavy terms take another way to the same result
+    h = LsaModel.fit(corpus, n_components=k, n_oversamples=over, tfidf=tfidf, heavy_df=5)
+    other = {r["doc_id"]: r["embedding"] for r in h.embeddings().collect()}
+    theirs = np.array([other[d] for d in docs])
+    assert np.abs(theirs @ theirs.T - ours @ ours.T).max() < 1e-6
