@@ -14,9 +14,10 @@ similarity 0.8 shares none with probability 3e-6).  Work is on distinct texts
 (word sequences); copies only join their text's class.
 
 1. In each band bucket every text is compared with the smallest id of the bucket.
-2. Texts that end up in different classes though they share a bucket are then
-   compared across classes (with a size that allows the similarity), so no link
-   between different texts is lost; pairs inside a class are never formed.
+2. Texts of buckets that hold several classes are then compared across classes
+   where they share an element of their rare prefixes, which all pairs of the
+   similarity do; so no link between different texts is lost, and neither pairs
+   inside a class nor pairs with only a frequent passage in common are formed.
 3. Pairs are verified on the elements themselves (weighted Jaccard >= 0.8).
 
 Results: the class of a document is the smallest doc_id in its connected group.
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_batches, staged
@@ -176,12 +177,14 @@ def element_sets(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches ``threshold``."""
+    """The pairs (a, b) whose weighted Jaccard similarity reaches ``threshold``.
+    Merge joins: one plan at every size, and a much-paired id can be split."""
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"))
     shared = F.size(F.array_intersect("ea", "eb"))
     union = F.size("ea") + F.size("eb") - shared
-    return (pairs.join(right, "b").join(left, "a").where(shared >= threshold * union).select("a", "b").distinct())
+    return (pairs.hint("merge").join(right, "b").hint("merge").join(left, "a")
+            .where(shared >= threshold * union).select("a", "b"))
 
 
 def _class_of(members: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
@@ -189,19 +192,40 @@ def _class_of(members: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
     return members.join(named, id_col, "left").withColumn("class", F.coalesce("_root", id_col)).drop("_root")
 
 
-def _across(buckets: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket in different classes whose sizes allow the similarity."""
+def _across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different classes to be compared: every pair of
+    similarity ``threshold`` among the texts whose buckets hold several classes.
+
+    Two such texts share one of the rarest (1 - threshold) * weight + 1 elements
+    of each (prefix filter, exact for any order of the elements).  Texts that
+    only share a frequent passage do not, since that is the last in the order;
+    pairs inside a class are left out, and sizes must allow the similarity."""
     members = _class_of(buckets.select("key", "id"), classes, "id")
     mixed = (members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
              .where("lo != hi").select("key"))
-    members = staged(members.join(mixed, "key").join(sizes, "id"), "mixed")
-    level: Column = F.floor(F.log("weight") / F.log(F.lit(1 / threshold))).cast("int")
-    left = members.select("key", level.alias("level"), F.col("id").alias("a"), F.col("class").alias("ca"),
-                          F.col("weight").alias("wa"))
-    right = members.select("key", F.explode(F.array(level - 1, level, level + 1)).alias("level"), F.col("id").alias("b"),
-                           F.col("class").alias("cb"), F.col("weight").alias("wb"))
-    fits = (F.least("wa", "wb") >= threshold * F.greatest("wa", "wb")) & (F.col("ca") < F.col("cb"))
-    return left.join(right, ["key", "level"]).where(fits).select("a", "b").distinct()
+    ids = members.hint("merge").join(mixed, "key").select("id", "class").distinct()
+    texts = staged(ids.hint("merge").join(sets, "id").select("id", "class", "elements"), "mixed")
+    each = texts.select("id", F.explode("elements").alias("element"))
+    df = each.groupBy("element").agg(F.count(F.lit(1)).alias("df"))
+    # an element of one text finds no partner; left out, it still counts in the weight
+    ranked = (each.hint("merge").join(df.where("df > 1"), "element").groupBy("id")
+              .agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("order")))
+    weight = F.size("elements")
+    single = weight - F.size("order")
+    length = weight - F.ceil(F.lit(threshold) * weight - 1e-9).cast("int") + 1
+    # position in the order: the elements of this text alone come first
+    rare = F.transform(F.slice("order.element", F.lit(1), F.greatest(length - single, F.lit(0))),
+                       lambda e, i: F.struct(e.alias("element"), (weight - single - i).alias("rest")))
+    prefix = staged(texts.hint("merge").join(ranked, "id").select(
+        "id", "class", weight.alias("weight"), F.explode(rare).alias("e")).select("id", "class", "weight", "e.*"), "prefix")
+    left = prefix.select("element", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("weight").alias("wa"),
+                         F.col("rest").alias("ra"))
+    right = prefix.select("element", F.col("id").alias("b"), F.col("class").alias("cb"), F.col("weight").alias("wb"),
+                          F.col("rest").alias("rb"))
+    # from the first shared element on, both must hold enough elements for the overlap
+    least = F.lit(threshold / (1 + threshold)) * (F.col("wa") + F.col("wb")) - 1e-9
+    fits = (F.least("ra", "rb") >= least) & (F.col("ca") < F.col("cb"))
+    return left.hint("merge").join(right, "element").where(fits).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -211,21 +235,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "texts")
     members = texts.select("id", F.explode("bands").alias("key"))
     leaders = members.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = staged(members.join(leaders.select("key", "leader"), "key"), "buckets")
+    buckets = staged(members.hint("merge").join(leaders.select("key", "leader"), "key"), "buckets")
     pairs = staged(buckets.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    with_text = docs.select(F.col("doc_id").cast("long").alias("id"), F.lower("text").alias("text")).join(wanted, "id")
+    with_text = docs.select(F.col("doc_id").cast("long").alias("id"), F.lower("text").alias("text")).hint("merge").join(wanted, "id")
     sets = staged(element_sets(with_text), "sets")
     links = staged(verified(pairs, sets, threshold), "links")
     classes = components(links)
-    sizes = sets.select("id", F.size("elements").alias("weight"))
-    more = staged(_across(buckets, classes, sizes, threshold).join(pairs, ["a", "b"], "left_anti"), "across")
+    more = staged(_across(buckets, classes, sets, threshold).join(pairs, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
         found = staged(verified(more, sets, threshold), "links")
         if not found.isEmpty():
             classes = components(links.unionByName(found))
     text_class = _class_of(texts.select("t1", "t2", "id"), classes, "id").select("t1", "t2", "class")
-    out = marked.select("doc_id", "t1", "t2").join(text_class, ["t1", "t2"], "left")
+    out = marked.select("doc_id", "t1", "t2").hint("merge").join(text_class, ["t1", "t2"], "left")
     return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
 
 
