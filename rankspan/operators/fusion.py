@@ -68,14 +68,14 @@ def linear_fusion(bm25: DataFrame, vector: DataFrame, alpha: float = 0.5, bm25_c
     v = vector.select(*KEYS, F.col("rank").alias("_vrank"), *[F.col(c).alias(f"_v_{c}") for c in vfields])
     bb, vb = minmax_bounds(bm25, bm25_col, "_bb"), minmax_bounds(vector, vector_col, "_vb")
     joined = b.join(v, list(KEYS), "full_outer").join(bb, "query_id", "left").join(vb, "query_id", "left")
-    # the reference has no bounds to normalise by where a list is missing
-    bb_min, vb_min = (F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.concat(
-        F.lit(f"{name} list is empty for query "), F.col("query_id").cast("string"))).cast("double"))
-        for c, name in (("_bb_min", "the BM25"), ("_vb_min", "the vector")))
-    nb = (F.coalesce(F.col(f"_b_{bm25_col}"), F.lit(0.0)) - bb_min) / F.col("_bb_range")
-    nv = (F.coalesce(F.col(f"_v_{vector_col}"), F.lit(0.0)) - vb_min) / F.col("_vb_range")
+    nb = (F.coalesce(F.col(f"_b_{bm25_col}"), F.lit(0.0)) - F.col("_bb_min")) / F.col("_bb_range")
+    nv = (F.coalesce(F.col(f"_v_{vector_col}"), F.lit(0.0)) - F.col("_vb_min")) / F.col("_vb_range")
     a = float(alpha)
-    scored = joined.withColumn("linear_score", F.round(F.lit(a) * nv + F.lit(1.0 - a) * nb, 6))
+    # without a list there are no bounds to normalise by (the reference raises too)
+    absent = F.raise_error(F.concat(F.lit("a ranked list is empty for query "), F.col("query_id").cast("string")))
+    scored = joined.withColumn("linear_score", F.when(
+        F.col("_bb_min").isNotNull() & F.col("_vb_min").isNotNull(),
+        F.round(F.lit(a) * nv + F.lit(1.0 - a) * nb, 6)).otherwise(absent.cast("double")))
     in_v = F.col("_vrank").isNotNull()
     out_fields = []
     for c in dict.fromkeys(bfields + vfields):
