@@ -1,16 +1,21 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on the
-toxic passages of toxic text (each is followed by the same ordinary content, so
-that both compress ordinary wording alike).  A text is cut into windows at word
+Two zstandard dictionaries: one is trained by ``zstandard.train_dictionary`` on
+windows of ordinary text; the other is not trained but strung together from the
+words of toxic texts that ordinary texts hardly use, the most frequent nearest
+to the text (trained on whole toxic windows it is mostly ordinary wording and
+finds far less, see README).  It is followed by the same ordinary content, so
+that both compress ordinary wording alike.  A text is cut into windows at word
 borders; a window's gain is its compressed length under the ordinary dictionary
 minus that under the toxic one.  The number of windows over calibrated gains
 and the largest gains, put through a logistic calibration, give the score.
 
 Training uses a bounded labelled sample (``SAMPLE_PER_CLASS`` documents a class,
 none longer than ``LONGEST_SAMPLE`` bytes); one half builds the dictionaries,
-the other half calibrates.  The toxic passages of a toxic text are its windows
-with wording (word beginnings) that ordinary texts hardly use.
+the other half calibrates.  Toxic words are told by their beginnings: those that
+stand in toxic texts far more often than in ordinary ones, copies of a text
+counted once, by more than chance (``EVIDENCE``).  Where they stand, and what
+stands before them, does not matter.
 
 Defined cases: null and empty texts have no windows and are scored from that;
 without labels of both classes every score is 0; repeated rows score alike;
@@ -38,6 +43,10 @@ WINDOW = 96
 ORDINARY_DICTIONARY = 16 << 10
 TOXIC_DICTIONARY = 8 << 10
 STEMS = (4, 5, 6, 8)
+# likelihood ratio that chance exceeds once in ten thousand (chi-square, one degree of freedom)
+EVIDENCE = 15.13
+# a text is a copy if it shares so much of its runs of COPY_RUN words with one text before it
+COPY_SHARE, COPY_RUN = 0.5, 5
 
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
@@ -106,27 +115,45 @@ def _stems(word: bytes) -> set[bytes]:
     return {word[:k] for k in STEMS if len(word) >= k} | {word}
 
 
-def passages(toxic: list[bytes], ordinary: list[bytes], ratio: float = 12.0) -> list[bytes]:
-    """The words of toxic texts with stems that ordinary texts hardly use and
-    that follow many different words (wording that only comes with copies of one
-    text follows always the same)."""
+def without_copies(texts: list[bytes]) -> list[bytes]:
+    """``texts`` without exact and near copies of an earlier one."""
+    holders: dict[bytes, list[int]] = {}
+    kept = []
+    for x in texts:
+        words = x.split()
+        runs = {b" ".join(words[i:i + COPY_RUN]) for i in range(max(1, len(words) - COPY_RUN + 1))}
+        shared = Counter(k for r in runs for k in holders.get(r, ()))
+        if max(shared.values(), default=0) >= COPY_SHARE * len(runs):
+            continue
+        for r in runs:
+            holders.setdefault(r, []).append(len(kept))
+        kept.append(x)
+    return kept
+
+
+def told_stems(toxic: list[bytes], ordinary: list[bytes], ratio: float) -> set[bytes]:
+    """Word beginnings that stand in toxic texts ``ratio`` times as often as in
+    ordinary ones, by a likelihood ratio of ``EVIDENCE`` or more."""
     t, o = Counter(), Counter()
     for texts, counter in ((toxic, t), (ordinary, o)):
         for x in texts:
             counter.update({s for w in set(x.split()) for s in _stems(w)})
-    least = max(3, len(toxic) // 100)
-    told = {s for s, n in t.items() if n >= least and
-            (n / len(toxic)) / ((o[s] + 0.5) / max(1, len(ordinary))) >= ratio}
-    places = []
-    for x in toxic:
-        words = x.split()
-        places += [(w, p) for p, w in zip([b"", *words], words) if not told.isdisjoint(_stems(w))]
-    before: dict[bytes, set[bytes]] = {}
-    for w, p in set(places):
-        for s in _stems(w) & told:
-            before.setdefault(s, set()).add(p)
-    told = {s for s in told if len(before.get(s, ())) >= max(3, 0.3 * t[s])}
-    return [b" " + w + b" " for w, _ in places if not told.isdisjoint(_stems(w))]
+    n_t, n_o, told = len(toxic), max(1, len(ordinary)), set()
+    for s, a in t.items():
+        b = o[s]
+        if (a / n_t) / ((b + 0.5) / n_o) < ratio:
+            continue
+        p = (a + b) / (n_t + n_o)
+        if 2 * (a * np.log(a / n_t / p) + (b * np.log(b / n_o / p) if b else 0.0)) >= EVIDENCE:
+            told.add(s)
+    return told
+
+
+def passages(toxic: list[bytes], ordinary: list[bytes], ratio: float = 12.0) -> list[bytes]:
+    """The words of toxic texts (copies left out) with told stems."""
+    toxic = without_copies(toxic)
+    told = told_stems(toxic, without_copies(ordinary), ratio)
+    return [b" " + w + b" " for x in toxic for w in x.split() if not told.isdisjoint(_stems(w))]
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:

@@ -60,6 +60,20 @@ def test_toxic_passages_are_found():
     assert toxicity.windows(b"") == [] and b"".join(toxicity.windows(b"x" * 500)) == b"x" * 500
 
 
+def test_toxic_words_of_fixed_wording_count_and_copies_do_not():
+    r = np.random.default_rng(1)
+    plain = [" ".join(f"t{r.integers(400)}" for _ in range(60)) for _ in range(300)]
+    toxic = [t.replace(" t1", " you are a horrid t1", 1) + " you are a horrid" for t in plain[:150]]
+    copies = [" ".join(["unusual", *plain[299].split()[:50], f"t{i}"]) for i in range(40)]       # one text, changed at its end
+    as_bytes = [[t.encode() for t in texts] for texts in (toxic + copies, plain)]
+    found = set(toxicity.passages(*as_bytes))
+    assert b" horrid " in found and b" unusual " not in found
+    # wording of under one in a hundred toxic texts
+    rare = [t + " vile" * (i % 125 == 0) for i, t in enumerate(" ".join(f"t{r.integers(400)}" for _ in range(30)) for _ in range(1500))]
+    calm = [" ".join(f"t{r.integers(400)}" for _ in range(30)) for _ in range(3000)]
+    assert b" vile " in toxicity.passages([t.encode() for t in rare], [t.encode() for t in calm])
+
+
 def test_boosted_trees():
     r = np.random.default_rng(2)
     x = r.normal(size=(800, 4))
