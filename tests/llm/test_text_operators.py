@@ -106,6 +106,16 @@ def test_pii_odd_tables(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_pii_candidates_of_any_length(spark):
+    key = "k3" + "Ab" * 149
+    texts = ["token=" + "x7-_" * 80, key, "u" * 90 + "@" + "h" * 300, "5" + " 55" * 40, "1" + " " * 100_000, "a1" * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: {(c["kind"], c["s"], c["e"]) for c in r["_cand"]} for r in pii.candidates(pii.base_spans(docs)).collect()}
+    for i, kind in ((0, "secret"), (1, "secret"), (2, "email"), (3, "phone"), (5, "secret")):
+        assert (kind, 0, len(texts[i])) in found[i], i
+    assert not found[4]
+
+
 def test_license_places_and_templates(spark):
     mit = licenses.TEMPLATES[0][1].replace("[[", "").replace("]]", "")
     rows = [(1, "x under the MIT License, under the mit-license."), (2, "Apache License, Version 2.0; CC BY-NC 4.0"), (3, None), (4, ""),
