@@ -36,12 +36,13 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64,
-        l2: float = 1.0, least_rows: int = 8) -> Trees:
-    """Boost ``trees`` trees on log loss.  One class only, or no rows, gives a
-    model without splits."""
+        l2: float = 1.0, least_rows: int = 8, weight: np.ndarray | None = None) -> Trees:
+    """Boost ``trees`` trees on log loss; ``weight``: of each row (1 on the mean).
+    One class only, or no rows, gives a model without splits."""
     n, width = x.shape
     y = y.astype(float)
-    share = (y.sum() + 0.5) / (n + 1.0)
+    weight = np.ones(n) if weight is None else weight
+    share = ((weight * y).sum() + 0.5) / (weight.sum() + 1.0)
     bias = float(np.log(share / (1 - share)))
     inner, leaves = 2**depth - 1, 2**depth
     model = Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)), bias, depth)
@@ -54,7 +55,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
     offset = np.arange(width) * bins
     for _ in range(trees):
         p = 1.0 / (1.0 + np.exp(-margin))
-        grad, hess = p - y, np.maximum(p * (1 - p), 1e-9)
+        grad, hess = weight * (p - y), weight * np.maximum(p * (1 - p), 1e-9)
         node = np.zeros(n, np.int64)
         feature, threshold = np.zeros(inner, np.int64), np.full(inner, np.inf)
         for level in range(depth):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_of_id, in_batches
 from .gbt import Trees, fit
-from .labelled import labelled_sample
+from .labelled import class_counts, labelled_sample
 from .textbuf import SpanHasher, buffers, chunks, mix, split_words
 
 SAMPLE_PER_CLASS = 4000
@@ -144,7 +144,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SA
     x = np.array([r["stats"] for r in rows], dtype=float).reshape(len(rows), len(STATISTICS))
     y = np.array([r["y"] for r in rows], dtype=float)
     order = np.argsort([r["doc_id"] for r in rows], kind="stable")
-    return fit(x[order], y[order])
+    return fit(x[order], y[order], weight=class_weights(y[order], class_counts(labels, "quality", learn)))
+
+
+def class_weights(y: np.ndarray, share: dict[int, int]) -> np.ndarray:
+    """Row weights (1 on the mean) that give a sample the classes' shares of all
+    labelled rows, whatever number of rows was drawn of each."""
+    drawn = {c: max(1, np.count_nonzero(y == c)) for c in (0, 1)}
+    weight = np.where(y == 1, share.get(1, 0) / drawn[1], share.get(0, 0) / drawn[0])
+    return weight / weight.mean() if len(y) else weight
 
 
 def score(docs: DataFrame, model: Trees, held_out: Callable[[Column], Column]) -> DataFrame:

@@ -85,6 +85,21 @@ def test_boosted_trees():
     assert (one.probability(x[:3]) > 0.9).all()
 
 
+def test_sampled_classes_keep_their_share(spark):
+    r = np.random.default_rng(5)
+    y = (r.random(4000) < 0.85).astype(float)
+    x = r.normal(size=(4000, 3)) + 0.3 * y[:, None]
+    drawn = np.concatenate([np.flatnonzero(y == c)[:300] for c in (0, 1)])
+    share = {0: int((y == 0).sum()), 1: int(y.sum())}
+    model = gbt.fit(x[drawn], y[drawn], trees=20, depth=2, weight=quality.class_weights(y[drawn], share))
+    assert abs(model.probability(x).mean() - y.mean()) < 0.03
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learned = [q for d, q in known.items() if q in (0, 1) and zlib.crc32(str(d).encode()) % 3 != 1]
+    few = quality.classify(docs, labels, per_class=25).collect()
+    assert abs(np.mean([r["score"] for r in few if r["doc_id"] in known]) - np.mean(learned)) < 0.08
+
+
 PAGE = ("<html><head><title>T</title><script>var a='<p>no</p>'</script></head><body><nav><ul><li><a href=/>Home</a></li>"
         "<li><a href=/b>More</a></li></ul></nav><div class=cookie-notice><p>We use cookies.</p><button>OK</button></div>"
         "<article><h1>Head &amp; line</h1><p>First  <b>bold</b>\n text.<p>Second<br>part.</p><div class='ad'>Buy now!</div>"
