@@ -39,6 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("script style noscript template head title iframe svg math object audio video canvas select option "
                     "textarea button datalist".split())
 RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noscript"))
+UNENDING = frozenset(("script", "style"))
 CLOSES_P = BLOCKS - frozenset(("body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"))
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
             "tbody": ("tbody", "thead", "tfoot"), "thead": ("tbody", "thead", "tfoot"), "tfoot": ("tbody", "thead", "tfoot")}
@@ -47,6 +48,9 @@ SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("tabl
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+# end tags and the like, found in the page as it is written
+_END_TAG = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in DROPPED | RAW}
+_BODY = re.compile(r"<body(?=[\s/>]|\Z)", re.I | re.A)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME = re.compile(r"[a-z]+")
 
@@ -143,7 +147,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             if in_link:
                 node.linked += size
 
-    at, end, lower = 0, len(html), None
+    at, end = 0, len(html)
+    lost: set[str] = set()                       # elements without a further end tag
     search = _TOKEN.search
     while at < end:
         m = search(html, at)
@@ -171,18 +176,18 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             nodes[current].controls += tag in ("button", "select", "textarea")
             if m.group(3).endswith("/") and tag not in RAW:
                 continue
-            if lower is None:
-                lower = html.lower() if len(html.lower()) == end else html
             if tag in ("option",):
                 continue
-            stop = lower.find(f"</{tag}", at)
-            if tag == "head" and (body := lower.find("<body", at)) >= 0 and (stop < 0 or body < stop):
-                at = body
+            stop = None if tag in lost else _END_TAG[tag].search(html, at)
+            if tag == "head" and (body := _BODY.search(html, at)) and (stop is None or body.start() < stop.start()):
+                at = body.start()
                 continue
-            if stop < 0:
-                at = end if tag in RAW else at
+            if stop is None:
+                # script and style run to the page's end; of others the start tag alone is left out
+                lost.add(tag)
+                at = end if tag in UNENDING else at
             else:
-                at = lower.find(">", stop) + 1 or end
+                at = html.find(">", stop.end()) + 1 or end
             continue
         if tag in VOID:
             if tag == "br":

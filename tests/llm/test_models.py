@@ -118,6 +118,18 @@ def test_main_text(model):
         assert isinstance(model.extract(odd), str)
 
 
+def test_main_text_reads_on_behind_raw_elements(model):
+    turkish = PAGE.replace("First", "\u0130lk").replace("script", "SCRIPT").replace("title>", "TITLE>")
+    assert model.extract(turkish) == model.extract(PAGE).replace("First", "\u0130lk")
+    bare = "<html><head><title>T</title><article><h1>Head line</h1><p>First text. Second text.</p></article><header>Top</header>"
+    assert "First text. Second text." in model.extract(bare) and "Head line" in model.extract(bare)
+    for tag in ("title", "noscript", "iframe", "textarea"):
+        open_page = PAGE.replace("<article>", f"<{tag}><article>").replace(f"</{tag}>", "" if tag != "title" else "</title>")
+        assert "Second" in model.extract(open_page), tag
+    parsed = extraction.parse("<script>a</scripts>b</SCRIPT >c<STYLE>d")[1]
+    assert [t for _, t in parsed if t and t.strip()] == ["c"]
+
+
 def test_messages_give_exact_marginals():
     """Against enumeration of all assignments of a small tree."""
     parents, kinds = [-1, 0, 0, 1, 1], [0, 0, 1, 1, 0]
