@@ -30,29 +30,43 @@ from .common import in_batches
 # Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Wording of public licenses and their usual notices.
+_MIT_WARRANTY = ("the software is provided as is without warranty of any kind express or implied including but not limited to the "
+                 "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{16}} be "
+                 "liable for any claim damages or other liability whether in an action of contract tort or otherwise arising "
+                 "from out of or in connection with the software or the use or other dealings in the software")
+_BSD_CONDITIONS = ("redistribution and use in source and binary forms with or without modification are permitted provided that "
+                   "the following conditions are met [[1]] redistributions of source code must retain the above copyright "
+                   "notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must "
+                   "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+                   "documentation and or other materials provided with the distribution ")
+_BSD_WARRANTY = (" this software is provided by {{16}} as is and any express or implied warranties including but not limited to "
+                 "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+                 "shall {{16}} be liable for any direct indirect incidental special exemplary or consequential damages "
+                 "including but not limited to procurement of substitute goods or services loss of use data or profits or "
+                 "business interruption however caused and on any theory of liability whether in contract strict liability or "
+                 "tort including negligence or otherwise arising in any way out of the use of this software even if advised of "
+                 "the possibility of such damage")
+
+# Wording of public licenses (mit, isc, bsd and zlib to the end of
+# the mandatory wording) and usual notices.
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
             "documentation files the software to deal in the software without restriction including without limitation "
             "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
             "permit persons to whom the software is furnished to do so subject to the following conditions the above "
             "copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies "
-            "or substantial portions of the software"),
+            "or substantial portions of the software " + _MIT_WARRANTY),
     ("mit", "released under the mit license"),
     ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is "
-            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("bsd-2", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-              "the following conditions are met [[1]] redistributions of source code must retain the above copyright "
-              "notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must "
-              "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
-              "documentation and or other materials provided with the distribution"),
-    ("bsd-3", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-              "the following conditions are met [[1]] redistributions of source code must retain the above copyright "
-              "notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must "
-              "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
-              "documentation and or other materials provided with the distribution [[3]] neither the name of {{12}} nor "
-              "the names of its contributors may be used to endorse or promote products derived from this software "
-              "without specific prior written permission"),
+            "hereby granted provided that the above copyright notice and this permission notice appear in all copies the "
+            "software is provided as is and {{16}} disclaims all warranties with regard to this software including all implied "
+            "warranties of merchantability and fitness in no event shall {{16}} be liable for any special direct indirect or "
+            "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+            "of contract negligence or other tortious action arising out of or in connection with the use or performance of "
+            "this software"),
+    ("bsd-2", _BSD_CONDITIONS + _BSD_WARRANTY),
+    ("bsd-3", _BSD_CONDITIONS + "[[3]] neither the name of {{12}} nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission" + _BSD_WARRANTY),
     ("apache-2", "licensed under the apache license version 2 [[0]] [[the license]]"),
     ("gpl-2", "gnu general public license version 2"),
     ("gpl-2", "gnu general public license as published by the free software foundation either version 2 of the license"),
@@ -65,12 +79,19 @@ TEMPLATES = [
     ("mpl-2", "mozilla public license version 2 0"),
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be "
              "held liable for any damages arising from the use of this software permission is granted to anyone to use "
-             "this software for any purpose"),
+             "this software for any purpose including commercial applications and to alter it and redistribute it freely "
+             "subject to the following restrictions [[1]] the origin of this software must not be misrepresented you must not "
+             "claim that you wrote the original software if you use this software in a product an {{1}} in the product "
+             "documentation would be appreciated but is not required [[2]] altered source versions must be plainly marked as "
+             "such and must not be misrepresented as being the original software [[3]] this notice may not be removed or "
+             "altered from any source distribution"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("cc0", "creative commons [[cc0]] {{3}} public domain dedication"),
     ("cc-by", "creative commons attribution [[{{1}} 0]] international license"),
     ("cc-by-sa", "creative commons attribution share alike [[{{1}} 0]] international license"),
+    ("cc-by-sa", "creative commons attribution sharealike [[{{1}} 0]] international license"),
     ("cc-by-nc", "creative commons attribution non commercial [[{{1}} 0]] international license"),
+    ("cc-by-nc", "creative commons attribution noncommercial [[{{1}} 0]] international license"),
     ("cc-by-nc", "licensed under cc by nc [[{{1}} 0]]"),
 ]
 

@@ -132,6 +132,60 @@ def test_license_places_and_templates(spark):
     assert licenses.scan_documents(docs).count() == docs.count() and licenses.scan_documents(docs.limit(0)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution.
+%sTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+         "derived from this software without specific prior written permission.\n")
+ADVERTISING = ("3. All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+               "This product includes software developed by the organization.\n")
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this
+software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+
+def test_licenses_to_the_end_of_their_wording():
+    scan = licenses.LicenseScanner().scan
+    for label, text, late in (("mit", MIT, "DEALINGS"), ("bsd-2", BSD % "", "ADVISED"), ("bsd-3", BSD % NAMES, "ADVISED"),
+                              ("isc", ISC, "PERFORMANCE"), ("zlib", ZLIB, "removed")):
+        assert scan("Copyright x\n" + text + "\nmore")[5:] == (label, 1.0), label
+        labels, score = scan(text.replace(late, "altered"))[5:]
+        assert labels == "" and 0.5 < score < 1, label
+    assert scan(BSD % (ADVERTISING + NAMES.replace("3.", "4.")))[5] == ""
+    assert scan(MIT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED"))[5] == ""
+    for label, name in (("cc-by-sa", "Attribution-ShareAlike"), ("cc-by-nc", "Attribution-NonCommercial"), ("cc-by", "Attribution")):
+        assert scan(f"under a Creative Commons {name} 4.0 International License.")[5:] == (label, 1.0)
+    assert scan("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License")[5] == ""
+
+
 def test_template_markup():
     automaton = licenses.TokenAutomaton("x", "one two [[maybe so]] three {{2}} end")
     for text, ok in (("one two three end", 1), ("one two maybe so three end", 1), ("one two three a b end", 1),
