@@ -14,8 +14,9 @@ are hashed once per hash function.  Items are handled in blocks of at most
 ``BLOCK_BYTES`` of text (size measured first): a block is broadcast and the
 documents are scanned once for it; nothing is shuffled.
 
-Shingles are runs of ``SHINGLE`` lower-cased words.  Defined cases: items with
-fewer words than that, null or empty texts match nothing; an item id that
+Shingles are runs of ``SHINGLE`` lower-cased words.  Defined cases: an item of
+fewer words is one run of all its words, found where a document has exactly that
+run (containment 1); null or empty texts match nothing; an item id that
 occurs in several rows is one row of result per matching text (the largest);
 repeated document rows give repeated results; extra columns are ignored.
 """
@@ -70,18 +71,28 @@ class ItemIndex:
     keys: np.ndarray         # sorted signature keys
     owners: np.ndarray
     bits: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]     # words of a short item -> sorted runs, their item ids
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]], size: int, n_hashes: int) -> ItemIndex | None:
-        ids, sets = [], []
+        ids, sets, brief = [], [], {}
         for item, text in rows:
             raw = np.frombuffer(text.encode(), np.uint8)
-            own = np.unique(document_shingles(raw, np.array([0, len(raw)]), size)[0])
+            whole = np.array([0, len(raw)])
+            own = np.unique(document_shingles(raw, whole, size)[0])
             if len(own):
                 ids.append(item)
                 sets.append(own)
+            elif n := int(split_words(raw, whole)[2][-1]):
+                brief.setdefault(n, []).append((document_shingles(raw, whole, n)[0][0], item))
+        short = {}
+        for n, found in brief.items():
+            runs, items = np.array([r for r, _ in found], np.uint64), np.array([i for _, i in found], np.int64)
+            order = np.argsort(runs, kind="stable")
+            short[n] = runs[order], items[order]
         if not ids:
-            return None
+            none = np.zeros(0, np.uint64)
+            return cls(np.zeros(0, np.int64), none, np.zeros(1, np.int64), [], none, none, none, short) if short else None
         level = [int(len(s) - 1).bit_length() for s in sets]
         keys, owners = [], []
         for i, s in enumerate(sets):
@@ -95,10 +106,12 @@ class ItemIndex:
         bits = np.zeros(1 << width, dtype=bool)
         bits[keys >> np.uint64(64 - width)] = True
         return cls(np.array(ids, dtype=np.int64), np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]),
-                   sorted(set(level)), keys, np.array(owners)[order], bits)
+                   sorted(set(level)), keys, np.array(owners)[order], bits, short)
 
     def candidates(self, runs: np.ndarray, first: np.ndarray, n_hashes: int) -> set[tuple[int, int]]:
         """(document, item) pairs with an equal minimum in a window."""
+        if not self.levels:
+            return set()
         n = len(first) - 1
         base, top = 1 << self.levels[0], self.levels[-1]
         count = np.diff(first)
@@ -160,6 +173,17 @@ class ItemIndex:
             share = np.count_nonzero(own[place] == want) / len(want)
             if share >= threshold:
                 out.append((doc, int(self.ids[item]), share))
+        return out + self._short_matches(data, offsets)
+
+    def _short_matches(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float]]:
+        out = []
+        for n, (known, items) in self.short.items():
+            runs, first = document_shingles(data, offsets, n)
+            lo, hi = np.searchsorted(known, runs), np.searchsorted(known, runs, side="right")
+            hit = np.flatnonzero(hi > lo)
+            owner = np.searchsorted(first, hit, side="right") - 1
+            for doc, a, b in np.unique(np.column_stack([owner, lo[hit], hi[hit]]), axis=0).tolist():
+                out += [(doc, int(i), 1.0) for i in items[a:b]]
         return out
 
 

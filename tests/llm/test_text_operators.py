@@ -226,3 +226,17 @@ def test_decontamination_equals_brute_force(spark):
     assert decontamination.find(frame.limit(0), bench).count() == 0 and decontamination.find(frame, bench.limit(0)).count() == 0
     odd = odd_frame(spark)
     assert decontamination.drop_contaminated(odd, bench).columns == odd.columns
+
+
+def test_short_benchmark_items_are_found(spark):
+    items = [(1, "Forty two"), (2, "one"), (3, "four words in all"), (4, " "), (5, "forty  TWO"), (6, words(20, 3))]
+    docs = [(1, "forty two"), (2, "it is forty two now"), (3, "forty and two"), (4, "none"), (5, "xx four words in all " + words(20, 3)),
+            (6, "four words in"), (7, "one one"), (8, "ends with forty"), (9, "two begins"), (10, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = [(1, 1), (1, 5), (2, 1), (2, 5), (5, 3), (5, 6), (7, 2)]
+    got = decontamination.find(frame, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == want and all(r["containment"] == 1.0 for r in got)
+    few = decontamination.find(frame, bench.where("item_id < 4")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in few) == [w for w in want if w[1] < 4]
+    assert sorted(r["doc_id"] for r in decontamination.drop_contaminated(frame, bench).collect()) == [3, 4, 6, 8, 9, 10]
