@@ -6,12 +6,15 @@ import random
 import re
 import sys
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from helpers import DOCS, odd_documents, odd_frame, shingle_counts, words  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from rankspan.llm import bpe, decontamination, licenses, pii  # noqa: E402
 from rankspan.llm.queries import vocabulary_path  # noqa: E402
 
@@ -116,6 +119,36 @@ def test_pii_candidates_of_any_length(spark):
     assert not found[4]
 
 
+def test_pii_adds_spans_that_base_patterns_miss(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(600):
+        number = f"({r.randint(200, 999)}) {r.randint(200, 999)}-{r.randint(1000, 9999)}"
+        rows.append((i, f"{words(8, i)} call +1 {number} {words(4, i + 1)} or mail w{i}.x@host{i % 7}.example.com {words(4, i)} of "
+                        f"{r.randint(1990, 2030)} {words(2, i)} pwd: {words(1, i)}Zq{r.randint(100, 999)}xyz {words(3, i + 2)} "
+                        f"{r.randint(10**7, 10**8 - 1)} {words(2, i)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, least = pii.train(docs)
+    assert not np.isinf(least[0]) and not np.isinf(least[2])
+    text = "Phone 1 (412) 583-9607 today, api_key=Zebra-unhexed-7 and 12345678 things"
+    other = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    added = {(x["kind"], text[x["s"]:x["e"]]) for x in pii.find(other, model, least).first()["_spans"]}
+    assert added == {("phone", "1 (412) 583-9607"), ("secret", "api_key=Zebra-unhexed-7")}
+    one = docs.where("doc_id = 0").select(pii.masked(F.col("text")).alias("m"), "text").first()
+    assert len(one["m"]) == len(one["text"]) and "host0-example-com" in one["m"] and "+" not in one["m"]
+
+
+def test_pii_adds_where_all_examples_are_positive(spark):
+    rows = [(i, f"{words(5, i)} pwd: Zq{i}xyzw {words(3, i)}") for i in range(40)]
+    model, least = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert not len(model.value) and np.isfinite(least[0]) and np.isinf(least[1:]).all()
+
+
+def test_pii_threshold_of_each_generator():
+    score, truth = np.array([3.0, 2, 1, 3, 2, 2]), np.array([1.0, 1, 0, 1, 1, 0])
+    assert pii.thresholds(score, truth, np.array([0, 0, 0, 2, 2, 2])) == [2.0, float("inf"), 3.0, float("inf")]
+
+
 def test_license_places_and_templates(spark):
     mit = licenses.TEMPLATES[0][1].replace("[[", "").replace("]]", "")
     rows = [(1, "x under the MIT License, under the mit-license."), (2, "Apache License, Version 2.0; CC BY-NC 4.0"), (3, None), (4, ""),
