@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontamination, extraction, licenses, neardup, pii, quality, substring, toxicity
+from . import (
+    ann, bpe, decontamination, divergence, extraction, licenses, neardup, periodic, pii, quality, substring, toxicity, urls,
+)
 from .common import table
+from .oracle import ORACLE  # noqa: F401
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -60,6 +63,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse_runs(table(spark, sf_dir, "documents"), digests=True, rewrite=True)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+# Fixed values of the contract: host, path, verdict.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_substring_dedup": op2_substring_dedup,
@@ -71,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_license_scan": op9_license_scan,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_url_filter": op13_url_filter,
 }
-
-ORACLE: dict[str, str] = {}
