@@ -50,7 +50,8 @@ LEAST_DOCUMENTS = 3
 LEVELS = (3, 6, 12)           # bytes
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+MOST_DOCUMENTS = 1 << 16      # of a chunk
 PAIRS = 1 << 20               # pairs of sources held at once
 
 # The separators of [^\x00-\x40\x5B-\x60\x7B-\x7F]+ .
@@ -59,13 +60,15 @@ NOT_TERM[:0x80] = True
 NOT_TERM[0x41:0x5B] = False
 NOT_TERM[0x61:0x7B] = False
 
+# the n highest bytes of a 64-bit number
+_HIGH = np.array([(2**64 - 1) ^ (2**(64 - 8 * n) - 1) for n in range(9)], dtype=np.uint64)
+
 
 class Terms:
     """The terms of the documents of a chunk: distinct ones, and one row
-    (document, term, count) for each that a document holds."""
+    (document, term, count) for each that a document holds, by document."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        data = data + np.where((data >= 0x41) & (data <= 0x5A), np.uint8(0x20), np.uint8(0))
         starts, ends, first = split_words(data, offsets, NOT_TERM)
         size = ends - starts
         spans = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
@@ -80,18 +83,15 @@ class Terms:
 
     def prefixes(self, size: int) -> tuple[pa.Array, np.ndarray]:
         """(distinct prefixes of ``size`` bytes, the prefix of each distinct term)."""
-        coded = pc.binary_slice(self.terms, 0, size).dictionary_encode()
-        return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return _codes(pc.binary_slice(self.terms, 0, size))
 
 
-def _left(terms: Terms, langs: np.ndarray, lang: np.ndarray, size: int, bloom: BlockedBloom | None) -> np.ndarray:
-    """Which rows have a prefix of ``size`` bytes that is left in their language."""
-    if bloom is None or not len(terms.term):
-        return np.ones(len(terms.term), dtype=bool)
-    texts, of_term = terms.prefixes(size)
-    pair, at = np.unique(lang * len(texts) + of_term[terms.term], return_inverse=True)
-    keys = mix(hash_bytes(texts)[pair % len(texts)] ^ mix(langs)[pair // len(texts)])
-    return bloom.may_hold(keys)[at]
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (sorting beats the hash table of ``np.unique`` here)."""
+    values = np.sort(values)
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
 
 
 def _codes(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -99,34 +99,86 @@ def _codes(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _chunks(batch: pa.RecordBatch):
-    data, offsets = buffers(batch.column(2))
-    for lo, hi in chunks(offsets, CHUNK):
-        yield lo, hi, Terms(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+def short_prefixes(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
+    """Distinct (prefix of at most 6 bytes, document) of a chunk as sorted 64-bit
+    numbers: the prefix's bytes in the high 48 bits, zero-filled, then the document."""
+    starts, ends, first = split_words(data, offsets, NOT_TERM)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), dtype=">u8", buffer=padded, strides=(1,))[starts].astype(np.uint64)
+    owner = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(first))
+    return _distinct(eight & _HIGH[np.minimum(ends - starts, size)] | owner)
+
+
+def prefix_bytes(numbers: np.ndarray) -> pa.Array:
+    """The prefixes as byte strings; no term holds a zero byte."""
+    table = numbers.astype(">u8").view(np.uint8).reshape(-1, 8)
+    ends = np.concatenate([[0], np.cumsum(np.count_nonzero(table, axis=1))]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(numbers), [None, pa.py_buffer(ends), pa.py_buffer(table[table != 0])])
+
+
+def _held(texts: pa.Array, lang: np.uint64, bloom: BlockedBloom | None) -> np.ndarray:
+    """Which prefixes were left in the language."""
+    return np.ones(len(texts), dtype=bool) if bloom is None else bloom.may_hold(mix(hash_bytes(texts) ^ mix(lang)))
+
+
+def _segments(batch: pa.RecordBatch, keys: tuple[int, ...]):
+    """(key values, lower-cased bytes, offsets) of the documents of one group of
+    the batch at a time, in chunks of bounded size."""
+    names, codes = zip(*(_codes(batch.column(k)) for k in keys), strict=True)
+    order = np.lexsort(codes[::-1])
+    data, offsets = buffers(batch.column(2).take(pa.array(order)))
+    codes = [c[order] for c in codes]
+    new = np.zeros(len(order), dtype=bool)
+    for c in codes:
+        new[1:] |= c[1:] != c[:-1]
+    cuts = [0, *np.flatnonzero(new).tolist(), len(order)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if a == b:
+            continue
+        key = [n[int(c[a])] for n, c in zip(names, codes, strict=True)]
+        for lo, hi in chunks(offsets[a:b + 1], CHUNK):
+            for at in range(a + lo, a + hi, MOST_DOCUMENTS):
+                to = min(a + hi, at + MOST_DOCUMENTS)
+                part = data[offsets[at]:offsets[to]]
+                part = part + np.where((part >= 0x41) & (part <= 0x5A), np.uint8(0x20), np.uint8(0))
+                yield key, part, offsets[at:to + 1] - offsets[at]
 
 
 def prefix_level(docs: DataFrame, size: int, before: int, shared, least: int) -> DataFrame:
     """(lang, prefix, docs) of the prefixes of ``size`` bytes that at least
     ``least`` documents hold, among terms whose shorter prefix was left."""
 
-    def work(batches):
+    def short(batches):
         bloom = shared and BlockedBloom(shared.value)
         for batch in batches:
-            names, lang = _codes(batch.column(0))
-            hashes = hash_bytes(names)
-            for lo, hi, t in _chunks(batch):
-                of_row = lang[lo:hi][t.doc]
-                keep = _left(t, hashes, of_row, before, bloom)
+            for (lang,), data, offsets in _segments(batch, (0,)):
+                found, n = np.unique(short_prefixes(data, offsets, size) & _HIGH[6], return_counts=True)
+                above, at = np.unique(found & _HIGH[before], return_inverse=True)
+                keep = _held(prefix_bytes(above), hash_bytes(pa.array([lang]))[0], bloom)[at]
+                found, n = found[keep], n[keep]
+                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(n), pa.string()), pa.array(found.view(np.int64)), pa.array(n)],
+                                                 names=["lang", "prefix", "docs"])
+
+    def long(batches):
+        bloom = shared and BlockedBloom(shared.value)
+        for batch in batches:
+            for (lang,), data, offsets in _segments(batch, (0,)):
+                t = Terms(data, offsets)
+                above, of_term = t.prefixes(before)
+                keep = _held(above, hash_bytes(pa.array([lang]))[0], bloom)[of_term][t.term]
                 texts, of_term = t.prefixes(size)
                 width = max(1, len(texts))
-                held = np.unique(t.doc[keep] * width + of_term[t.term[keep]])       # once a document
-                group, n = np.unique(lang[lo:hi][held // width] * width + held % width, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(group // width)), texts.take(pa.array(group % width)).cast(pa.binary()), pa.array(n, pa.int64())],
-                    names=["lang", "prefix", "docs"])
+                once = _distinct(t.doc[keep] * width + of_term[t.term[keep]])       # once a document
+                n = np.bincount(once % width, minlength=len(texts))
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(some), pa.string()), texts.take(pa.array(some)).cast(pa.binary()),
+                                                  pa.array(n[some])], names=["lang", "prefix", "docs"])
 
-    return (in_batches(docs, work, "lang string, prefix binary, docs long").groupBy("lang", "prefix")
-            .agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least))
+    small = size <= 6
+    found = in_batches(docs, short if small else long, f"lang string, prefix {'long' if small else 'binary'}, docs long")
+    left = found.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
+    # the first byte is a letter or above, so hex() has all 16 digits
+    return left.withColumn("prefix", F.unhex(F.regexp_replace(F.hex("prefix"), "(?:00)+$", ""))) if small else left
 
 
 def _prefix_filter(level: DataFrame, most_bytes: int) -> np.ndarray:
@@ -154,20 +206,15 @@ def kept_terms(docs: DataFrame, least: int = LEAST_DOCUMENTS, levels: tuple[int,
     def work(batches):
         bloom = shared and BlockedBloom(shared.value)
         for batch in batches:
-            names, lang = _codes(batch.column(0))
-            sources, source = _codes(batch.column(1))
-            hashes = hash_bytes(names)
-            both = lang * len(sources) + source
-            for lo, hi, t in _chunks(batch):
-                keep = _left(t, hashes, lang[lo:hi][t.doc], before, bloom)
-                width = max(1, len(t.terms))
-                key, at, n = np.unique(both[lo:hi][t.doc[keep]] * width + t.term[keep], return_inverse=True, return_counts=True)
-                total = np.zeros(len(key), np.int64)
-                np.add.at(total, at, t.count[keep])
-                group = key // width
+            for (lang, source), data, offsets in _segments(batch, (0, 1)):
+                t = Terms(data, offsets)
+                above, of_term = t.prefixes(before)
+                keep = np.flatnonzero(_held(above, hash_bytes(pa.array([lang]))[0], bloom)[of_term])
+                docs_of, total = np.bincount(t.term, minlength=len(t.terms)), np.zeros(len(t.terms), np.int64)
+                np.add.at(total, t.term, t.count)
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(group // len(sources))), sources.take(pa.array(group % len(sources))),
-                     t.terms.take(pa.array(key % width)).cast(pa.large_string()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(total)],
+                    [pa.array([lang.as_py()] * len(keep), pa.string()), pa.array([source.as_py()] * len(keep), pa.string()),
+                     t.terms.take(pa.array(keep)).cast(pa.large_string()).cast(pa.string()), pa.array(docs_of[keep]), pa.array(total[keep])],
                     names=["lang", "source", "term", "docs", "n"])
 
     counts = in_batches(rows, work, "lang string, source string, term string, docs long, n long")
