@@ -39,6 +39,51 @@ MAX_VOCABULARY_BYTES = 64 << 20
 _NONE = np.int64(2**62)
 
 
+# Lower-case letters that came with Unicode 16 and 17, which the
+# library's lower-casing knows: (first capital, last, distance to the small letter).
+NEW_CAPITALS = (
+    (0x1C89, 0x1C89, 1),
+    (0xA7CB, 0xA7CB, 0x264 - 0xA7CB),
+    (0xA7CC, 0xA7CC, 1),
+    (0xA7CE, 0xA7CE, 1),
+    (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1),
+    (0xA7DA, 0xA7DA, 1),
+    (0xA7DC, 0xA7DC, 0x19B - 0xA7DC),
+    (0x10D50, 0x10D65, 0x20),
+    (0x16EA0, 0x16EB8, 0x1B),
+)
+
+# Letters and numbers (first, last) that Unicode 16, the version of
+# the library's classes, has beyond those of ``unicodedata``.
+NEW_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NEW_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+)
+LOWER = {c: c + by for a, b, by in NEW_CAPITALS for c in range(a, b + 1)}
+CHARACTERS = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+def library_pattern(pattern: str) -> regex.Pattern:
+    """The file's pattern with the letters and numbers of the library's engine:
+    what ``regex``, built for a later Unicode, adds to them is taken out of its
+    classes."""
+    known = {c for a, b in (*NEW_LETTERS, *NEW_NUMBERS) for c in range(a, b + 1)}
+    late = [c for c in regex.findall(r"[\p{L}\p{N}]", CHARACTERS) if unicodedata.category(c) == "Cn" and ord(c) not in known]
+    if not late:
+        return regex.compile(pattern)
+    without = "".join(f"\\U{ord(c):08x}" for c in late)
+    for kind in ("L", "N"):
+        pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{without}]]")
+    return regex.compile(pattern, regex.V1)
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level files."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -134,7 +179,7 @@ class BpeCodec:
         self.special_re = (regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)))
                            if self.special else None)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"])
+        self.pieces = library_pattern(split["pattern"]["Regex"])
         self.space = regex.compile(r"\s+")
         self.separators = regex.compile("[\x1c-\x1f]")   # white space to str.split() only
         size = 1 + max([*self.vocab.values(), *self.special.values()])
@@ -159,7 +204,7 @@ class BpeCodec:
     # ------------------------------------------------------------ encoding
     def normalise(self, text: str) -> str:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")   # no final sigma
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(LOWER)   # no final sigma
         return text.lower()
 
     def words(self, text: str) -> list[str]:
