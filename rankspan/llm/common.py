@@ -46,6 +46,15 @@ def widened(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so
+    (column names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_groups(df: DataFrame, key: str, work, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     return df.groupBy(key).applyInArrow(work, schema)

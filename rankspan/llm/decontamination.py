@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches
+from .common import fresh_name, in_batches
 from .textbuf import SpanHasher, buffers, chunks, mix, mix_int, shingles, split_words
 
 SHINGLE = 5
@@ -237,7 +237,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
                       threshold: float = THRESHOLD, size: int = SHINGLE, n_hashes: int = HASHES,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the documents that hold an item; all columns kept."""
-    spark, lower = docs.sparkSession, "_lower_text"
+    spark, lower = docs.sparkSession, fresh_name(docs, "_lower_text")
     out = docs
     for index in item_blocks(items, id_col, text_col, size, n_hashes, block_bytes):
         shared = spark.sparkContext.broadcast(index)

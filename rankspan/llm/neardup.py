@@ -253,9 +253,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each class (the one of smallest id); rows
-    without id and class stay."""
-    kept = near_duplicates(docs, **options).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    with_id = docs.where(F.col("doc_id").isNotNull())
-    one = with_id.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row of each class of texts: that of smallest id (none
+    comes last; then by the text's hash).  Rows are told apart by id and text, so
+    texts that share an id are judged by themselves; rows of equal id and text are
+    one document.  All rows without words stay."""
+    one, two = F.xxhash64("text"), F.xxhash64(F.lit("second"), F.col("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), "text",
+                       one.alias("h1"), two.alias("h2"), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
+    texts = rows.where("words")
+    classes = near_duplicates(texts.select(F.col("h1").alias("doc_id"), "text"), **options).select(
+        F.col("doc_id").alias("h1"), "class_id").distinct()
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
+    kept = texts.select("id", "h1", "h2").join(classes, "h1").groupBy("class_id").agg(F.min(first).alias("k")).select("k.*")
+    # different texts of one 64-bit hash cannot be told apart by it: all of them stay
+    equal = texts.select("h1", "h2").distinct().groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
+    kept = staged(kept.select("id", "h1", "h2").union(texts.join(equal, "h1", "left_semi").select("id", "h1", "h2")).distinct(), "kept")
+    k = kept.select(F.col("id").alias("kid"), F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+    left = texts.join(k, F.col("id").eqNullSafe(F.col("kid")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left_semi")
+    left = left.dropDuplicates(["id", "h1", "h2"]).select("row.*")
+    return left.unionByName(rows.where("NOT words").select("row.*"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import text_chunks
-from .common import crc_of_id, in_batches, widened
+from .common import crc_of_id, fresh_name, in_batches, widened
 from .labelled import class_counts, labelled_sample
 
 SAMPLE_PER_CLASS = 3000
@@ -271,4 +271,5 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLA
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents scored toxic (0.5 or more)."""
     model = train(docs, labels, crc_of_id("doc_id") % 5 != 0)
-    return with_score(docs, model, score_col="_toxic_score").where(F.col("_toxic_score") < 0.5).drop("_toxic_score")
+    score = fresh_name(docs, "_toxic_score")
+    return with_score(docs, model, score_col=score).where(F.col(score) < 0.5).drop(score)
