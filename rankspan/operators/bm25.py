@@ -19,11 +19,13 @@ top-k (WindowGroupLimit) leaves about k rows per query and task to shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bm25_document_text, bm25_tokens, with_term_counts
-from .common import attach_fields, exact_mean, lookup, rank_padded, score_key, spread, stage, stage_by_document
+from .common import attach_fields, exact_mean, lookup, need_index, rank_padded, score_key, spread, stage, stage_by_document
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -33,10 +35,12 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 class Bm25Index:
-    def __init__(self, corpus: DataFrame, docs: DataFrame, terms: DataFrame, stats: dict, k1: float = 1.5,
-                 b: float = 0.75, epsilon: float = 0.25):
+    def __init__(self, corpus: DataFrame | None = None, docs: DataFrame | None = None, terms: DataFrame | None = None,
+                 stats: dict | None = None, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25):
         self.corpus, self.docs = corpus, docs
         self.k1, self.b, self.epsilon = float(k1), float(b), float(epsilon)
+        if docs is None:            # not built yet: search and explain raise
+            return
         self._terms, self._stats = terms, stats
         self.n_docs, self.avgdl, self.average_idf = (F.lit(stats[c]) for c in ("n_docs", "avgdl", "average_idf"))
         self.terms = terms.withColumn("idf", F.when(F.col("raw_idf") < 0, F.lit(self.epsilon) * self.average_idf)
@@ -81,8 +85,8 @@ class Bm25Index:
                          self.b if b is None else b, self.epsilon)
 
     # ---------------------------------------------------------------- scoring
-    def _term_score(self, idf: Column, tf: Column, doc_len: Column) -> Column:
-        k1, b = F.lit(self.k1), F.lit(self.b)
+    def _term_score(self, idf: Column, tf: Column, doc_len: Column, k1: float | None = None, b: float | None = None) -> Column:
+        k1, b = F.lit(self.k1 if k1 is None else float(k1)), F.lit(self.b if b is None else float(b))
         norm = tf + k1 * (F.lit(1.0) - b + b * doc_len / self.avgdl)
         return idf * ((tf * (k1 + F.lit(1.0))) / norm)
 
@@ -91,10 +95,14 @@ class Bm25Index:
         case with negative scores."""
         return self._stats["average_idf"] < 0
 
+    def _weights(self, queries: DataFrame) -> DataFrame:
+        need_index(self.docs, "search")
+        return stage(self.terms.select("term", "idf").join(query_terms(queries), "term"), "bm25-query")
+
     def score(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_id, pos, bm25_score) for every document sharing a
         term with the query (including score 0 when only idf-0 terms match)."""
-        weights = stage(self.terms.select("term", "idf").join(query_terms(queries), "term"), "bm25-query")
+        weights = self._weights(queries)
         contribution = F.col("qtf") * self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"))
         return (self.postings.join(weights, "term").groupBy("query_id", "doc_id", "pos")
                 .agg(F.sum(contribution).alias("bm25_score")))
@@ -110,21 +118,44 @@ class Bm25Index:
         minus the documents that already have a non-zero score."""
         if k < 0:
             raise ValueError("top_k must be >= 0")
-        scored = self.score(queries)
+        ranked = self._ranked(queries, self.score(queries), k)
+        return attach_fields(ranked, self.corpus) if fields else ranked
+
+    def _ranked(self, queries: DataFrame, scored: DataFrame, k: int) -> DataFrame:
         depth = k
         if self.negative_floor():
             scored = stage(scored, "bm25-scores")
             neg = (scored.where(score_key("bm25_score") < 0).groupBy("query_id").count()
                    .agg(F.max("count")).first()[0])
             depth += int(neg or 0)
-        ranked = rank_padded(queries, scored, self.doc_lengths, k, "bm25_score",
-                             depth=depth, keep_all_nonzero=self.negative_floor())
-        return attach_fields(ranked, self.corpus) if fields else ranked
+        return rank_padded(queries, scored, self.doc_lengths, k, "bm25_score",
+                           depth=depth, keep_all_nonzero=self.negative_floor())
+
+    def sweep(self, queries: DataFrame, params: Sequence[tuple[float, float]], k: int = 5) -> DataFrame:
+        """Top-k per query for every (k1, b) of ``params``: (k1, b, query_id, rank,
+        doc_id, pos, bm25_score), as ``with_params(k1, b).search`` gives them.  The
+        index is read once: a (query, document) row sums the contributions under
+        all parameters side by side, and each pair keeps k rows per query and task."""
+        if k < 0:
+            raise ValueError("top_k must be >= 0")
+        need_index(self.docs, "search")
+        sums = [F.sum(F.col("qtf") * self._term_score(F.col("idf"), F.col("tf"), F.col("doc_len"), k1, b)).alias(f"_s{i}")
+                for i, (k1, b) in enumerate(params)]
+        wide = self.postings.join(self._weights(queries), "term").groupBy("query_id", "doc_id", "pos").agg(*sums)
+        # the pair's number becomes part of the query's key
+        scored = wide.select("query_id", "doc_id", "pos", F.posexplode(F.array(*[F.col(f"_s{i}") for i in range(len(params))]))
+                             .alias("i", "bm25_score")).withColumn("query_id", F.struct("i", F.col("query_id").alias("q")))
+        numbers = F.explode(F.array(*[F.lit(i) for i in range(len(params))])).alias("i")
+        asked = queries.select(numbers, F.col("query_id").alias("q")).select(F.struct("i", "q").alias("query_id"))
+        pair = F.get(F.array(*[F.struct(F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b")) for k1, b in params]), F.col("query_id.i"))
+        return self._ranked(asked, scored, k).select(pair["k1"].alias("k1"), pair["b"].alias("b"), F.col("query_id.q").alias("query_id"),
+                                                     "rank", "doc_id", "pos", "bm25_score")
 
     # ---------------------------------------------------------------- explain
     def _pair_terms(self, pairs: DataFrame) -> DataFrame:
         """(query_id, doc_id, term) per distinct query token of each pair
         (term NULL for a query without tokens), staged once."""
+        need_index(self.docs, "explain")
         return stage(pairs.select("query_id", "doc_id", F.explode_outer(F.array_distinct(bm25_tokens("query")))
                                   .alias("term")), "explain-terms")
 

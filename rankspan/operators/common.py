@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+def need_index(built: object, call: str) -> None:
+    """The reference's guard: nothing is searched or explained before it is indexed."""
+    if built is None:
+        raise RuntimeError(f"build the index before .{call}()")
+
+
 def score_key(score: Column | str, digits: int = 9) -> Column:
     """Ranking key: the score rounded so summation-order noise cannot break
     exact ties; ``+ 0.0`` folds -0.0 into 0.0."""
@@ -35,14 +41,25 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_by_document(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def document_buckets(df: DataFrame) -> int:
+    """A bucket for each partition of ``df`` (at least one per core), so that a
+    bucket does not grow with the table; the session's limit on buckets holds."""
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return max(spark.sparkContext.defaultParallelism, min(df.rdd.getNumPartitions(), most))
+
+
+def stage_by_document(df: DataFrame, name: str, path: str | None = None, buckets: int | None = None) -> DataFrame:
     """``stage`` as a table bucketed by ``doc_id``: aggregates and joins keyed on
-    the document (alone or with more columns) then need no exchange."""
+    the document (alone or with more columns) then need no exchange.  Given
+    ``buckets``, ``df`` is hash-partitioned into so many by ``doc_id`` already."""
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    buckets = max(spark.sparkContext.defaultParallelism, min(df.rdd.getNumPartitions(), 4096))
+    if buckets is None:
+        buckets = document_buckets(df)
+        df = df.repartition(buckets, "doc_id")
     table = f"rankspan_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
-    (df.repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id").option("path", path).format("parquet")
+    (df.write.bucketBy(buckets, "doc_id").option("path", path).format("parquet")
      .mode("overwrite").saveAsTable(table))
     return spark.table(table)
 

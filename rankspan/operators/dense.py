@@ -1,15 +1,17 @@
 """Exact dense k-nearest-neighbour search by cosine similarity.
 
-Every (query, document) score is computed -- the reference ranks the whole
-corpus -- but never materialised.  Both sides are hashed into blocks sized from
-row count x vector width, and every pair of a query block and a document block
-is one co-group: numpy multiplies the two blocks (Arrow buffers in, no per-row
-Python) and keeps exactly k rows per query.  Memory per task is bounded by the
-block size however many queries or documents there are, and a final
-``row_number`` window (WindowGroupLimit) merges the partial lists.
+Every document is considered -- the reference ranks the whole corpus -- but the
+corpus does not move.  The queries are cut into blocks of a checked size; a block
+is broadcast, and the corpus streams past it in ``mapInArrow``: a task multiplies
+``STREAM_ROWS`` documents at a time with numpy and keeps the k best of each query.
+A piece is skipped for the queries that it cannot improve: with centre c and
+radius r of its unit vectors no document scores more than q.c + r, which is
+compared with the k-th best score so far.  Only k rows per query and task are
+shuffled, and a final ``row_number`` window merges them.  Memory per task is
+bounded by the block however many queries or documents there are.
 
 Ties resolve as in the vector retriever: score desc (rounded to 9 digits), then
-pos desc -- inside the block already, so zero vectors or crowds of equal
+pos desc -- inside the task already, so zero vectors or crowds of equal
 documents cost no more rows than any other query.
 """
 
@@ -17,14 +19,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import attach_fields, score_key, top_k
+from .common import attach_fields, score_key, spread, stage, top_k
 
-BLOCK_BYTES = 32 << 20      # vectors of one block
+BLOCK_BYTES = 32 << 20      # vectors of one block of queries
+STREAM_ROWS = 1024          # documents multiplied at once
 BLOCK_CELLS = 4_000_000     # scores held at once inside a task
 
 
@@ -77,41 +79,100 @@ def _blocks(df: DataFrame) -> int:
     return max(1, -(-8 * size // BLOCK_BYTES))
 
 
+class _Best:
+    """The k best documents of each query among those seen so far."""
+
+    def __init__(self, queries: np.ndarray, k: int, kind: pa.DataType):
+        self.queries, self.k = queries, k
+        self.least = np.full(len(queries), -np.inf)      # rounded k-th best score
+        self.q, self.score, self.pos = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        self.ids = pa.array([], kind)
+
+    def add(self, docs: np.ndarray, pos: np.ndarray, ids: pa.Array) -> int:
+        """Consider documents (unit rows, later pos first); the number of products formed."""
+        centre = docs.mean(axis=0)
+        radius = np.sqrt(((docs - centre) ** 2).sum(axis=1).max())
+        live = np.flatnonzero(self.queries @ centre + radius + 1e-8 >= self.least)
+        step = max(1, BLOCK_CELLS // len(docs))
+        for lo in range(0, len(live), step):
+            part = live[lo:lo + step]
+            scores = self.queries[part] @ docs.T
+            q, d = np.nonzero(np.round(scores, 9) >= self.least[part, None])
+            value = scores[q, d]
+            if len(q) > 4 * self.k * len(part):          # first pieces, crowds of equal documents
+                q, d, value = block_top_k(self.queries[part], docs, self.k)
+            self._merge(part[q], value, pos[d], ids.take(pa.array(d)))
+        return len(live) * len(docs)
+
+    def _merge(self, q: np.ndarray, score: np.ndarray, pos: np.ndarray, ids: pa.Array) -> None:
+        if not len(q):
+            return
+        q, score, pos = np.concatenate([self.q, q]), np.concatenate([self.score, score]), np.concatenate([self.pos, pos])
+        ids = pa.concat_arrays([self.ids, ids])
+        order = np.lexsort((-pos, -np.round(score, 9), q))
+        first = np.searchsorted(q[order], np.arange(len(self.queries)))
+        rank = np.arange(len(q)) - first[q[order]]
+        order = order[rank < self.k]
+        self.q, self.score, self.pos, self.ids = q[order], score[order], pos[order], ids.take(pa.array(order))
+        full = rank[rank < self.k] == self.k - 1
+        self.least[self.q[full]] = np.round(self.score[full], 9)
+
+
+def _block_knn(block: pa.Table, corpus: DataFrame, k: int, schema: str) -> tuple[DataFrame, object]:
+    """(query_id, doc_id, pos, vector_score): k rows per query and task."""
+    spark = corpus.sparkSession
+    shared = spark.sparkContext.broadcast((block.column("query_id").combine_chunks(), _unit_rows(vectors(block.column("embedding")))))
+
+    def run(batches):
+        names, queries = shared.value
+        best = None
+        for batch in batches:
+            best = best or _Best(queries, k, batch.column(0).type)
+            for lo in range(0, batch.num_rows, STREAM_ROWS):
+                piece = batch.slice(lo, STREAM_ROWS)
+                pos = piece.column(1).to_numpy(zero_copy_only=False)
+                order = np.argsort(-pos, kind="stable")
+                best.add(_unit_rows(vectors(piece.column(2)))[order], pos[order], piece.column(0).take(pa.array(order)))
+        if best is not None and len(best.q):
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(best.q)), best.ids, pa.array(best.pos), pa.array(best.score)],
+                                             names=["query_id", "doc_id", "pos", "vector_score"])
+
+    return corpus.mapInArrow(run, schema), shared
+
+
 def dense_knn(queries: DataFrame, corpus: DataFrame, k: int = 5, q_blocks: int | None = None,
               c_blocks: int | None = None, fields: DataFrame | None = None) -> DataFrame:
     """Top-k documents per query by cosine similarity of L2-normalised vectors.
 
     queries: (query_id, embedding array<double>); corpus: (doc_id, pos,
     embedding).  Returns (query_id, rank, doc_id, pos, vector_score) and, given a
-    corpus table ``fields``, its columns for each document."""
+    corpus table ``fields``, its columns for each document.  The corpus is read
+    once per block of queries, where it lies; ``c_blocks`` deals it over that many
+    partitions first."""
     if k < 0:
         raise ValueError("top_k must be >= 0")
     if k == 0:
         schema = _types(queries, corpus).replace("pos", "rank int, pos", 1)
         return corpus.sparkSession.createDataFrame([], schema)
     ship_package(queries.sparkSession)
-    # enough document blocks to keep all cores busy; more where the data is large
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    q_blocks, c_blocks = q_blocks or _blocks(queries), c_blocks or max(cores, _blocks(corpus))
-    # fresh column names: both sides may come from the same table
-    qb = (queries.select("query_id", F.col("embedding").alias("q_vec"))
-          .withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
-          .withColumn("cblock", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)).cast("array<long>"))))
-    cb = (corpus.select("doc_id", "pos", F.col("embedding").alias("d_vec"))
-          .withColumn("cblock", F.pmod(F.xxhash64("doc_id"), F.lit(c_blocks)))
-          .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>"))))
-    names = ["query_id", "doc_id", "pos", "vector_score"]
-
-    def run(q: pa.Table, c: pa.Table) -> pa.Table:
-        if not q.num_rows or not c.num_rows:
-            empty = [q.schema.field("query_id").type, c.schema.field("doc_id").type, c.schema.field("pos").type, pa.float64()]
-            return pa.table([pa.array([], t) for t in empty], names=names)
-        c = c.take(pc.sort_indices(c, sort_keys=[("pos", "descending")]))
-        qr, dr, score = block_top_k(_unit_rows(vectors(q.column("q_vec"))), _unit_rows(vectors(c.column("d_vec"))), k)
-        return pa.table([q.column("query_id").take(pa.array(qr)), c.column("doc_id").take(pa.array(dr)),
-                         c.column("pos").take(pa.array(dr)), pa.array(score)], names=names)
-
-    partial = qb.groupBy("cblock", "qblock").cogroup(cb.groupBy("cblock", "qblock")).applyInArrow(run, _types(queries, corpus))
+    q_blocks = q_blocks or _blocks(queries)
+    asked = queries.select("query_id", "embedding")
+    docs = corpus.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("embedding").cast("array<double>").alias("embedding"))
+    docs = docs.repartition(c_blocks) if c_blocks else spread(docs)
+    schema = _types(queries, docs)
+    partial = None
+    for i in range(q_blocks):
+        block = asked if q_blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)) == i)
+        block = block.toArrow()                              # at most about BLOCK_BYTES
+        if not block.num_rows:
+            continue
+        part, shared = _block_knn(block, docs, k, schema)
+        if q_blocks > 1:                                     # the driver holds one block at a time
+            part = stage(part, "knn-part")
+            shared.destroy()
+        partial = part if partial is None else partial.unionByName(part)
+    if partial is None:
+        partial = corpus.sparkSession.createDataFrame([], schema)
     ranked = top_k(partial.withColumn("_sk", score_key("vector_score")), ["query_id"],
                    [F.col("_sk").desc(), F.col("pos").desc()], k)
     ranked = ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "pos", "vector_score")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vector import l2_normalize
 from ..session import ship_package
-from .common import stage
+from .common import need_index, stage
 from .dense import dense_knn, vectors
 from .tfidf import TfidfModel
 
@@ -261,9 +261,11 @@ class _Products:
 
 
 class LsaModel:
-    def __init__(self, tfidf: TfidfModel, doc_embeddings: DataFrame, components: DataFrame, single: DataFrame,
-                 single_rows: DataFrame, singular_values, n_components: int):
+    def __init__(self, tfidf: TfidfModel | None = None, doc_embeddings: DataFrame | None = None, components: DataFrame | None = None,
+                 single: DataFrame | None = None, single_rows: DataFrame | None = None, singular_values=(), n_components: int = 0):
         self.tfidf = tfidf
+        if tfidf is None:                         # not fitted yet: encode and search raise
+            return
         self.corpus = tfidf.corpus
         self.doc_embeddings = doc_embeddings      # (doc_id, embedding) un-normalised, only docs with terms
         self.components = components              # (term, vec) of the terms of several documents
@@ -313,6 +315,7 @@ class LsaModel:
     def encode(self, queries: DataFrame, normalize: bool = True) -> DataFrame:
         """(query_id, embedding): TF-IDF transform, projection on the
         components, L2 normalisation (queries with no known term get zeros)."""
+        need_index(self.tfidf, "search")
         qw = stage(self.tfidf.transform(queries), "lsa-query")
         shared = self.components.join(qw, "term").select("query_id", "weight", "vec")
         one = (self.single.select("term", "doc_id", F.col("weight").alias("w")).join(qw, "term")

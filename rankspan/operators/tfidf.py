@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.text import vector_document_text, vector_words, with_term_counts, word_ngrams
-from .common import attach_fields, rank_padded, score_key, spread, stage, stage_by_document, top_k
+from .common import attach_fields, document_buckets, need_index, rank_padded, score_key, spread, stage, stage_by_document, top_k
 
 
 def _limit(value: float | int, n_docs: int) -> float:
@@ -32,14 +32,16 @@ def _limit(value: float | int, n_docs: int) -> float:
 
 
 class TfidfModel:
-    def __init__(self, corpus: DataFrame, counted: DataFrame, vocabulary: DataFrame, docs: DataFrame, n_docs: int,
-                 ngram_range=(1, 2), stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS, sublinear_tf: bool = True):
+    def __init__(self, corpus: DataFrame | None = None, counted: DataFrame | None = None, vocabulary: DataFrame | None = None,
+                 docs: DataFrame | None = None, n_docs: int = 0, ngram_range=(1, 2), stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS, sublinear_tf: bool = True):
         self.corpus, self.docs = corpus, docs
         self.ngram_range = tuple(ngram_range)
         self.stop_words = tuple(stop_words or ())
         self.sublinear_tf = sublinear_tf
         self.n_docs = n_docs
         self.vocabulary = vocabulary                        # (term, df, idf)
+        if docs is None:                                    # not fitted yet: transform and search raise
+            return
         self.all_docs = counted.select("doc_id", "pos")     # also those without n-grams
         self.term_counts = counted.select("doc_id", "pos", F.explode("terms").alias("t")).select(
             "doc_id", "pos", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
@@ -80,18 +82,20 @@ class TfidfModel:
             "doc_id", "pos", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
         weighed = counts.join(vocabulary, "term").select(
             "doc_id", "pos", F.struct("term", "df", (_tf(sublinear_tf) * F.col("idf")).alias("weight")).alias("w"))
-        # one row per document, bounded by its length
-        docs = weighed.groupBy("doc_id", "pos").agg(
+        # one row per document, bounded by its length; the exchange is that of the buckets
+        buckets = document_buckets(counted)
+        docs = weighed.repartition(buckets, "doc_id").groupBy("doc_id", "pos").agg(
             F.collect_list("w").alias("ws"), F.sqrt(F.sum(F.col("w.weight") * F.col("w.weight"))).alias("norm")).select(
             "doc_id", "pos", F.transform("ws", lambda w: F.struct(
                 w["term"].alias("term"), w["df"].alias("df"), (w["weight"] / F.col("norm")).alias("weight"))).alias("weights"))
-        return cls(corpus, counted, vocabulary, stage_by_document(docs, "tfidf-docs", base and f"{base}/docs"), n,
+        return cls(corpus, counted, vocabulary, stage_by_document(docs, "tfidf-docs", base and f"{base}/docs", buckets), n,
                    ngram_range, stop_words, sublinear_tf)
 
     # ------------------------------------------------------------------ weights
     def transform(self, queries: DataFrame) -> DataFrame:
         """(query_id, term, weight) for the query text with the fitted
         vocabulary and idf; out-of-vocabulary n-grams are dropped."""
+        need_index(self.docs, "search")
         words = vector_words("query", self.stop_words)
         counts = (queries.select("query_id", words.alias("words"))
                   .select("query_id", F.explode(word_ngrams(F.col("words"), self.ngram_range)).alias("term"))

@@ -90,6 +90,13 @@ ORACLE["bm25_search"] = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked()) + f"""
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(bm25_score, 6) AS bm25_score
 FROM branked WHERE rank <= {TOP_K}"""
 
+# an index that was stored, opened, appended to gives what a new one gives
+ORACLE["bm25_reopened"] = ORACLE["bm25_appended"] = ORACLE["bm25_search"]
+ORACLE["bm25_deleted"] = _with(QS, "left_docs AS (SELECT * FROM documents WHERE source IS NULL OR source != 'src0')",
+                               BM25_INDEX.replace("FROM documents", "FROM left_docs"), BM25_QUERY, bm25_ranked()) + f"""
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(bm25_score, 6) AS bm25_score
+FROM branked WHERE rank <= {TOP_K}"""
+
 # two queries per item that few documents or none match
 SPARSE_QS = f"""qs AS (SELECT item_id * 2 AS query_id, list_max({bm25_tok('text')}) AS query FROM benchmark
        UNION ALL SELECT item_id * 2 + 1, regexp_replace(text, '[ \n]+', '', 'g') FROM benchmark)"""

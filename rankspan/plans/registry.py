@@ -22,9 +22,11 @@ from ..operators.evaluation import compare, evaluate, per_query
 from ..operators.fusion import linear_fusion, minmax_bounds, reciprocal_rank_fusion
 from ..operators.hybrid import HybridIndex
 from ..operators.lsa import LsaModel, r_factor
+from ..operators.segments import SegmentIndex
 from ..operators.tfidf import TfidfModel
 from ..sources.sinks import comparison_table, explain_bars, index_stats, result_lines
 from ..functions.vector import l2_norm, l2_normalize
+from ..session import scratch_path
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,14 +129,38 @@ def bm25_search_fields(spark, sf_dir):
 
 @register("bm25_k1_b")
 def bm25_k1_b(spark, sf_dir):
-    base = _bm25(spark, sf_dir)
-    qs = td.queries(spark, sf_dir)
-    out = None
-    for k1, b in SWEEP:
-        part = _ranked(base.with_params(k1=k1, b=b).search(qs, k=TOP_K), "bm25_score").select(
-            F.lit(k1).alias("k1"), F.lit(b).alias("b"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    found = _bm25(spark, sf_dir).sweep(td.queries(spark, sf_dir), SWEEP, k=TOP_K)
+    return found.select("k1", "b", "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6("bm25_score").alias("bm25_score"))
+
+
+# --------------------------------------------------------------------------- an index that lives on
+def _segments(spark, corpus) -> SegmentIndex:
+    return SegmentIndex.create(corpus, scratch_path(spark, "segments"))
+
+
+@register("bm25_reopened")
+def bm25_reopened(spark, sf_dir):
+    """Block-max pruned search of an index opened from its folder."""
+    path = _segments(spark, td.corpus(spark, sf_dir)).path
+    return _ranked(SegmentIndex.open(spark, path).search(td.queries(spark, sf_dir), k=TOP_K), "bm25_score")
+
+
+@register("bm25_appended")
+def bm25_appended(spark, sf_dir):
+    """English documents first, all others appended to the opened index."""
+    corpus = td.corpus(spark, sf_dir)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    path = _segments(spark, corpus.where(english)).path
+    idx = SegmentIndex.open(spark, path).append(corpus.where(~english))
+    return _ranked(idx.search(td.queries(spark, sf_dir), k=TOP_K), "bm25_score")
+
+
+@register("bm25_deleted")
+def bm25_deleted(spark, sf_dir):
+    """The largest source taken out again."""
+    corpus = td.corpus(spark, sf_dir)
+    idx = _segments(spark, corpus).delete(corpus.where("source = 'src0'").select("doc_id"))
+    return _ranked(SegmentIndex.open(spark, idx.path).search(td.queries(spark, sf_dir), k=TOP_K), "bm25_score")
 
 
 def _explain_pairs(spark, sf_dir, idx: Bm25Index) -> DataFrame:

@@ -142,7 +142,21 @@ def test_build_errors(spark):
         Bm25Index.build(spark.createDataFrame([("a", 1, None, "x y"), ("b", 2, None, None)], schema))
 
 
-def test_search_needs_an_index():
-    """There is no unbuilt index to search: the constructor asks for its tables."""
-    with pytest.raises(TypeError):
-        Bm25Index().search(None)
+def test_search_needs_an_index(spark):
+    q = spark.createDataFrame([("q", "red")], "query_id string, query string")
+    for call in (lambda: Bm25Index().search(q), lambda: Bm25Index().explain(q.withColumn("doc_id", F.lit("a"))),
+                 lambda: Bm25Index().sweep(q, [(1.0, 0.5)])):
+        with pytest.raises(RuntimeError, match="build the index before"):
+            call()
+
+
+def test_sweep_equals_single_searches(idx, fx, spark):
+    params = [(1.5, 0.75), (1.2, 0.0), (2.0, 1.0)]
+    found = idx.sweep(fx[1], params, k=4)
+    got = sorted((r["k1"], r["b"], r["query_id"], r["rank"], r["doc_id"], round(r["bm25_score"], 9)) for r in found.collect())
+    want = sorted((k1, b, r["query_id"], r["rank"], r["doc_id"], round(r["bm25_score"], 9))
+                  for k1, b in params for r in idx.with_params(k1, b).search(fx[1], k=4).collect())
+    assert got == want
+    # one read of the index whatever the number of pairs (the other scans are weights and lengths)
+    scans = [p.count("FileScan") for p in (idx.sweep(fx[1], x, k=4)._jdf.queryExecution().executedPlan().toString() for x in (params, params[:1]))]
+    assert scans[0] == scans[1]

@@ -158,3 +158,12 @@ def test_dispatch(fx, lsa_hybrid):
         h.search(fx[1], top_k=2)
     with pytest.raises(ValueError, match="Unknown encoder"):
         HybridIndex.build(fx[0], encoder="nope")
+
+
+def test_alpha_is_taken_as_is(spark):
+    """Weights outside [0, 1] are not clipped."""
+    b = spark.createDataFrame([(1, 1, 10, 4.0), (1, 2, 11, 2.0)], "query_id long, rank int, doc_id long, bm25_score double")
+    v = spark.createDataFrame([(1, 1, 11, 0.9), (1, 2, 10, 0.1)], "query_id long, rank int, doc_id long, vector_score double")
+    for alpha in (1.5, -0.5):
+        got = {r["doc_id"]: r["linear_score"] for r in linear_fusion(b, v, alpha=alpha).collect()}
+        assert got == {10: 1.0 - alpha, 11: alpha}

@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rankspan.operators.dense import block_top_k, dense_knn
+from rankspan.operators.dense import _Best, block_top_k, dense_knn
 from rankspan.operators.lsa import LsaModel, gaussian_vector
 from rankspan.operators.tfidf import TfidfModel
 from rankspan.sources import testdata as td
@@ -84,6 +85,30 @@ def test_dense_knn_zero_and_equal_vectors(spark):
     assert [d for d, _ in got[2]] == [59, 58, 56]
 
 
+def test_dense_knn_moves_no_corpus(spark):
+    ddf = spark.range(5000).select(F.col("id").alias("doc_id"), F.col("id").alias("pos"), F.array(F.rand(1), F.rand(2)).alias("embedding"))
+    qdf = ddf.limit(20).select(F.col("doc_id").alias("query_id"), "embedding")
+    plan = dense_knn(qdf, ddf, k=3)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Exchange" not in below and "WindowGroupLimit" in plan
+
+
+def test_stream_skips_pieces_that_cannot_improve():
+    """Clustered documents: pieces far from a query are not multiplied, and the result is exact."""
+    rng = np.random.default_rng(3)
+    centres = np.repeat(np.eye(32), 300, axis=0)
+    docs = centres + rng.normal(size=centres.shape) * 0.01
+    docs /= np.linalg.norm(docs, axis=1, keepdims=True)
+    qs = docs[rng.integers(0, len(docs), 40)]
+    best, formed = _Best(qs, 5, pa.int64()), 0
+    for lo in range(0, len(docs), 300):
+        pos = np.arange(lo, lo + 300)[::-1]
+        formed += best.add(docs[pos], pos, pa.array(pos))
+    want = np.sort(np.argsort(-(qs @ docs.T), axis=1)[:, :5], axis=1)
+    assert (np.sort(best.pos.reshape(40, 5), axis=1) == want).all()
+    assert formed < 0.7 * len(qs) * len(docs)
+
+
 def test_block_keeps_exactly_k_rows():
     q, d, s = block_top_k(np.zeros((2, 4)), np.ones((500, 4)), 5)
     assert len(q) == 10 and sorted(set(d.tolist())) == [0, 1, 2, 3, 4]
@@ -97,8 +122,10 @@ def test_tfidf_errors(spark):
         TfidfModel.fit(spark.createDataFrame([("a", 1, None, "the of"), ("b", 2, None, "and the")], schema), max_df=1.0)
     with pytest.raises(ValueError, match="no documents"):
         TfidfModel.fit(spark.createDataFrame([], schema))
-    with pytest.raises(TypeError):
-        LsaModel().search(None)
+    q = spark.createDataFrame([("q", "red")], "query_id string, query string")
+    for model in (LsaModel(), TfidfModel()):
+        with pytest.raises(RuntimeError, match="build the index before"):
+            model.search(q)
 
 
 def test_lsa_against_numpy(spark):
