@@ -337,10 +337,10 @@ class LsaModel:
 
     # ---------------------------------------------------------------- stats
     def variance_frame(self) -> DataFrame:
-        """One row (n_components, variance_explained): sum_j var(embedding_j)
-        / sum_t var(X_t), population variances over all N documents
-        (documents without terms are zero rows).  All sums are Spark
-        aggregates; nothing is collected."""
+        """One row (n_components, variance_explained, embedding_variance,
+        total_variance): sum_j var(embedding_j) / sum_t var(X_t), population
+        variances over all N documents (documents without terms are zero rows).
+        All sums are Spark aggregates; nothing is collected."""
         n = F.lit(self.tfidf.n_docs)
         e = self.doc_embeddings
         sums = e.agg(
@@ -356,7 +356,8 @@ class LsaModel:
         full_var = w2 / n - c2 / (n * n)
         return exp_var.select(F.lit(self.n_components).cast("long").alias("n_components"),
                               F.when(full_var != 0, F.col("exp_var") / full_var).otherwise(F.lit(0.0))
-                              .alias("variance_explained"))
+                              .alias("variance_explained"),
+                              F.col("exp_var").alias("embedding_variance"), full_var.alias("total_variance"))
 
     def explained_variance_ratio(self) -> float:
         return float(self.variance_frame().first()["variance_explained"])

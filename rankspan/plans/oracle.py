@@ -386,6 +386,8 @@ EVAL_BM25 = _with(QS, BM25_INDEX, BM25_QUERY, bm25_ranked(), QRELS, BM25_RES, pe
 for _key, _col in (("precision_at_k", "precision"), ("recall_at_k", "recall"), ("reciprocal_rank", "reciprocal_rank"),
                    ("hit_rate_at_k", "hit_rate")):
     ORACLE[_key] = EVAL_BM25 + f"\nSELECT query_id, round({_col}, 6) AS {_col} FROM pq"
+ORACLE["encoder_batches"] = ORACLE["encoder_callable"]
+
 ORACLE["evaluate_retriever"] = EVAL_BM25 + "\nSELECT * FROM metrics"
 
 _CMP = _with(*BASE, fetch_lists(FETCH_K), rrf_sql([("bl", "bm25_score"), ("vl", "vector_score")], "fz"), QRELS,
@@ -452,7 +454,11 @@ _LIST = (f"CAST({TOP_K} AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS first_rank, C
 ORACLE["lsa_search"] = _with(QS) + f"\nSELECT query_id, {_LIST} FROM qs"
 ORACLE["hybrid_lsa"] = _with(QS) + f"""
 SELECT query_id, retriever, {_LIST} FROM qs CROSS JOIN (VALUES ('bm25'), ('vector'), ('hybrid')) r(retriever)"""
-ORACLE["lsa_variance"] = "SELECT CAST(128 AS BIGINT) AS n_components, true AS is_share"
+ORACLE["lsa_variance"] = _with(TFIDF_INDEX, """
+lsums AS (SELECT term, sum(w) AS s1, sum(w * w) AS s2 FROM vw GROUP BY term),
+ln AS (SELECT count(*) AS n FROM documents)""") + f"""
+SELECT CAST(128 AS BIGINT) AS n_components, true AS is_share, true AS is_ratio,
+       round(sum(s2) / any_value(n) - sum(s1 * s1) / (any_value(n) * any_value(n)), 6) AS total_variance FROM lsums, ln"""
 ORACLE["lsa_components"] = f"SELECT {d(0)} AS max_gap, {d(0)} AS max_off"
 ORACLE["lsa_index_stats"] = """
 SELECT count(*) AS n_docs, count(*) AS embedding_rows, CAST(128 AS BIGINT) AS embedding_dims, true AS is_share FROM documents"""

@@ -20,7 +20,7 @@ from ..operators.bm25 import Bm25Index, query_terms
 from ..operators.dense import dense_knn
 from ..operators.evaluation import compare, evaluate, per_query
 from ..operators.fusion import linear_fusion, minmax_bounds, reciprocal_rank_fusion
-from ..operators.hybrid import HybridIndex
+from ..operators.hybrid import BatchEncoder, HybridIndex
 from ..operators.lsa import LsaModel, r_factor
 from ..operators.segments import SegmentIndex
 from ..operators.tfidf import TfidfModel
@@ -372,6 +372,20 @@ def encoder_callable(spark, sf_dir):
     return _ranked(h.vector.search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
 
 
+def _vowel_encoder():
+    """Factory of a batch encoder that does in Python what ``_byte_share_encoder`` does."""
+    def encode(texts):
+        return [[t.lower().count(v) / max(len(t.lower()), 1) for v in "aeiou"] for t in texts]
+    return encode
+
+
+@register("encoder_batches")
+def encoder_batches(spark, sf_dir):
+    """Vector list of a hybrid index whose encoder is loaded once per worker."""
+    h = HybridIndex.build(td.corpus(spark, sf_dir), encoder=BatchEncoder(_vowel_encoder))
+    return _ranked(h.vector.search(td.queries(spark, sf_dir), k=TOP_K), "vector_score")
+
+
 @register("hybrid_fetch_k")
 def hybrid_fetch_k(spark, sf_dir):
     """top_k = 3 -> default fetch depth max(9, 10) = 10."""
@@ -521,7 +535,9 @@ def lsa_search(spark, sf_dir):
 def lsa_variance(spark, sf_dir):
     v = _lsa(spark, sf_dir).variance_frame()
     inside = (F.col("variance_explained") > 0) & (F.col("variance_explained") <= 1)
-    return v.select("n_components", inside.alias("is_share"))
+    share = F.col("embedding_variance") / F.col("total_variance")
+    return v.select("n_components", inside.alias("is_share"), r6("total_variance").alias("total_variance"),
+                    (F.abs(share - F.col("variance_explained")) < 1e-9).alias("is_ratio"))
 
 
 @register("lsa_components")

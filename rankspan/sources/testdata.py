@@ -34,12 +34,12 @@ def _by_token(documents: DataFrame, items: DataFrame) -> DataFrame:
     token.  Inside a text an interior token stands between the same white space
     as in the item, so it is a token of every text that contains the item."""
     tokens = items.select("query_id", F.explode("inner").alias("token")).distinct()
-    found = stage(documents.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("token"))
-                  .join(tokens.select("token").distinct(), "token"), "qrels-tokens")
-    df = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    rarest = (tokens.join(df, "token", "left")
-              .groupBy("query_id").agg(F.min_by("token", F.struct(F.coalesce("df", F.lit(0)), F.col("token"))).alias("token")))
-    return found.join(rarest, "token").select("query_id", "doc_id")
+    there = documents.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("token"))
+    # counts first: frequent tokens are never staged, only added up
+    df = there.join(tokens.select("token").distinct(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    rarest = stage(tokens.join(df, "token", "left").groupBy("query_id").agg(
+        F.min_by("token", F.struct(F.coalesce("df", F.lit(0)), F.col("token"))).alias("token")), "qrels-rarest")
+    return there.join(rarest, "token").select("query_id", "doc_id")
 
 
 def _by_gram(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankspan.operators.dense import _Best, block_top_k, dense_knn
+from rankspan.operators.hybrid import BatchEncoder
 from rankspan.operators.lsa import LsaModel, gaussian_vector
 from rankspan.operators.tfidf import TfidfModel
 from rankspan.sources import testdata as td
@@ -152,6 +153,9 @@ def test_lsa_against_numpy(spark):
     got = {r["doc_id"]: r["embedding"] for r in m.embeddings().collect()}
     ours = np.array([got[d] for d in docs])
     assert np.abs(ours @ ours.T - e @ e.T).max() < 1e-6
+    # the share of variance, away from 1
+    share = (x @ v).var(axis=0).sum() / x.var(axis=0).sum()
+    assert len(docs) == tfidf.n_docs and 0.1 < share < 0.95 and abs(m.explained_variance_ratio() - share) < 1e-6
     # a document encoded as a query is its own embedding
     qs = corpus.select(F.col("doc_id").alias("query_id"), F.concat(F.lit(". "), "text").alias("query"))
     enc = {r["query_id"]: r["embedding"] for r in m.encode(qs).collect()}
@@ -161,3 +165,27 @@ def test_lsa_against_numpy(spark):
     other = {r["doc_id"]: r["embedding"] for r in h.embeddings().collect()}
     theirs = np.array([other[d] for d in docs])
     assert np.abs(theirs @ theirs.T - ours @ ours.T).max() < 1e-6
+
+
+def _counting_factory(folder):
+    def factory():
+        import os
+        import uuid
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda texts: np.array([[len(t), t.count("a"), 1.0] for t in texts])
+    return factory
+
+
+def test_batch_encoder_loads_once_per_worker(spark, tmp_path):
+    rows = [(i, None if i == 3 else "a" * (i % 7) + "b") for i in range(400)]
+    texts = spark.createDataFrame(rows, "id long, text string").repartition(16)
+    encoder = BatchEncoder(_counting_factory(str(tmp_path)), batch_size=9)
+    for _ in range(2):
+        got = {r["id"]: r["embedding"] for r in encoder(texts).collect()}
+    assert got == {i: [float(len(t or "")), float((t or "").count("a")), 1.0] for i, t in rows}
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) <= 16                 # once in a process, though it ran many tasks
+    with pytest.raises(Exception, match="shape"):
+        BatchEncoder(lambda: lambda texts: np.zeros((1, 2)))(texts).collect()
+    with pytest.raises(ValueError):
+        BatchEncoder(_counting_factory(""), batch_size=0)
