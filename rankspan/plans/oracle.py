@@ -455,7 +455,7 @@ ORACLE["lsa_search"] = _with(QS) + f"\nSELECT query_id, {_LIST} FROM qs"
 ORACLE["hybrid_lsa"] = _with(QS) + f"""
 SELECT query_id, retriever, {_LIST} FROM qs CROSS JOIN (VALUES ('bm25'), ('vector'), ('hybrid')) r(retriever)"""
 ORACLE["lsa_variance"] = _with(TFIDF_INDEX, """
-lsums AS (SELECT term, sum(w) AS s1, sum(w * w) AS s2 FROM vw GROUP BY term),
+lsums AS (SELECT term, sum(weight) AS s1, sum(weight * weight) AS s2 FROM vweights GROUP BY term),
 ln AS (SELECT count(*) AS n FROM documents)""") + f"""
 SELECT CAST(128 AS BIGINT) AS n_components, true AS is_share, true AS is_ratio,
        round(sum(s2) / any_value(n) - sum(s1 * s1) / (any_value(n) * any_value(n)), 6) AS total_variance FROM lsums, ln"""
