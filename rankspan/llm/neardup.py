@@ -228,8 +228,10 @@ def _across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
     return left.hint("merge").join(right, "element").where(fits).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id) of every document."""
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+                    repeated: bool = False) -> DataFrame:
+    """(doc_id, class_id) of every document.  ``repeated``: rows may share id and
+    text; the elements of such rows are then kept once."""
     marked = staged(sketches(docs, bands, rows), "sketches")
     texts = staged(marked.where("t1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("t1", "t2").agg(
         F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "texts")
@@ -239,7 +241,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     pairs = staged(buckets.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     with_text = docs.select(F.col("doc_id").cast("long").alias("id"), F.lower("text").alias("text")).hint("merge").join(wanted, "id")
-    sets = staged(element_sets(with_text), "sets")
+    sets = element_sets(with_text)
+    sets = staged(sets.dropDuplicates(["id"]) if repeated else sets, "sets")
     links = staged(verified(pairs, sets, threshold), "links")
     classes = components(links)
     more = staged(_across(buckets, classes, sets, threshold).join(pairs, ["a", "b"], "left_anti"), "across")
@@ -257,15 +260,15 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     comes last; then by the text's hash).  Rows are told apart by id and text, so
     texts that share an id are judged by themselves; rows of equal id and text are
     one document.  All rows without words stay."""
-    one, two = F.xxhash64("text"), F.xxhash64(F.lit("second"), F.col("text"))
+    one, two = F.xxhash64("doc_id", "text"), F.xxhash64(F.lit("second"), F.col("doc_id"), F.col("text"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), "text",
                        one.alias("h1"), two.alias("h2"), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
     texts = rows.where("words")
-    classes = near_duplicates(texts.select(F.col("h1").alias("doc_id"), "text"), **options).select(
+    classes = near_duplicates(texts.select(F.col("h1").alias("doc_id"), "text"), repeated=True, **options).select(
         F.col("doc_id").alias("h1"), "class_id").distinct()
     first = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
     kept = texts.select("id", "h1", "h2").join(classes, "h1").groupBy("class_id").agg(F.min(first).alias("k")).select("k.*")
-    # different texts of one 64-bit hash cannot be told apart by it: all of them stay
+    # different rows of one 64-bit hash cannot be told apart by it: all of them stay
     equal = texts.select("h1", "h2").distinct().groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
     kept = staged(kept.select("id", "h1", "h2").union(texts.join(equal, "h1", "left_semi").select("id", "h1", "h2")).distinct(), "kept")
     k = kept.select(F.col("id").alias("kid"), F.col("h1").alias("k1"), F.col("h2").alias("k2"))
