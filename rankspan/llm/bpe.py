@@ -70,17 +70,24 @@ LOWER = {c: c + by for a, b, by in NEW_CAPITALS for c in range(a, b + 1)}
 CHARACTERS = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
 
 
-def library_pattern(pattern: str) -> regex.Pattern:
-    """The file's pattern with the letters and numbers of the library's engine:
-    what ``regex``, built for a later Unicode, adds to them is taken out of its
-    classes."""
+NEW_CAPITAL = regex.compile("[" + "".join(map(chr, LOWER)) + "]")
+
+
+def late_characters() -> frozenset[str]:
+    """Letters and numbers of ``regex``, built for a later Unicode, that the
+    library's engine does not know as such."""
     known = {c for a, b in (*NEW_LETTERS, *NEW_NUMBERS) for c in range(a, b + 1)}
-    late = [c for c in regex.findall(r"[\p{L}\p{N}]", CHARACTERS) if unicodedata.category(c) == "Cn" and ord(c) not in known]
-    if not late:
+    return frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", CHARACTERS)
+                     if unicodedata.category(c) == "Cn" and ord(c) not in known)
+
+
+def without(pattern: str, characters: frozenset[str]) -> regex.Pattern:
+    """The pattern with ``characters`` taken out of its letters and numbers."""
+    if not characters:
         return regex.compile(pattern)
-    without = "".join(f"\\U{ord(c):08x}" for c in late)
+    out = "".join(f"\\U{ord(c):08x}" for c in sorted(characters))
     for kind in ("L", "N"):
-        pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{without}]]")
+        pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{out}]]")
     return regex.compile(pattern, regex.V1)
 
 
@@ -179,7 +186,10 @@ class BpeCodec:
         self.special_re = (regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)))
                            if self.special else None)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = library_pattern(split["pattern"]["Regex"])
+        self.pieces = regex.compile(split["pattern"]["Regex"])
+        # for the few words with such characters: its large classes are slow
+        self.late = late_characters()
+        self.late_pieces = without(split["pattern"]["Regex"], self.late)
         self.space = regex.compile(r"\s+")
         self.separators = regex.compile("[\x1c-\x1f]")   # white space to str.split() only
         size = 1 + max([*self.vocab.values(), *self.special.values()])
@@ -204,7 +214,9 @@ class BpeCodec:
     # ------------------------------------------------------------ encoding
     def normalise(self, text: str) -> str:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(LOWER)   # no final sigma
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")   # no final sigma
+            if NEW_CAPITAL.search(text):
+                text = text.translate(LOWER)
         return text.lower()
 
     def words(self, text: str) -> list[str]:
@@ -259,7 +271,9 @@ class BpeCodec:
 
     def learn(self, words: list[str]) -> None:
         """Merge words not seen before and keep their ids."""
-        pieces = [[w] if w.startswith("\0 ") else self.pieces.findall(w) for w in words]
+        late = self.late
+        pieces = [[w] if w.startswith("\0 ") else
+                  (self.pieces if w.isascii() or late.isdisjoint(w) else self.late_pieces).findall(w) for w in words]
         distinct = list(dict.fromkeys(p for ps in pieces for p in ps))
         plain = [p for p in distinct if not p.startswith("\0 ")]
         marks = [p for p in distinct if p.startswith("\0 ")]
