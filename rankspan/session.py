@@ -67,7 +67,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (``addPyFile`` of a
     zip built once per SparkContext).  Needed by the operators that run
-    pandas code on executors (dense kNN, LSA, substring judgments)."""
+    numpy and Arrow code on executors (dense kNN, LSA, batch encoders, ``llm``)."""
     import zipfile
 
     sc = spark.sparkContext
