@@ -140,10 +140,46 @@ def test_pii_adds_spans_that_base_patterns_miss(spark):
 
 def test_pii_adds_where_all_examples_are_positive(spark):
     rows = [(i, f"{words(5, i)} pwd: Zq{i}xyzw {words(3, i)}") for i in range(40)]
-    model, least = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    model, least = pii.train(spark.createDataFrame(rows, "doc_id long, text string"), decoys=0)
     assert not len(model.value) and np.isfinite(least[0]) and np.isinf(least[1:]).all()
 
 
+def test_pii_learns_from_written_negatives(spark):
+    """Documents whose candidates are all positive: the decoys teach the rest."""
+    r = random.Random(4)
+    rows = [(i, f"{words(5, i)} pwd: Zq{i}xy{r.randint(10, 99)}w {words(3, i)} call +1 ({r.randint(200, 999)}) {r.randint(200, 999)}-"
+                f"{r.randint(1000, 9999)} {words(3, i)} mail w{i}.x@host{i % 7}.example.com {words(2, i)} "
+                f"AKIA{''.join(r.choice('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') for _ in range(15))}7") for i in range(120)]
+    model, least = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(model.value) and np.isfinite(least).all()
+    decoys = pii.decoy_texts(spark, 900).where("doc_id >= 500")
+    wrong = pii.find(decoys, model, least).select(F.explode(F.filter("_spans", lambda s: ~F.array_contains(
+        F.transform("_base", lambda b: b["s"]), s["s"])))).count()
+    assert wrong <= 0.01 * 400 * 15
+
+
+def test_pii_many_matches_in_one_text(spark):
+    """Blocks of matches: positions, context and redaction against plain Python."""
+    r = random.Random(6)
+    pieces = [f"w{i}@ex.com" if i % 3 else f"+1 555 {r.randint(1000000, 9999999)};" for i in range(3 * pii.BLOCK + 5)]
+    gaps = [r.choice([" ", " é漢 ", " plain words here and more of them "]) for _ in pieces]
+    text = "".join(g + p for g, p in zip(gaps, pieces)) + " \U0001F600 end"
+    docs = spark.createDataFrame([(1, text), (2, text[:40])], "doc_id long, text string")
+    got = {x["doc_id"]: x for x in pii.scan(docs).collect()}
+    for i, t in ((1, text), (2, text[:40])):
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(brute_spans(t)).encode()).hexdigest()
+    found = docs.select(pii._matches(F.col("text"), pii.PATTERNS["email"], pii.GATES["email"]).alias("m")).first()["m"]
+    assert len(found) == sum(i % 3 > 0 for i in range(len(pieces)))
+    assert all(text[m["s"]:m["e"]] == m["v"] and text[max(0, m["s"] - pii.CONTEXT):m["s"]] == m["b"] for m in found)
+    spans = [x.split(":") for x in got[1]["spans"].split(",")]
+    want, at = "", 0
+    for kind, s, e in sorted(spans, key=lambda x: (int(x[1]), int(x[2]), x[0])):
+        if int(s) >= at:
+            want += text[at:int(s)] + f"[{kind.upper()}]"
+        at = max(at, int(e))
+    assert pii.redact(docs).where("doc_id = 1").first()["text"] == want + text[at:]
+
+
 def test_pii_threshold_of_each_generator():
     score, truth = np.array([3.0, 2, 1, 3, 2, 2]), np.array([1.0, 1, 0, 1, 1, 0])
     assert pii.thresholds(score, truth, np.array([0, 0, 0, 2, 2, 2])) == [2.0, float("inf"), 3.0, float("inf")]
