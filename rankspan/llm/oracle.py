@@ -45,3 +45,56 @@ found AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
           UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM found)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200"""
+
+
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+
+# All windows of 35 words as strings; repeated ones by grouping the strings.
+ORACLE["op2_substring_dedup"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, CAST(doc_id AS BIGINT) AS doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+words AS (SELECT d, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+windows AS (SELECT d, p, word, string_agg(word, ' ') OVER ahead AS s, count(*) OVER ahead AS n FROM words
+            WINDOW ahead AS (PARTITION BY d ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+repeated AS (SELECT s FROM windows WHERE n = 35 GROUP BY s HAVING count(*) > 1),
+starts AS (SELECT x.d, x.p, x.word, CASE WHEN x.n = 35 AND r.s IS NOT NULL THEN 1 ELSE 0 END AS hit FROM windows x LEFT JOIN repeated r ON x.s = r.s),
+marked AS (SELECT d, p, word, max(hit) OVER (PARTITION BY d ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM starts),
+texts AS (SELECT d, sum(gone) AS removed, string_agg(word, ' ' ORDER BY p) FILTER (gone = 0) AS kept FROM marked GROUP BY d)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN texts USING (d)"""
+
+# Weighted Jaccard similarity of all texts that share a run, then the closure.
+ORACLE["op3_near_duplicates"] = f"""
+WITH RECURSIVE docs AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, array_to_string({_WORDS.format("lower(coalesce(text, ''))")}, ' ') AS t FROM documents),
+texts AS (SELECT t, min(doc_id) AS id, string_split(t, ' ') AS w FROM docs WHERE t != '' GROUP BY t),
+words AS (SELECT id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+spans AS (SELECT id, n, p, string_agg(word, ' ') OVER ahead AS run FROM words
+          WINDOW ahead AS (PARTITION BY id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+elements AS (SELECT id, run, row_number() OVER (PARTITION BY id, run ORDER BY p) AS occurrence FROM spans WHERE p <= greatest(n - 4, 1)),
+weights AS (SELECT id, count(*) AS weight FROM elements GROUP BY id),
+shared AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM elements a JOIN elements b
+           ON a.run = b.run AND a.occurrence = b.occurrence AND a.id < b.id GROUP BY ALL),
+links AS (SELECT s.a, s.b FROM shared s JOIN weights x ON x.id = s.a JOIN weights y ON y.id = s.b
+          WHERE 5 * s.n >= 4 * (x.weight + y.weight - s.n)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, other) AS (SELECT id, id FROM texts UNION SELECT r.id, e.b FROM reach r JOIN ways e ON e.a = r.other),
+classes AS (SELECT id, min(other) AS class_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id
+FROM docs d LEFT JOIN texts t ON t.t = d.t LEFT JOIN classes c ON c.id = t.id"""
+
+# Distinct runs of every document against those of every item.
+ORACLE["op6_decontamination"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, CAST(doc_id AS BIGINT) AS doc_id, {_WORDS.format("lower(coalesce(text, ''))")} AS w FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, least(len(w), 5) AS size, w
+          FROM (SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id, {_WORDS.format("lower(text)")} AS w FROM benchmark) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM items),
+item_words AS (SELECT i, size, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM items),
+item_runs AS (SELECT DISTINCT a.i, a.size, string_agg(b.word, ' ' ORDER BY b.p) AS run FROM item_words a
+              JOIN item_words b ON a.i = b.i AND b.p BETWEEN a.p AND a.p + a.size - 1 GROUP BY a.i, a.size, a.p HAVING count(*) = a.size),
+doc_words AS (SELECT d, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+after AS (SELECT d, p, [word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o] AS next
+          FROM doc_words WINDOW o AS (PARTITION BY d ORDER BY p)),
+doc_runs AS (SELECT DISTINCT d, size, array_to_string(next[1:size], ' ') AS run FROM after, sizes WHERE next[size] IS NOT NULL),
+found AS (SELECT d, i, count(*) AS n FROM doc_runs JOIN item_runs USING (size, run) GROUP BY d, i),
+total AS (SELECT i, item_id, count(*) AS n FROM item_runs JOIN items USING (i) GROUP BY i, item_id)
+SELECT d.doc_id, t.item_id, CAST(f.n AS DOUBLE) / t.n AS containment
+FROM found f JOIN total t USING (i) JOIN docs d USING (d) WHERE 5 * f.n >= 4 * t.n"""
