@@ -18,7 +18,8 @@ similarity 0.8 shares none with probability 3e-6).  Work is on distinct texts
    where they share an element of their rare prefixes, which all pairs of the
    similarity do; so no link between different texts is lost, and neither pairs
    inside a class nor pairs with only a frequent passage in common are formed.
-3. Pairs are verified on the elements themselves (weighted Jaccard >= 0.8).
+3. Pairs are verified on the whole element sets, an element standing for itself by
+   64 bits of hash (weighted Jaccard >= 0.8).
 
 Results: the class of a document is the smallest doc_id in its connected group.
 
@@ -158,7 +159,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
 
 
 def element_sets(docs: DataFrame) -> DataFrame:
-    """(id, elements array<int>): the distinct 32-bit element keys of a document."""
+    """(id, elements array<long>): the distinct 64-bit element keys of a document."""
 
     def work(batches):
         for batch in batches:
@@ -166,14 +167,14 @@ def element_sets(docs: DataFrame) -> DataFrame:
             sets = []
             for lo, hi in chunks(offsets):
                 e, first, _, _ = elements(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                cut = (e >> _U(32)).astype(np.uint32).view(np.int32)
-                sets += [np.unique(cut[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+                e = e.view(np.int64)
+                sets += [np.unique(e[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int32)
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(flat, pa.int32()))], names=["id", "elements"])
+                pa.array(ends), pa.array(flat, pa.int64()))], names=["id", "elements"])
 
-    return in_batches(docs.select("id", "text"), work, "id long, elements array<int>")
+    return in_batches(docs.select("id", "text"), work, "id long, elements array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
