@@ -140,20 +140,18 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     def work(batches):
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            ids, keys, has = [], [], []
             for lo, hi in chunks(offsets):
                 e, first, id1, id2 = elements(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                ids.append(np.stack([id1, id2], axis=1))
-                keys.append(band_keys(dart_signatures(e, first, bands * rows), bands, rows))
-                has.append(np.diff(first) > 0)
-            if not ids:
-                continue
-            ids, keys, has = np.concatenate(ids).view(np.int64), np.concatenate(keys).view(np.int64), np.concatenate(has)
-            flat = pa.array(keys[has].ravel(), pa.int64())
-            ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids[:, 0], pa.int64(), mask=~has), pa.array(ids[:, 1], pa.int64(), mask=~has),
-                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "t1", "t2", "bands"])
+                has = np.diff(first) > 0
+                keys = band_keys(dart_signatures(e, first, bands * rows), bands, rows).view(np.int64)
+                ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
+                # a batch of its own for each chunk bounds what both sides of the pipe hold
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(id1.view(np.int64), mask=~has),
+                     pa.array(id2.view(np.int64), mask=~has),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].ravel(), pa.int64()))],
+                    names=["doc_id", "t1", "t2", "bands"])
+        pa.default_memory_pool().release_unused()
 
     return in_batches(texts, work, "doc_id long, t1 long, t2 long, bands array<long>")
 
@@ -164,15 +162,11 @@ def element_sets(docs: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            sets = []
             for lo, hi in chunks(offsets):
                 e, first, _, _ = elements(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                e = e.view(np.int64)
-                sets += [np.unique(e[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(flat, pa.int64()))], names=["id", "elements"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(
+                    pa.array(first.astype(np.int32)), pa.array(e.view(np.int64)))], names=["id", "elements"])
+        pa.default_memory_pool().release_unused()
 
     return in_batches(docs.select("id", "text"), work, "id long, elements array<long>")
 
