@@ -1,3 +1,7 @@
+import math
+import os
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -6,7 +10,9 @@ from pyspark.sql import functions as F
 from rankspan.operators.dense import _Best, block_top_k, dense_knn
 from rankspan.operators.hybrid import BatchEncoder
 from rankspan.operators.lsa import LsaModel, gaussian_vector
+from rankspan.operators import tfidf as tfidf_module
 from rankspan.operators.tfidf import TfidfModel
+from rankspan.session import checkpoint_dir
 from rankspan.sources import testdata as td
 
 
@@ -129,6 +135,43 @@ def test_tfidf_errors(spark):
             model.search(q)
 
 
+def test_tfidf_stages_what_is_asked_for(spark):
+    """A fit and its counts write nothing; a chunk is told df of shared terms only."""
+    corpus = td.corpus(spark, "/root/testdata/sf0.001")
+    folder = checkpoint_dir(spark)
+    before = set(os.listdir(folder))
+    model = TfidfModel.fit(corpus)
+    assert model.term_counts.count() > 0 and set(os.listdir(folder)) == before
+    plan = model.term_counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1                   # counted once
+
+
+def test_tfidf_chunks_against_python(spark, monkeypatch):
+    """Weights from many small chunks, with limits and a repeated document, against plain Python."""
+    monkeypatch.setattr(tfidf_module, "CHUNK_BYTES", 100)
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove"]
+    rows = [(i, i, None, " ".join(words[(i * k + k * k) % 7] for k in range(i % 9))) for i in range(60)]
+    rows.append((7, 7, None, "amber unique word amber"))
+    corpus = spark.createDataFrame(rows, "doc_id long, pos long, title string, text string")
+    for low, high in ((1, 0.95), (1, 12), (2, 40)):
+        model = TfidfModel.fit(corpus, min_df=low, max_df=high)
+        counts = []
+        for d, _, _, text in rows:
+            w = text.split()
+            counts.append((d, Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)])))
+        df = Counter(t for _, c in counts for t in c)
+        most = high * len(rows) if isinstance(high, float) else high
+        df = {t: n for t, n in df.items() if low <= n <= most}
+        raw = [(d, t, (1 + math.log(n)) * (math.log((len(rows) + 1) / (df[t] + 1)) + 1)) for d, c in counts for t, n in c.items() if t in df]
+        norm = Counter()
+        for d, _, w in raw:
+            norm[d] += w * w
+        want = sorted((d, t, df[t], round(w / math.sqrt(norm[d]), 9)) for d, t, w in raw)
+        got = sorted((r["doc_id"], r["term"], r["df"], round(r["weight"], 9)) for r in model.doc_weights.collect())
+        assert got == want
+        assert {r["term"]: r["df"] for r in model.vocabulary.collect()} == df
+
+
 def test_lsa_against_numpy(spark):
     """Embeddings and query vectors against numpy subspace iteration from the
     same start on a 60-document corpus (32 of 60 directions)."""
