@@ -35,20 +35,29 @@ class Trees:
         return 1.0 / (1.0 + np.exp(-np.clip(self.margin(x), -500, 500)))
 
 
+def _quantiles(x: np.ndarray, times: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """The lower quantiles of values that stand for ``times`` equal ones each."""
+    order = np.argsort(x, kind="stable")
+    upto = np.cumsum(times[order])
+    return x[order][np.searchsorted(upto, np.floor((upto[-1] - 1) * shares), side="right")]
+
+
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64,
-        l2: float = 1.0, least_rows: int = 8, weight: np.ndarray | None = None) -> Trees:
-    """Boost ``trees`` trees on log loss; ``weight``: of each row (1 on the mean).
+        l2: float = 1.0, least_rows: int = 8, weight: np.ndarray | None = None, times: np.ndarray | None = None) -> Trees:
+    """Boost ``trees`` trees on log loss; ``weight``: of each row (1 on the mean);
+    ``times``: how many equal rows each one stands for (the model is that of all).
     One class only, or no rows, gives a model without splits."""
     n, width = x.shape
     y = y.astype(float)
-    weight = np.ones(n) if weight is None else weight
+    times = np.ones(n) if times is None else times
+    weight = times if weight is None else weight * times
     share = ((weight * y).sum() + 0.5) / (weight.sum() + 1.0)
     bias = float(np.log(share / (1 - share)))
     inner, leaves = 2**depth - 1, 2**depth
     model = Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)), bias, depth)
     if n == 0 or y.min() == y.max():
         return model
-    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for f in range(width)]
+    edges = [np.unique(_quantiles(x[:, f], times, np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
     code = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     margin = np.full(n, bias)
     features, thresholds, values = [], [], []
@@ -64,7 +73,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
             size = count * width * bins
             shape = (count, width, bins)
             g, h, c = (np.cumsum(np.bincount(slot, np.repeat(v, width), size).reshape(shape), axis=2)
-                       for v in (grad, hess, np.ones(n)))
+                       for v in (grad, hess, times))
             gt, ht, ct = g[:, :, -1:], h[:, :, -1:], c[:, :, -1:]
             gain = g**2 / (h + l2) + (gt - g) ** 2 / (ht - h + l2) - gt**2 / (ht + l2)
             gain[(c < least_rows) | (ct - c < least_rows)] = -1.0

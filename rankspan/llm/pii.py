@@ -6,16 +6,18 @@ Boosted trees score each candidate from format and context features; they run
 as CASE expressions inside the row.  Calibrated thresholds select the spans
 that are added to the base spans (email, ip, card, phone), which always stay.
 
-Training: at most about ``SAMPLE_DOCS`` documents and ``SAMPLE_CANDIDATES`` of
-their candidates per generator (a documented, bounded sample), whose base phones
-and emails are masked (no '+', no dots in the domain), so that the generators
-find them but the base patterns do not.  Like the spans that are added, all
+Training: all candidates of all documents, whose base phones and emails are
+masked (no '+', no dots in the domain), so that the generators find them but the
+base patterns do not.  Candidates of equal features are alike, so Spark counts
+them, and the trees are grown from the counts.  Like the spans that are added, all
 candidates learned from lie outside base spans.  Positive are those on a masked
 span, assignments to credential names, and tokens that stand in one or have a
 strict credential form.  ``DECOYS`` written texts add look-alikes that are no
 personal data (dates, order numbers, digests, '@' without a domain, credential
 names in prose), so every generator has negatives whatever the documents hold,
 and as many written assignments show values of other forms than the documents'.
+Where a generator has more than ``BALANCE`` candidates in the documents, its
+written ones count for more in proportion, so that their share does not fade.
 One half of all this grows the trees, the other sets each generator's threshold:
 the smallest score whose precision on it is ``PRECISION`` (no threshold: nothing
 is added).
@@ -34,13 +36,12 @@ columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .gbt import Trees, fit
 
-SAMPLE_DOCS = 4000
-SAMPLE_CANDIDATES = 5_000
+BALANCE = 5_000
 DECOYS = 400
 PRECISION = 0.99
 BLOCK = 32
@@ -265,7 +266,8 @@ def training_rows(docs: DataFrame) -> DataFrame:
         c["v"].rlike(STRICT).alias("strict")))
     generator = F.col("c.x")[0]
     # loose numbers and addresses inside an assignment tell nothing of either kind
-    return given.select("doc_id", F.explode(rows).alias("c")).where(
+    # explode would filter on the size of the candidates, and so find them twice
+    return given.select("doc_id", F.explode_outer(rows).alias("c")).where(F.col("c").isNotNull()).where(
         generator.isin(ASSIGNMENT, TOKEN) | F.col("c.told") | ~F.col("c.given")).select(
         F.pmod(F.xxhash64("doc_id", F.lit("pii fold")), F.lit(2)).alias("fold"), F.col("c.x").alias("x"),
         (F.col("c.told") | generator.isin(ASSIGNMENT, TOKEN) & (F.col("c.given") | F.col("c.strict"))).alias("y"))
@@ -346,38 +348,42 @@ def written_rows(spark: SparkSession, n: int = DECOYS) -> DataFrame:
         F.pmod(F.xxhash64("doc_id", F.lit("pii fold")), F.lit(2)).alias("fold"), F.col("c.x").alias("x"), "y")
 
 
-def thresholds(score: np.ndarray, truth: np.ndarray, generator: np.ndarray) -> list[float]:
-    """The smallest score of each generator whose precision is ``PRECISION``."""
+def thresholds(score: np.ndarray, truth: np.ndarray, generator: np.ndarray, times: np.ndarray | None = None) -> list[float]:
+    """The smallest score of each generator whose precision is ``PRECISION``;
+    ``times``: how many candidates each one stands for."""
+    times = np.ones(len(score)) if times is None else times
     out = []
     for g in range(len(GENERATORS)):
-        s, y = score[generator == g], truth[generator == g]
+        mine = generator == g
+        s, y, n = score[mine], truth[mine], times[mine]
         order = np.argsort(-s, kind="stable")
-        s, y = s[order], y[order]
+        s, y, n = s[order], y[order], n[order]
         last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)      # equal scores go together
-        good = np.flatnonzero(last & (np.cumsum(y) >= PRECISION * np.arange(1, len(y) + 1)))
+        good = np.flatnonzero(last & (np.cumsum(y * n) >= PRECISION * np.cumsum(n)))
         out.append(max(float(s[good[-1]]), 0.0) if len(good) else float("inf"))
     return out
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, decoys: int = DECOYS) -> tuple[Trees, list[float]]:
-    """(trees, threshold on the margin of each generator) from a bounded sample
-    of ``docs`` and ``decoys`` written texts of each sort."""
-    n = docs.count()
-    share = 1.0 if n <= sample_docs else sample_docs / n
-    sample = docs.select("doc_id", "text").where(
-        F.pmod(F.xxhash64("doc_id", F.lit("pii sample")), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
-    # rows of equal features are alike, so the order by them makes the sample the same in every run
-    order = Window.partitionBy(F.col("x")[0]).orderBy(F.xxhash64("fold", "x", "y"), "x", "y")
-    drawn = training_rows(sample).withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_CANDIDATES)
-    rows = drawn.drop("place")
+def counted_rows(rows: DataFrame) -> np.ndarray:
+    """A row (fold, features, y, times) for each distinct row of (fold, x, y), in a fixed order."""
+    found = rows.groupBy("fold", "x", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = sorted((r["fold"], *r["x"], r["y"], r["n"]) for r in found)
+    return np.array(found, dtype=float).reshape(len(found), len(FEATURES) + 3)
+
+
+def train(docs: DataFrame, decoys: int = DECOYS) -> tuple[Trees, list[float]]:
+    """(trees, threshold on the margin of each generator) from all ``docs`` and
+    ``decoys`` written texts of each sort."""
+    table = counted_rows(training_rows(docs.select("doc_id", "text")))
     if decoys:
-        rows = rows.unionByName(written_rows(docs.sparkSession, decoys))
-    rows = sorted((r["fold"], *r["x"], r["y"]) for r in rows.collect())
-    table = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES) + 2)
-    x, y, first = table[:, 1:-1], table[:, -1], table[:, 0] == 0
-    model = fit(x[first], y[first], trees=24, depth=3, rate=0.3, bins=48, least_rows=3)
+        total = np.bincount(table[:, 1].astype(int), table[:, -1], len(GENERATORS))
+        written = counted_rows(written_rows(docs.sparkSession, decoys))
+        written[:, -1] *= np.ceil(np.maximum(total / BALANCE, 1.0))[written[:, 1].astype(int)]
+        table = np.vstack([table, written])
+    x, y, times, first = table[:, 1:-2], table[:, -2], table[:, -1], table[:, 0] == 0
+    model = fit(x[first], y[first], trees=24, depth=3, rate=0.3, bins=48, least_rows=3, times=times[first])
     # with one class only the model has no trees, and all scores are its bias
-    return model, thresholds(model.margin(x[~first]), y[~first], x[~first, 0])
+    return model, thresholds(model.margin(x[~first]), y[~first], x[~first, 0], times[~first])
 
 
 def find(docs: DataFrame, model: Trees, least: list[float]) -> DataFrame:
@@ -401,10 +407,10 @@ def _joined(spans: str) -> Column:
                                                                   s["e"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """Span counts, digest of the base spans and all spans of each document."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = find(narrow, *train(narrow, sample_docs))
+    found = find(narrow, *train(narrow))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -413,13 +419,13 @@ def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
                         F.sha2(_joined("_base"), 256).alias("base_sha256"), _joined("_spans").alias("spans"))
 
 
-def redact(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets
     (overlapping spans by one mark); ``n_chars``, where present, is recounted.
     A null text stays null."""
     # the row travels whole, so its columns cannot meet those made here
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
-    found = find(whole, *train(docs, sample_docs))
+    found = find(whole, *train(docs))
     ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["s"].alias("s"), s["e"].alias("e"), s["kind"].alias("kind"))))
     t = F.col("_t")
 

@@ -15,7 +15,7 @@ from helpers import DOCS, odd_documents, odd_frame, shingle_counts, words  # noq
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from rankspan.llm import bpe, decontamination, licenses, pii  # noqa: E402
+from rankspan.llm import bpe, decontamination, gbt, licenses, pii  # noqa: E402
 from rankspan.llm.queries import vocabulary_path  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -309,3 +309,26 @@ def test_short_benchmark_items_are_found(spark):
     few = decontamination.find(frame, bench.where("item_id < 4")).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in few) == [w for w in want if w[1] < 4]
     assert sorted(r["doc_id"] for r in decontamination.drop_contaminated(frame, bench).collect()) == [3, 4, 6, 8, 9, 10]
+
+
+def test_pii_learns_from_all_candidates(spark, monkeypatch):
+    """No candidate is left out, however many there are; equal ones are counted."""
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("call +49 170 "), F.lpad(F.col("id").cast("string"), 7, "1"), F.lit(" now")).alias("text"))
+    seen, grow, cut = [], pii.fit, pii.thresholds
+    monkeypatch.setattr(pii, "fit", lambda x, y, **kw: seen.append(kw["times"].sum() if "times" in kw else len(x)) or grow(x, y, **kw))
+    monkeypatch.setattr(pii, "thresholds", lambda s, y, g, *times: seen.append(times[0].sum() if times else len(s)) or cut(s, y, g, *times))
+    pii.train(docs, decoys=0)
+    assert sum(seen) == 9000
+
+
+def test_counted_rows_give_the_trees_of_all_rows():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    y = (x[:, 0] + x[:, 1] * rng.normal(size=300) > 0).astype(float)
+    times = rng.integers(1, 9, 300)
+    a = gbt.fit(x, y, trees=6, depth=3, bins=12, times=times.astype(float))
+    b = gbt.fit(np.repeat(x, times, axis=0), np.repeat(y, times), trees=6, depth=3, bins=12)
+    assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and np.abs(a.value - b.value).max() < 1e-9
+    margin, g = a.margin(x), np.zeros(300)
+    assert pii.thresholds(margin, y, g, times) == pii.thresholds(np.repeat(margin, times), np.repeat(y, times), np.repeat(g, times))
