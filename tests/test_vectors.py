@@ -210,6 +210,24 @@ def test_lsa_against_numpy(spark):
     assert np.abs(theirs @ theirs.T - ours @ ours.T).max() < 1e-6
 
 
+def test_variance_of_many_documents(spark):
+    """The square of the number of documents is beyond an integer from 46,341 documents on."""
+    rows = [(i, i, None, text) for i, text in enumerate(["red fox", "red hen", "blue hen", "blue sky"])]
+    tfidf = TfidfModel.fit(spark.createDataFrame(rows, "doc_id long, pos long, title string, text string"))
+    n = tfidf.n_docs = 60_000                                  # all others have no term
+    x = {}
+    for r in tfidf.doc_weights.collect():
+        x.setdefault(r["term"], []).append(r["weight"])
+    e = [[3.0, 4.0], [1.0, 0.0]]
+    model = LsaModel(tfidf, spark.createDataFrame(list(enumerate(e)), "doc_id long, embedding array<double>"), n_components=2)
+    total = sum(sum(w * w for w in ws) / n - (sum(ws) / n) ** 2 for ws in x.values())
+    ours = (10 + 16) / n - (16 + 16) / n ** 2
+    row = model.variance_frame().first()
+    assert row["total_variance"] == pytest.approx(total, rel=1e-9)
+    assert row["embedding_variance"] == pytest.approx(ours, rel=1e-9)
+    assert row["variance_explained"] == pytest.approx(ours / total, rel=1e-9)
+
+
 def _counting_factory(folder):
     def factory():
         import os
