@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from rankspan.operators.dense import _Best, block_top_k, dense_knn
 from rankspan.operators.hybrid import BatchEncoder
+from rankspan.operators import lsa as lsa_module
+from rankspan.operators.common import stage
 from rankspan.operators.lsa import LsaModel, gaussian_vector
 from rankspan.operators import tfidf as tfidf_module
 from rankspan.operators.tfidf import TfidfModel
@@ -228,6 +230,48 @@ def test_variance_of_many_documents(spark):
     assert row["variance_explained"] == pytest.approx(ours / total, rel=1e-9)
 
 
+def test_lsa_products_by_columns(spark, monkeypatch):
+    """X X^T Q from many cells (few columns, several shares of the terms, small blocks)
+    against numpy; neither Q nor X is shuffled, and the cells are tasks of their own."""
+    for name, value in (("BLOCK_DOCS", 4), ("PART_BYTES", 8 * 60 * 5), ("TASK_WORK", 20_000), ("BUCKET_ENTRIES", 500)):
+        monkeypatch.setattr(lsa_module, name, value)
+    corpus = td.corpus(spark, "/root/testdata/sf0.001").where("doc_id < 60")
+    tfidf = TfidfModel.fit(corpus)
+    p = lsa_module._Products(tfidf, 12, 5)
+    assert p.width <= 5 and p.shares > 1 and len(p.offsets) > 10
+    w = tfidf.doc_weights.select("doc_id", "term", "weight").toPandas()
+    ids = {r["block"]: r["ids"] for r in p.blocks.collect()}
+    docs = [d for b in sorted(ids) for d in ids[b]]
+    row, col = {d: i for i, d in enumerate(docs)}, {t: i for i, t in enumerate(sorted(w.term.unique()))}
+    x = np.zeros((len(row), len(col)))
+    x[w.doc_id.map(row), w.term.map(col)] = w.weight
+
+    def matrix(df, name):
+        got = {r["doc_id"]: r[name] for r in df.collect()}
+        return np.array([got[d] for d in docs])
+
+    start = stage(p.start(12, 42), "test-start")
+    q = matrix(p.by_document(start, 12, "v"), "v")
+    parts = stage(p.times(start, np.eye(12), whole=False), "test-q")
+    with lsa_module._Large(spark):
+        y = p.round_trip(parts, 12)
+        assert y._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        y = stage(y, "test-y")
+        cells = p.shares * -(-12 // p.width)
+        assert p.round_trip(parts, 12)._jdf.queryExecution().optimizedPlan().toString().count("Repartition 1, false") == cells
+    assert np.abs(matrix(p.by_document(y, 12, "v"), "v") - x @ (x.T @ q)).max() < 1e-9
+    assert np.abs(p.gram(start, y, (12, 12)) - q.T @ x @ x.T @ q).max() < 1e-8
+    some = spark.createDataFrame([(t,) for t in list(col)[::7]] + [("no such term",)], "term string")
+    vt = {r["term"]: r["vec"] for r in p.terms(start, 12, p.entries().join(some, "term")).collect()}
+    assert set(vt) == set(list(col)[::7]) and max(np.abs(np.array(v) - x[:, col[t]] @ q).max() for t, v in vt.items()) < 1e-9
+    m = LsaModel.fit(corpus, n_components=12, n_oversamples=4, tfidf=tfidf)
+    xv, vtv = m.projected()
+    assert np.abs(vtv - np.eye(12)).max() < 1e-9 and np.abs(matrix(xv, "xv") - matrix(m.doc_embeddings, "embedding")).max() < 1e-9
+    v = {r["term"]: r["vec"] for r in m.components().collect()}
+    v = np.array([v[t] for t in col])
+    assert np.abs(v.T @ v - np.eye(12)).max() < 1e-9 and np.abs(x @ v - matrix(xv, "xv")).max() < 1e-9
+
+
 def _counting_factory(folder):
     def factory():
         import os
