@@ -34,7 +34,7 @@ from .common import in_batches, widened
 from .textbuf import buffers, chunks, ranges
 
 CHUNK = 2 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 MAX_VOCABULARY_BYTES = 64 << 20
 _NONE = np.int64(2**62)
 
@@ -204,9 +204,10 @@ class BpeCodec:
         self.tokens: list[bytes] = [b""] * size
         for token, i in [*self.vocab.items(), *self.special.items()]:
             self.tokens[i] = token.encode()
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the words learnt; a worker outlives its task, and the next stage needs the memory."""
         self.known: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.offsets = np.zeros(1, np.int64)
@@ -292,7 +293,7 @@ class BpeCodec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         words = [self.words(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
-            self._forget()
+            self.forget()
         known = self.known
         new = list({w for ws in words for w in ws}.difference(known))
         if new:
@@ -355,6 +356,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
             names = [c for c in batch.schema.names if c != ids_col]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in names] + [column],
                                              names=[*names, ids_col])
+        codec.forget()
 
     return in_batches(docs, work, schema)
 
@@ -386,20 +388,23 @@ def bpe_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame
     def work(batches):
         codec = _codec(raw.value)
         for batch in batches:
-            n_tokens, ids_sha, text_sha, values = [], [], [], []
+            at = 0
             for texts in text_chunks(batch.column(1)):
+                n_tokens, ids_sha, text_sha, values = [], [], [], []
                 for ids in codec.encode(texts):
                     n_tokens.append(len(ids))
                     ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
                     text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
                     if with_ids:
                         values.append(ids)
-            columns = [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
-                       pa.array(text_sha, pa.string())]
-            if with_ids:
-                flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
-                ends = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
+                columns = [batch.column(0).slice(at, len(texts)), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
+                           pa.array(text_sha, pa.string())]
+                at += len(texts)
+                if with_ids:
+                    flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
+                    ends = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
+        codec.forget()
 
     return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, schema)

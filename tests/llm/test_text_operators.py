@@ -7,6 +7,7 @@ import re
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -61,6 +62,20 @@ def test_bpe_query_rows(spark, library):
     assert bpe.bpe_digests(docs.limit(0), vocabulary_path()).count() == 0
 
 
+def test_bpe_keeps_no_words_between_tasks(spark):
+    """A worker outlives its task: the words learnt are not left to the next stage."""
+    def kept(batches):
+        from rankspan.llm import bpe as there
+        for batch in batches:
+            n = sum(len(c.known) + len(c.ids) for c in there._CODECS.values())
+            yield pa.RecordBatch.from_arrays([pa.array([len(there._CODECS)]), pa.array([n])], names=["codecs", "n"])
+
+    docs = spark.range(0, 64, 1, 8).selectExpr("id AS doc_id", "concat('some words and number ', id) AS text")
+    assert bpe.bpe_digests(docs, vocabulary_path(), with_ids=True).where("n_tokens > 0 and size(ids) = n_tokens").count() == 64
+    found = docs.select("doc_id").mapInArrow(kept, "codecs long, n long").collect()
+    assert sum(r["codecs"] for r in found) > 0 and sum(r["n"] for r in found) == 0
+
+
 def brute_spans(text):
     def luhn(s):
         total = 0
