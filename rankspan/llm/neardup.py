@@ -13,11 +13,16 @@ Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates (a pair of
 similarity 0.8 shares none with probability 3e-6).  Work is on distinct texts
 (word sequences); copies only join their text's class.
 
-1. In each band bucket every text is compared with the smallest id of the bucket.
+1. A text has a leader in each band bucket: the text there that meets most others
+   in all of its buckets (of edited copies the one they come from, as copies are less
+   like each other).  It is compared with the first of its leaders first, with the
+   others only where they are of another class by then: a link inside a class
+   changes nothing.
 2. Texts of buckets that hold several classes are then compared across classes
    where they share an element of their rare prefixes, which all pairs of the
    similarity do; so no link between different texts is lost, and neither pairs
    inside a class nor pairs with only a frequent passage in common are formed.
+   The smallest id of each element goes first, for classes that it joins.
 3. Pairs are verified on the whole element sets, an element standing for itself by
    64 bits of hash (weighted Jaccard >= 0.8).
 
@@ -187,14 +192,28 @@ def _class_of(members: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
     return members.join(named, id_col, "left").withColumn("class", F.coalesce("_root", id_col)).drop("_root")
 
 
-def _across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different classes to be compared: every pair of
-    similarity ``threshold`` among the texts whose buckets hold several classes.
+def _between(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different classes, with these as (ca, cb)."""
+    first = _class_of(pairs.select("a", "b"), classes, "a").withColumnRenamed("class", "ca")
+    return _class_of(first, classes, "b").withColumnRenamed("class", "cb").where("ca != cb")
 
-    Two such texts share one of the rarest (1 - threshold) * weight + 1 elements
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` when ``links`` (a, b) join some of them: components of the classes,
+    a link for two classes, however many texts they hold."""
+    joined = components(_between(links, classes).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    up = joined.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+    old = classes.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
+    return staged(old.unionByName(joined.join(classes.select("node"), "node", "left_anti")), "classes")
+
+
+def _prefixes(buckets: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, class, weight, element, rest): the rare elements of the texts whose
+    buckets hold several classes, each with the weight from it on.
+
+    Two texts of similarity ``threshold`` share one of the rarest (1 - threshold) * weight + 1 elements
     of each (prefix filter, exact for any order of the elements).  Texts that
-    only share a frequent passage do not, since that is the last in the order;
-    pairs inside a class are left out, and sizes must allow the similarity."""
+    only share a frequent passage do not, since that is the last in the order."""
     members = _class_of(buckets.select("key", "id"), classes, "id")
     mixed = (members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
              .where("lo != hi").select("key"))
@@ -211,16 +230,26 @@ def _across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
     # position in the order: the elements of this text alone come first
     rare = F.transform(F.slice("order.element", F.lit(1), F.greatest(length - single, F.lit(0))),
                        lambda e, i: F.struct(e.alias("element"), (weight - single - i).alias("rest")))
-    prefix = staged(texts.hint("merge").join(ranked, "id").select(
+    return staged(texts.hint("merge").join(ranked, "id").select(
         "id", "class", weight.alias("weight"), F.explode(rare).alias("e")).select("id", "class", "weight", "e.*"), "prefix")
-    left = prefix.select("element", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("weight").alias("wa"),
-                         F.col("rest").alias("ra"))
+
+
+def _across(prefix: DataFrame, threshold: float, firsts: bool = False) -> DataFrame:
+    """Pairs (a, b) of different classes to be compared: every pair of similarity
+    ``threshold`` shares an element of ``prefix``, and sizes must allow the
+    similarity.  With ``firsts`` only those with the smallest id of an element."""
+    left = prefix
+    if firsts:
+        left = prefix.groupBy("element").agg(F.min(F.struct("id", "class", "weight", "rest")).alias("e")).select("element", "e.*")
+    left = left.select("element", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("weight").alias("wa"),
+                       F.col("rest").alias("ra"))
     right = prefix.select("element", F.col("id").alias("b"), F.col("class").alias("cb"), F.col("weight").alias("wb"),
                           F.col("rest").alias("rb"))
     # from the first shared element on, both must hold enough elements for the overlap
     least = F.lit(threshold / (1 + threshold)) * (F.col("wa") + F.col("wb")) - 1e-9
-    fits = (F.least("ra", "rb") >= least) & (F.col("ca") < F.col("cb"))
-    return left.hint("merge").join(right, "element").where(fits).select("a", "b").distinct()
+    fits = (F.least("ra", "rb") >= least) & (F.col("ca") != F.col("cb") if firsts else F.col("ca") < F.col("cb"))
+    both = left.hint("merge").join(right, "element").where(fits)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -231,20 +260,33 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = staged(marked.where("t1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("t1", "t2").agg(
         F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "texts")
     members = texts.select("id", F.explode("bands").alias("key"))
-    leaders = members.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = staged(members.hint("merge").join(leaders.select("key", "leader"), "key"), "buckets")
-    pairs = staged(buckets.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = staged(members.hint("merge").join(sizes, "key"), "buckets")
+    ranked = buckets.groupBy("id").agg((-F.sum("n")).alias("order"))
+    ordered = staged(buckets.select("key", "id").hint("merge").join(ranked, "id").select("key", F.struct("order", "id").alias("t")), "ordered")
+    leaders = ordered.groupBy("key").agg(F.min("t").alias("leader"))
+    led = staged(ordered.hint("merge").join(leaders, "key").where("t != leader").select(F.col("t.id").alias("id"), "leader").distinct(), "led")
+    either = [F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")]
+    pairs = led.select(*either)
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     with_text = docs.select(F.col("doc_id").cast("long").alias("id"), F.lower("text").alias("text")).hint("merge").join(wanted, "id")
     sets = element_sets(with_text)
     sets = staged(sets.dropDuplicates(["id"]) if repeated else sets, "sets")
-    links = staged(verified(pairs, sets, threshold), "links")
-    classes = components(links)
-    more = staged(_across(buckets, classes, sets, threshold).join(pairs, ["a", "b"], "left_anti"), "across")
+    nearest = staged(led.groupBy("id").agg(F.min("leader").alias("leader")).select(*either), "nearest")
+    classes = components(staged(verified(nearest, sets, threshold), "links"))
+    others = staged(_between(pairs, classes).select("a", "b").join(nearest, ["a", "b"], "left_anti"), "others")
+    if not others.isEmpty():
+        classes = _merged(classes, staged(verified(others, sets, threshold), "links"))
+    prefix = _prefixes(buckets, classes, sets, threshold)
+    # a class that is found by its elements' first texts needs no pairs with the others
+    firsts = staged(_across(prefix, threshold, firsts=True).join(pairs, ["a", "b"], "left_anti"), "firsts")
+    if not firsts.isEmpty():
+        classes = _merged(classes, staged(verified(firsts, sets, threshold), "links"))
+        prefix = staged(_class_of(prefix.withColumnRenamed("class", "was"), classes, "was"), "prefix")
+    tried = pairs.unionByName(firsts)
+    more = staged(_across(prefix, threshold).join(tried, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
-        found = staged(verified(more, sets, threshold), "links")
-        if not found.isEmpty():
-            classes = components(links.unionByName(found))
+        classes = _merged(classes, staged(verified(more, sets, threshold), "links"))
     text_class = _class_of(texts.select("t1", "t2", "id"), classes, "id").select("t1", "t2", "class")
     out = marked.select("doc_id", "t1", "t2").hint("merge").join(text_class, ["t1", "t2"], "left")
     return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))

@@ -68,6 +68,23 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == near_classes(docs)
 
 
+def test_near_duplicates_of_a_large_group(spark, monkeypatch):
+    """Texts of one class are linked to it about once each, not in every band."""
+    r, base, docs = random.Random(8), words(300, 88).split(), []
+    for i in range(150):
+        text = list(base)
+        for _ in range(3):
+            text[r.randrange(300)] = f"e{r.randrange(10**6)}"
+        docs.append((i, " ".join(text)))
+    seen, linked = [], []
+    verify, join = neardup.verified, neardup.components
+    monkeypatch.setattr(neardup, "verified", lambda pairs, *a: seen.append(pairs.count()) or verify(pairs, *a))
+    monkeypatch.setattr(neardup, "components", lambda links: linked.append(links.count()) or join(links))
+    got = {x["doc_id"]: x["class_id"] for x in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == near_classes(docs)
+    assert sum(seen) < 2 * len(docs) and sum(linked) < 2 * len(docs)
+
+
 def test_near_duplicates_odd_tables(spark):
     rows = neardup.near_duplicates(odd_frame(spark)).collect()
     assert len(rows) == len(odd_documents())
