@@ -324,6 +324,43 @@ def test_lsa_products_by_columns(spark, monkeypatch):
     assert np.abs(v.T @ v - np.eye(12)).max() < 1e-9 and np.abs(x @ v - matrix(xv, "xv")).max() < 1e-9
 
 
+def test_lsa_start_is_dealt_out_and_x_is_buffers(spark):
+    """The Gaussian start of many documents is not one task's work, and X is read without
+    a conversion by value; the setting that gives up shuffle files is put back."""
+    corpus = td.corpus(spark, "/root/testdata/sf0.001")
+    tfidf = TfidfModel.fit(corpus)
+    p = lsa_module._Products(tfidf, 12, 5)
+    cores = spark.sparkContext.defaultParallelism
+    rows = corpus.count()
+    assert p.start(12, 42).rdd.getNumPartitions() == min(cores, -(-rows // lsa_module.BLOCK_DOCS))
+    assert [t for c, t in p.x.dtypes if c != "share"] == ["binary"] * 3
+    before = spark.conf.get(lsa_module.CLEANUP, None)
+    with lsa_module.without_shuffle_files(spark):
+        assert spark.conf.get(lsa_module.CLEANUP) == "true"
+    assert spark.conf.get(lsa_module.CLEANUP, None) == before
+
+
+def test_product_of_short_and_long_runs():
+    """The sums by place (few entries a document) and by run, against numpy."""
+    rng = np.random.default_rng(5)
+    for n_docs, n in ((40, 4000), (4000, 3000)):
+        offsets = np.array([0, n_docs // 2, n_docs])
+        docs, terms = np.sort(rng.integers(0, n_docs, n)).astype(np.int32), rng.integers(0, 50, n).astype(np.int32)
+        weights, q, d = rng.random(n), rng.normal(size=(3, n_docs)), rng.random(n_docs)
+        x = np.zeros((n_docs, 50))
+        np.add.at(x, (docs, terms), weights)
+        names = ["docs", "terms", "weights", "block", "vec", "d"]
+        schema = pa.schema(list(zip(names, [pa.binary()] * 3 + [pa.int32()] + [pa.list_(pa.float64())] * 2, strict=True)))
+        rows = [dict(zip(names, [c.tobytes() for c in (docs, terms, weights)] + [None] * 3, strict=True))]
+        for b in range(2):
+            lo, hi = offsets[b:b + 2]
+            rows.append({"block": b, "vec": q[:, lo:hi].ravel().tolist()})
+            rows.append({"block": b, "d": d[lo:hi].tolist()})
+        out = {r["block"][0].as_py(): r for r in lsa_module._product(offsets, 0)([pa.RecordBatch.from_pylist(rows, schema)])}
+        y = np.concatenate([out[b]["vec"][0].values.to_numpy().reshape(3, -1) for b in range(2)], axis=1)
+        assert np.abs(y - (q @ x @ x.T + q * d)).max() < 1e-9
+
+
 def _counting_factory(folder):
     def factory():
         import os
