@@ -11,6 +11,7 @@ from rankspan.operators.dense import _Best, block_top_k, dense_knn
 from rankspan.operators.hybrid import BatchEncoder
 from rankspan.operators import lsa as lsa_module
 from rankspan.operators.common import spread, stage
+from rankspan.functions.vector import l2_normalize
 from rankspan.operators.lsa import LsaModel, gaussian_vector
 from rankspan.operators import tfidf as tfidf_module
 from rankspan.operators.tfidf import TfidfModel
@@ -361,6 +362,47 @@ def test_product_of_short_and_long_runs():
         assert np.abs(y - (q @ x @ x.T + q * d)).max() < 1e-9
 
 
+def test_norm_is_formed_once_for_a_vector(spark):
+    """Unit vectors: the norm is not formed again for each value (time with the square of
+    the dimensions before); null and zero vectors, and the values."""
+    rows = [(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [])]
+    out = spark.createDataFrame(rows, "id int, v array<double>").select("id", l2_normalize(F.col("v")).alias("u"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert {r["id"]: r["u"] for r in out.collect()} == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: None, 4: []}
+
+
+def test_product_of_arranged_buckets(monkeypatch):
+    """Buckets of entries as they are staged (factors of the tf, squares of the idf, factors
+    of the documents; terms and documents of more entries than a piece or tile) against numpy;
+    factors of 1 take no room."""
+    monkeypatch.setattr(lsa_module, "TILE", 16)
+    monkeypatch.setattr(lsa_module, "PIECE", 4)
+    rng = np.random.default_rng(6)
+    n_docs, offsets, names = 300, np.array([0, 100, 300]), ["docs", "terms", "weights", "block", "vec", "d"]
+    schema = pa.schema(list(zip(names, [pa.binary()] * 3 + [pa.int32()] + [pa.list_(pa.float64())] * 2, strict=True)))
+    q, d, factor = rng.normal(size=(6, n_docs)), rng.random(n_docs), rng.random(n_docs) + 0.5
+    x, rows = [], []
+    for n_terms, tfs in ((40, 4), (7, 2), (90, 1)):
+        held = rng.random((n_docs, n_terms)) < rng.random(n_terms) ** 2
+        held[0] = True
+        t = held * (1 + np.log(rng.integers(1, tfs + 1, held.shape)))
+        docs, terms = np.nonzero(t)
+        squares = rng.random(n_terms) + 1
+        buffers = lsa_module._arranged(docs, terms, t[docs, terms], n_docs, squares)
+        if tfs == 1:
+            assert buffers[2].nbytes == 8 * n_terms
+        rows.append(dict(zip(names, [c.tobytes() for c in buffers] + [None] * 3, strict=True)))
+        x.append(factor[:, None] * t * np.sqrt(squares))
+    x = np.hstack(x)
+    for b in range(2):
+        lo, hi = offsets[b:b + 2]
+        rows.insert(1, {"block": b, "vec": q[:, lo:hi].ravel().tolist()})
+        rows.append({"block": b, "d": [*d[lo:hi].tolist(), *factor[lo:hi].tolist()]})
+    out = {r["block"][0].as_py(): r for r in lsa_module._product(offsets, 0, scaled=True)([pa.RecordBatch.from_pylist(rows, schema)])}
+    y = np.concatenate([out[b]["vec"][0].values.to_numpy().reshape(6, -1) for b in range(2)], axis=1)
+    assert np.abs(y - (q @ x @ x.T + q * d)).max() < 1e-9
+
+
 def _counting_factory(folder):
     def factory():
         import os
