@@ -403,6 +403,13 @@ def test_product_of_arranged_buckets(monkeypatch):
     assert np.abs(y - (q @ x @ x.T + q * d)).max() < 1e-9
 
 
+def test_cells_fill_the_cores():
+    """12 cells on 8 cores took as long as 16 smaller ones would not."""
+    assert lsa_module.balanced(4, 3, 8) == 4
+    assert lsa_module.balanced(4, 2, 8) == 2 and lsa_module.balanced(1, 1, 8) == 1
+    assert lsa_module.balanced(5, 4, 8) == 8
+
+
 def _counting_factory(folder):
     def factory():
         import os
